@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark import keyword_only
 from pyspark.ml import Transformer
@@ -45,9 +46,29 @@ def lagged(x: Column, k: int, parts: Sequence[str]) -> Column:
     return F.lag(x, k).over(Window.partitionBy(*parts).orderBy(CYCLE))
 
 
-def _derived(
-    value: str, name: str, windows: Sequence[int], lags: Sequence[int], parts: Sequence[str]
-) -> dict[str, Column]:
+# A window of up to this many base windows is assembled from base results.
+_MAX_SEGMENTS = 8
+
+
+def _base_window(windows: Sequence[int]) -> int | None:
+    """The smallest window, if every other one is a small multiple of it."""
+    if len(windows) < 2:
+        return None
+    base = min(windows)
+    fits = all(w % base == 0 and w // base <= _MAX_SEGMENTS for w in windows)
+    return base if fits else None
+
+
+class _Stages(NamedTuple):
+    """Columns to add one after the other, and helpers to drop at the end."""
+
+    base: dict[str, Column]
+    shifted: dict[str, Column]
+    final: dict[str, Column]
+    helpers: list[str]
+
+
+def _direct(value: str, name: str, windows, lags, parts) -> _Stages:
     x, pos = F.col(value), F.col("_pos")
     out: dict[str, Column] = {}
     for w in windows:
@@ -56,9 +77,127 @@ def _derived(
         out[f"{name}_slope_w{w}"] = rolling_slope(x, pos, w, parts)
     for k in lags:
         out[f"{name}_lag{k}"] = lagged(x, k, parts)
+    return _Stages(out, {}, {}, [])
+
+
+def _places(windows: Sequence[int], base: int) -> dict[str, Column]:
+    """Per window: its length at this row, the spread of positions in it, and the distance of
+    each segment's middle from the window's middle. The same for all sensors."""
+    pos = F.col("_pos").cast("double")
+    out: dict[str, Column] = {}
+    for window in windows:
+        length = F.least(F.lit(float(window)), pos)
+        out[f"_length{window}"] = length
+        out[f"_spread{window}"] = F.nullif(length * (length * length - 1.0) / 12.0, F.lit(0.0))
+        for j in range(window // base):
+            rows = F.greatest(F.lit(0.0), F.least(F.lit(float(base)), pos - float(j * base)))
+            out[f"_off{window}_{j}"] = (length - 1.0) / 2.0 - float(j * base) - (rows - 1.0) / 2.0
     return out
 
 
+def _assembled(value: str, name: str, windows, lags, parts, base: int) -> _Stages:
+    """Frames are evaluated over the smallest window only. Longer windows combine its count,
+    mean and centred moments with those of `base`, `2 base`, ... rows earlier, which costs a
+    few lags in place of a second and third pass over 20 and 30 rows."""
+    x, pos = F.col(value), F.col("_pos").cast("double")
+    w = trailing(parts, base)
+    n, m, v, c = (f"_{name}_{tag}" for tag in "nmvc")
+    zero = F.lit(0.0)
+    first = {
+        n: F.count(x).over(w).cast("double"),
+        m: F.coalesce(F.avg(x).over(w), zero),
+        v: F.coalesce(F.var_pop(x).over(w), zero),
+        c: F.coalesce(F.covar_pop(x, pos).over(w), zero),
+        **{f"{name}_lag{k}": lagged(x, k, parts) for k in lags},
+    }
+    order = Window.partitionBy(*parts).orderBy(CYCLE)
+    shifted = {
+        f"{col}{j}": F.lag(col, j * base, 0.0).over(order)
+        for j in range(1, max(windows) // base)
+        for col in (n, m, v, c)
+    }
+
+    def part(col: str, j: int) -> Column:
+        return F.col(f"{col}{j}" if j else col)
+
+    def total(terms: list[Column]) -> Column:
+        out = terms[0]
+        for term in terms[1:]:
+            out = out + term
+        return out
+
+    final: dict[str, Column] = {}
+    middle: dict[str, Column] = {}
+    for window in windows:
+        js = range(window // base)
+        count, mean = f"_{name}_count{window}", f"_{name}_mean{window}"
+        counted = total([part(n, j) for j in js])
+        middle[count] = counted
+        if len(js) == 1:
+            middle[mean] = part(m, 0)
+        else:
+            weighted = total([part(n, j) * part(m, j) for j in js])
+            middle[mean] = weighted / F.nullif(counted, zero)
+        k, centre = F.col(count), F.col(mean)
+        enough = k >= minimum_count(window)
+
+        def gap(j: int) -> Column:
+            return part(m, j) - centre
+
+        if len(js) == 1:
+            squares, products = k * part(v, 0), k * part(c, 0)
+        else:
+            squares = total([part(n, j) * (part(v, j) + gap(j) * gap(j)) for j in js])
+            products = total(
+                [part(n, j) * (part(c, j) + gap(j) * F.col(f"_off{window}_{j}")) for j in js]
+            )
+        final[f"{name}_mean_w{window}"] = F.when(enough, centre)
+        final[f"{name}_std_w{window}"] = F.when(
+            enough & (k > 1), F.sqrt(squares / (k - 1.0))
+        )
+        final[f"{name}_slope_w{window}"] = F.when(
+            enough & (k == F.col(f"_length{window}")), products / F.col(f"_spread{window}")
+        )
+    places = _places(windows, base)
+    return _Stages(
+        first, {**shifted, **places}, {**middle, **final},
+        [n, m, v, c, *shifted, *places, *middle],
+    )
+
+
+def _derived(
+    value: str, name: str, windows: Sequence[int], lags: Sequence[int], parts: Sequence[str]
+) -> _Stages:
+    base = _base_window(windows)
+    if base is None:
+        return _direct(value, name, windows, lags, parts)
+    return _assembled(value, name, windows, lags, parts, base)
+
+
+def _apply(df: DataFrame, stages: list[_Stages]) -> DataFrame:
+    """All sensors advance together, so each stage is one operator."""
+    def merged(field: str) -> dict[str, Column]:
+        return {k: c for stage in stages for k, c in getattr(stage, field).items()}
+
+    out = df.withColumns(merged("base"))
+    if merged("shifted"):
+        out = out.withColumns(merged("shifted"))
+    final = merged("final")
+    middle = {k: c for k, c in final.items() if k.startswith("_")}
+    if middle:
+        out = out.withColumns(middle)
+    rest = {k: c for k, c in final.items() if not k.startswith("_")}
+    if rest:
+        out = out.withColumns(rest)
+    return out.drop(*[h for stage in stages for h in stage.helpers])
+
+
+def derived_names(sensor: str, windows: Sequence[int], lags: Sequence[int]) -> list[str]:
+    """Feature columns of one sensor, in order."""
+    rolled = [f"{sensor}_{kind}_w{w}" for w in windows for kind in ("mean", "std", "slope")]
+    return rolled + [f"{sensor}_lag{k}" for k in lags]
+
+
 def _reach(windows: Sequence[int], lags: Sequence[int]) -> int:
     return max([w - 1 for w in windows] + list(lags) + [0])
 
@@ -77,10 +216,9 @@ def add_features(
     """
     sensors = sensor_columns(df.columns) if sensors is None else list(sensors)
     framed, parts, finish = blocks(df, KEYS, CYCLE, _reach(windows, lags), rows, hot)
-    derived: dict[str, Column] = {}
-    for s in sensors:
-        derived.update(_derived(s, s, windows, lags, parts))
-    return finish(framed.withColumns(derived))
+    out = finish(_apply(framed, [_derived(s, s, windows, lags, parts) for s in sensors]))
+    names = [n for s in sensors for n in derived_names(s, windows, lags)]
+    return out.select(*df.columns, *names)
 
 
 def long_features(
@@ -101,11 +239,12 @@ def long_features(
     block = [c for c in ("_block",) if c in ids]
     tall = framed.unpivot(ids, list(sensors), "sensor", "value")
     parts = [*KEYS, *block, "sensor"]
-    derived = {
-        name.removeprefix("value_"): column
-        for name, column in _derived("value", "value", windows, lags, parts).items()
-    }
-    return finish(tall.withColumns(derived))
+    out = finish(_apply(tall, [_derived("value", "value", windows, lags, parts)]))
+    names = derived_names("value", windows, lags)
+    kept = [c for c in df.columns if c not in sensors]
+    return out.select(
+        *kept, "sensor", "value", *[F.col(n).alias(n.removeprefix("value_")) for n in names]
+    )
 
 
 def add_sequences(
