@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from fleetgauge.plans import series  # noqa: F401
+from fleetgauge.plans import decisions, series  # noqa: F401
 from fleetgauge.plans.registry import ORACLES, QUERIES  # noqa: F401
