@@ -77,14 +77,14 @@ def cut(
         axis = _axis(df, name)
         keys = [*groups, *cells]
         stats = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(axis).alias("_lo"), F.max(axis).alias("_hi")
+            F.count(F.lit(1)).alias("_cut_n"), F.min(axis).alias("_cut_lo"), F.max(axis).alias("_cut_hi")
         )
-        share = (axis - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-        parts = F.ceil(F.col("_n") / F.lit(rows))
-        split = (F.col("_n") > rows) & (F.col("_hi") > F.col("_lo"))
+        share = (axis - F.col("_cut_lo")) / (F.col("_cut_hi") - F.col("_cut_lo"))
+        parts = F.ceil(F.col("_cut_n") / F.lit(rows))
+        split = (F.col("_cut_n") > rows) & (F.col("_cut_hi") > F.col("_cut_lo"))
         part = F.when(split & axis.isNotNull(), F.floor(share * parts)).otherwise(F.lit(0))
         df = df.join(stats, keys).withColumn(f"_cell{i}", part.cast("bigint"))
-        df = df.drop("_n", "_lo", "_hi")
+        df = df.drop("_cut_n", "_cut_lo", "_cut_hi")
         cells.append(f"_cell{i}")
     return df, cells
 
@@ -111,14 +111,14 @@ def numbered(
     before = Window.partitionBy(*groups).orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .agg(F.count(F.lit(1)).alias("_slice_n"))
+        .select(*keys, F.coalesce(F.sum("_slice_n").over(before), F.lit(0)).alias("_slice_before"))
     )
     inside = Window.partitionBy(*keys).orderBy(*order)
     return (
         sliced.join(offsets, keys)
-        .withColumn(name, (F.col("_before") + F.row_number().over(inside)).cast("bigint"))
-        .drop("_before", *cells)
+        .withColumn(name, (F.col("_slice_before") + F.row_number().over(inside)).cast("bigint"))
+        .drop("_slice_before", *cells)
     )
 
 
@@ -150,7 +150,7 @@ def running(
         )
         .select(
             *keys,
-            F.lead("_first").over(by_slice).alias("_next"),
+            F.lead("_first").over(by_slice).alias("_slice_next"),
             *[
                 F.coalesce(F.sum(f"_total_{new}").over(before), F.lit(0)).alias(f"_off_{new}")
                 for new in sums
@@ -168,9 +168,9 @@ def running(
         new: F.col(f"_off_{new}") + F.sum(source).over(upto) for new, source in sums.items()
     }
     if following:
-        added[following] = F.coalesce(F.lead(order).over(inside), F.col("_next"))
+        added[following] = F.coalesce(F.lead(order).over(inside), F.col("_slice_next"))
     return out.withColumns(added).drop(
-        "_next", *[f"_off_{new}" for new in sums], *cells
+        "_slice_next", *[f"_off_{new}" for new in sums], *cells
     )
 
 
