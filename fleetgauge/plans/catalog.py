@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from fleetgauge.plans import decisions, monitoring, series  # noqa: F401
+from fleetgauge.plans import decisions, learning, monitoring, series  # noqa: F401
 from fleetgauge.plans.registry import ORACLES, QUERIES  # noqa: F401
