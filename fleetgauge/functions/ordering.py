@@ -9,6 +9,8 @@ task lands in the same slice. Group keys must not be NULL.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -35,8 +37,8 @@ def _axis(df: DataFrame, name: str) -> Column | None:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(col).cast("double")
     if isinstance(kind, T.TimestampNTZType):
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return (F.unix_date(F.to_date(col)).cast("bigint") * 86400 + seconds).cast("double")
+        minutes = F.unix_date(F.to_date(col)).cast("bigint") * 1440 + F.hour(col) * 60 + F.minute(col)
+        return minutes.cast("double") * 60.0 + F.extract(F.lit("SECOND"), col).cast("double")
     return None
 
 
@@ -76,15 +78,24 @@ def cut(
     for i, name in enumerate(usable, start=1):
         axis = _axis(df, name)
         keys = [*groups, *cells]
+        # a later column may only split rows that agree on all earlier ones
+        agree = [
+            (F.min(e) == F.max(e)) & (F.count(e) == F.count(F.lit(1))) for e in order[: i - 1]
+        ]
         stats = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_cut_n"), F.min(axis).alias("_cut_lo"), F.max(axis).alias("_cut_hi")
+            F.count(F.lit(1)).alias("_cut_n"),
+            F.min(axis).alias("_cut_lo"),
+            F.max(axis).alias("_cut_hi"),
+            F.coalesce(reduce(and_, agree, F.lit(True)), F.lit(False)).alias("_cut_even"),
         )
         share = (axis - F.col("_cut_lo")) / (F.col("_cut_hi") - F.col("_cut_lo"))
         parts = F.ceil(F.col("_cut_n") / F.lit(rows))
-        split = (F.col("_cut_n") > rows) & (F.col("_cut_hi") > F.col("_cut_lo"))
+        split = (
+            F.col("_cut_even") & (F.col("_cut_n") > rows) & (F.col("_cut_hi") > F.col("_cut_lo"))
+        )
         part = F.when(split & axis.isNotNull(), F.floor(share * parts)).otherwise(F.lit(0))
         df = df.join(stats, keys).withColumn(f"_cell{i}", part.cast("bigint"))
-        df = df.drop("_cut_n", "_cut_lo", "_cut_hi")
+        df = df.drop("_cut_n", "_cut_lo", "_cut_hi", "_cut_even")
         cells.append(f"_cell{i}")
     return df, cells
 
