@@ -14,6 +14,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from fleetgauge.session import pinned
+
 # Rows one task may hold for one group before the group is cut.
 GROUP_ROWS = 250_000
 
@@ -56,47 +58,70 @@ def _log_cell(value: Column) -> Column:
     ).cast("bigint")
 
 
+def _spread(df: DataFrame, keys: Sequence[str], name: str, agree: Sequence[str] = ()) -> DataFrame:
+    """One row per slice: size and bounds along `name`, and whether all rows of the slice have
+    equal values in the columns `agree`; only then may `name` split them."""
+    axis = _axis(df, name)
+    even = [(F.min(e) == F.max(e)) & (F.count(e) == F.count(F.lit(1))) for e in agree]
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_cut_n"),
+        F.min(axis).alias("_cut_lo"),
+        F.max(axis).alias("_cut_hi"),
+        F.coalesce(reduce(and_, even, F.lit(True)), F.lit(False)).alias("_cut_even"),
+    )
+
+
+def _too_large(rows: int) -> Column:
+    return F.col("_cut_even") & (F.col("_cut_n") > rows) & (F.col("_cut_hi") > F.col("_cut_lo"))
+
+
+def _split(
+    df: DataFrame, spread: DataFrame, keys: Sequence[str], name: str, cell: str, rows: int
+) -> DataFrame:
+    """Cut slices above `rows` into equal widths along `name`."""
+    axis = _axis(df, name)
+    share = (axis - F.col("_cut_lo")) / (F.col("_cut_hi") - F.col("_cut_lo"))
+    parts = F.ceil(F.col("_cut_n") / F.lit(rows))
+    part = F.when(_too_large(rows) & axis.isNotNull(), F.floor(share * parts)).otherwise(F.lit(0))
+    return (
+        df.join(spread, list(keys))
+        .withColumn(cell, part.cast("bigint"))
+        .drop("_cut_n", "_cut_lo", "_cut_hi", "_cut_even")
+    )
+
+
+def _first_cell(df: DataFrame, order: str) -> DataFrame:
+    axis = _axis(df, order)
+    if axis is None:
+        raise ValueError(f"cannot cut along {order!r}: not a number, date or timestamp")
+    return df.withColumn("_cell0", _log_cell(axis))
+
+
 def cut(
     df: DataFrame, groups: Sequence[str], order: Sequence[str], rows: int = GROUP_ROWS
 ) -> tuple[DataFrame, list[str]]:
-    """Cut every group into slices along `order`.
+    """Cut every group into slices along `order`, splitting until they are small.
 
     Returns the frame with cell columns; slices sort by those columns as their rows sort by
-    `order`. A slice above `rows` is split again by each further order column, so runs of equal
-    values do not stay together when a later column tells them apart.
+    `order`. Each round measures the slices (one row each, written to the shared folder) and
+    splits those above `rows`, twice along a column and then by the next one where all earlier
+    columns agree. It stops as soon as no slice is too large.
     """
-    axes = [(n, _axis(df, n)) for n in order]
-    usable = [n for n, axis in axes if axis is not None]
-    if not usable or usable[0] != order[0]:
-        raise ValueError(f"cannot cut along {order[0]!r}: not a number, date or timestamp")
-    for i, (name, axis) in enumerate(axes):
-        if axis is None:
-            usable = usable[:i]
-            break
+    df = _first_cell(df, order[0])
     cells = ["_cell0"]
-    df = df.withColumn("_cell0", _log_cell(_axis(df, order[0])))
-    for i, name in enumerate(usable, start=1):
-        axis = _axis(df, name)
+    rounds = [(name, order[:i]) for i, name in enumerate(order) for _ in range(2)]
+    for name, agree in rounds:
+        if _axis(df, name) is None:
+            break
         keys = [*groups, *cells]
-        # a later column may only split rows that agree on all earlier ones
-        agree = [
-            (F.min(e) == F.max(e)) & (F.count(e) == F.count(F.lit(1))) for e in order[: i - 1]
-        ]
-        stats = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_cut_n"),
-            F.min(axis).alias("_cut_lo"),
-            F.max(axis).alias("_cut_hi"),
-            F.coalesce(reduce(and_, agree, F.lit(True)), F.lit(False)).alias("_cut_even"),
-        )
-        share = (axis - F.col("_cut_lo")) / (F.col("_cut_hi") - F.col("_cut_lo"))
-        parts = F.ceil(F.col("_cut_n") / F.lit(rows))
-        split = (
-            F.col("_cut_even") & (F.col("_cut_n") > rows) & (F.col("_cut_hi") > F.col("_cut_lo"))
-        )
-        part = F.when(split & axis.isNotNull(), F.floor(share * parts)).otherwise(F.lit(0))
-        df = df.join(stats, keys).withColumn(f"_cell{i}", part.cast("bigint"))
-        df = df.drop("_cut_n", "_cut_lo", "_cut_hi", "_cut_even")
-        cells.append(f"_cell{i}")
+        spread = pinned(_spread(df, keys, name, agree))
+        if spread.where(F.col("_cut_n") > rows).isEmpty():
+            break
+        if spread.where(_too_large(rows)).isEmpty():
+            continue
+        cell = f"_cell{len(cells)}"
+        df = _split(df, spread, keys, name, cell, rows)
+        cells.append(cell)
     return df, cells
 
 
@@ -120,7 +145,7 @@ def numbered(
     sliced, cells = cut(df, groups, order, rows)
     keys = [*groups, *cells]
     before = Window.partitionBy(*groups).orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = pinned(
         sliced.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_slice_n"))
         .select(*keys, F.coalesce(F.sum("_slice_n").over(before), F.lit(0)).alias("_slice_before"))
@@ -149,7 +174,9 @@ def running(
     receives the next order value of the group.
     """
     totals = totals or {}
-    sliced, cells = cut(histogram, groups, [order], rows)
+    first, cells = _first_cell(histogram, order), ["_cell0", "_cell1"]
+    spread = _spread(first, [*groups, "_cell0"], order)
+    sliced = _split(first, spread, [*groups, "_cell0"], order, "_cell1", rows)
     keys = [*groups, *cells]
     by_slice = Window.partitionBy(*groups).orderBy(*cells)
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
@@ -242,17 +269,21 @@ def weighted_quantiles(
 
 def blocks(
     df: DataFrame, keys: Sequence[str], order: str, reach: int, rows: int = GROUP_ROWS,
-    hot: bool | None = None,
+    hot: bool | None = None, dense: bool = False,
 ) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
     """Prepare trailing row frames that look back at most `reach` rows.
 
     Returns the frame with a row position `_pos`, the columns to partition a window by, and a
     function to apply afterwards. Groups above `rows` are cut by position into blocks, each of
     which also receives the last `reach` rows before it, so every frame is complete in its block.
+    `dense` says that `order` itself counts 1, 2, ... in every group.
     """
     if hot is None:
         hot = oversized(df, keys, rows)
-    placed = numbered(df, keys, [order], "_pos", hot=hot, rows=rows)
+    if dense:
+        placed = df.withColumn("_pos", F.col(order).cast("bigint"))
+    else:
+        placed = numbered(df, keys, [order], "_pos", hot=hot, rows=rows)
     if not hot:
         return placed, list(keys), lambda out: out.drop("_pos")
     if reach >= rows:

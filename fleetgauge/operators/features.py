@@ -209,13 +209,14 @@ def add_features(
     lags: Sequence[int] = LAGS,
     hot: bool | None = None,
     rows: int = GROUP_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Add `{s}_mean_w{w}`, `{s}_std_w{w}`, `{s}_slope_w{w}` and `{s}_lag{k}` columns.
 
     All derived columns share one window over one exchange.
     """
     sensors = sensor_columns(df.columns) if sensors is None else list(sensors)
-    framed, parts, finish = blocks(df, KEYS, CYCLE, _reach(windows, lags), rows, hot)
+    framed, parts, finish = blocks(df, KEYS, CYCLE, _reach(windows, lags), rows, hot, dense)
     out = finish(_apply(framed, [_derived(s, s, windows, lags, parts) for s in sensors]))
     names = [n for s in sensors for n in derived_names(s, windows, lags)]
     return out.select(*df.columns, *names)
@@ -228,13 +229,14 @@ def long_features(
     lags: Sequence[int] = LAGS,
     hot: bool | None = None,
     rows: int = GROUP_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """The same features with one row per (reading, sensor): `mean_w10`, ..., `lag1`, ...
 
     With many sensors the window then evaluates a dozen expressions instead of hundreds.
     """
     sensors = sensor_columns(df.columns) if sensors is None else list(sensors)
-    framed, _, finish = blocks(df, KEYS, CYCLE, _reach(windows, lags), rows, hot)
+    framed, _, finish = blocks(df, KEYS, CYCLE, _reach(windows, lags), rows, hot, dense)
     ids = [c for c in framed.columns if c not in sensors]
     block = [c for c in ("_block",) if c in ids]
     tall = framed.unpivot(ids, list(sensors), "sensor", "value")
@@ -253,9 +255,10 @@ def add_sequences(
     window: int = SEQUENCE_WINDOW,
     hot: bool | None = None,
     rows: int = GROUP_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Every full window of `window` rows as `sequence array<array<float>>`, keyed by its last row."""
-    framed, parts, finish = blocks(df, KEYS, CYCLE, window - 1, rows, hot)
+    framed, parts, finish = blocks(df, KEYS, CYCLE, window - 1, rows, hot, dense)
     step = F.array(*[F.coalesce(F.col(c), F.lit(0.0)).cast("float") for c in features])
     out = framed.withColumn("_step", step).withColumn(
         "sequence", F.collect_list("_step").over(trailing(parts, window))

@@ -21,12 +21,13 @@ _SERIES = [*KEYS, "sensor"]
 
 
 def _flagged(
-    df: DataFrame, sensors: Sequence[str] | None, window: int, hot: bool | None, rows: int, **flags
+    df: DataFrame, sensors: Sequence[str] | None, window: int, hot: bool | None, rows: int,
+    dense: bool, **flags
 ) -> DataFrame:
     """Long readings with window results; `flags` are functions of (value, window columns)."""
     sensors = sensor_columns(df.columns) if sensors is None else list(sensors)
     base = df.select(*KEYS, CYCLE, *sensors)
-    framed, parts, finish = blocks(base, KEYS, CYCLE, window - 1, rows, hot)
+    framed, parts, finish = blocks(base, KEYS, CYCLE, window - 1, rows, hot, dense)
     if "_block" not in framed.columns:
         framed = framed.withColumns({"_block": F.lit(0).cast("bigint"), "_own": F.lit(0).cast("bigint")})
     ids = [*KEYS, CYCLE, "_block", "_own"]
@@ -65,10 +66,11 @@ def flatline_alerts(
     epsilon: float = FLATLINE_EPSILON,
     hot: bool | None = None,
     rows: int = GROUP_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Series whose trailing deviation falls below `epsilon`."""
     still = lambda x, parts: F.coalesce(rolling_std(x, window, parts) < epsilon, F.lit(False))
-    return _alerts(_flagged(df, sensors, window, hot, rows, _flag=still), "flatline", {})
+    return _alerts(_flagged(df, sensors, window, hot, rows, dense, _flag=still), "flatline", {})
 
 
 def spike_alerts(
@@ -78,10 +80,11 @@ def spike_alerts(
     threshold: float = SPIKE_THRESHOLD,
     hot: bool | None = None,
     rows: int = GROUP_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Series whose trailing share of missing readings exceeds `threshold`."""
     rate = lambda x, parts: F.avg(x.isNull().cast("double")).over(trailing(parts, window))
-    rated = _flagged(df, sensors, window, hot, rows, _rate=rate)
+    rated = _flagged(df, sensors, window, hot, rows, dense, _rate=rate)
     flagged = rated.withColumn("_flag", F.col("_rate") > threshold)
     return _alerts(flagged, "missing_spike", {"max_nan_rate": F.max("_rate")}).withColumn(
         "max_nan_rate", F.bround("max_nan_rate", 4)
@@ -90,11 +93,11 @@ def spike_alerts(
 
 def quality_alerts(
     df: DataFrame, sensors: Sequence[str] | None = None, hot: bool | None = None,
-    rows: int = GROUP_ROWS,
+    rows: int = GROUP_ROWS, dense: bool = False,
 ) -> DataFrame:
     """Both checks in one table; `max_nan_rate` is NULL for frozen sensors."""
-    frozen = flatline_alerts(df, sensors, hot=hot, rows=rows)
-    spikes = spike_alerts(df, sensors, hot=hot, rows=rows)
+    frozen = flatline_alerts(df, sensors, hot=hot, rows=rows, dense=dense)
+    spikes = spike_alerts(df, sensors, hot=hot, rows=rows, dense=dense)
     return frozen.unionByName(spikes, allowMissingColumns=True)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetgauge.functions.ordering import numbered, oversized
 from fleetgauge.operators.labels import add_binary_label, add_rul
+from fleetgauge.session import pinned
 
 FLEET_SENSORS = ["sensor_1", "sensor_2", "sensor_3"]
 WIDE_SENSORS = ["sensor_1", "sensor_2", "sensor_3", "sensor_4"]
@@ -18,7 +19,9 @@ WIDE_ORDER = [
 
 
 class Fleet(NamedTuple):
-    """A reading frame and whether any unit is too large for one task."""
+    """A reading frame and whether any unit is too large for one task. Cycles count 1, 2, ...
+
+    A fleet with such a unit is numbered once and kept as a table in the shared folder."""
 
     df: DataFrame
     hot: bool
@@ -43,7 +46,7 @@ def fleet(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Flee
         (F.hour("ts") + F.minute("ts") / F.lit(60.0)).alias("sensor_3"),
         *extra,
     )
-    return Fleet(df, hot)
+    return Fleet(pinned(df) if hot else df, hot)
 
 
 def gaps(spark: SparkSession, sf_dir: str) -> Fleet:
@@ -99,7 +102,7 @@ def wide(spark: SparkSession, sf_dir: str) -> Fleet:
         F.col("l_discount").alias("sensor_3"),
         F.col("l_tax").alias("sensor_4"),
     )
-    return Fleet(df, hot)
+    return Fleet(pinned(df) if hot else df, hot)
 
 
 def doc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -506,7 +506,7 @@ def _smooth(column: str):
 def k8_fleet_schedule(spark, sf_dir):
     """Flagship: features, last reading per unit, score, schedule, worst first by unit."""
     fleet = view.labelled(view.fleet(spark, sf_dir))
-    enriched = feat.add_features(fleet.df, ["sensor_2"], windows=[10], lags=[1], hot=fleet.hot)
+    enriched = feat.add_features(fleet.df, ["sensor_2"], windows=[10], lags=[1], hot=fleet.hot, dense=True)
     last = feat.last_rows(enriched.select(*KEYS, "cycle", "sensor_2_mean_w10"))
     scored = uncertainty.add_rul_fallback(last.withColumn("risk", _smooth("sensor_2_mean_w10")))
     return policy.alerts(scored, reference_date=DAY).orderBy("variant", "unit_id")

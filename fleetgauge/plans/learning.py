@@ -25,7 +25,7 @@ def rounded(*columns: str) -> list:
 
 def _learning_split(spark, sf_dir) -> splits.Split:
     fleet = view.labelled(view.fleet(spark, sf_dir))
-    df = feat.add_features(fleet.df, ["sensor_1", "sensor_2"], windows=[10], lags=[1], hot=fleet.hot)
+    df = feat.add_features(fleet.df, ["sensor_1", "sensor_2"], windows=[10], lags=[1], hot=fleet.hot, dense=True)
     df = df.withColumn("cycle_age", F.col("cycle").cast("double"))
     kept = pinned(df.select(*KEYS, "cycle", "rul", "label_within_x", *FEATURES))
     split = splits.holdout_split(kept, FEATURES)
@@ -124,7 +124,7 @@ def y14_contributions(spark, sf_dir):
 @query("y16_sequence_classifier")
 def y16_sequence_classifier(spark, sf_dir):
     fleet = view.labelled(view.fleet(spark, sf_dir))
-    sequences = pinned(feat.add_sequences(fleet.df, ["sensor_1", "sensor_2"], 10, hot=fleet.hot))
+    sequences = pinned(feat.add_sequences(fleet.df, ["sensor_1", "sensor_2"], 10, hot=fleet.hot, dense=True))
     sides = splits.assign_units(fleet.df)
     train = sequences.join(sides.where("is_train"), KEYS, "left_semi")
     test = sequences.join(sides.where("NOT is_train"), KEYS, "left_semi")

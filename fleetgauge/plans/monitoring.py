@@ -45,13 +45,13 @@ _SPIKE = f"""sp AS (SELECT *, avg(CAST(x IS NULL AS INTEGER)) OVER w AS rate
 @query("q1_flatline_alerts", f"WITH {FROZEN}, {_tall_sql('frozen')}, {_FLAT} SELECT * FROM flat")
 def q1_flatline_alerts(spark, sf_dir):
     fleet = view.frozen(spark, sf_dir)
-    return quality.flatline_alerts(fleet.df, _SENSORS, hot=fleet.hot)
+    return quality.flatline_alerts(fleet.df, _SENSORS, hot=fleet.hot, dense=True)
 
 
 @query("q2_missing_spikes", f"WITH {GAPS}, {_tall_sql('gaps')}, {_SPIKE} SELECT * FROM spike")
 def q2_missing_spikes(spark, sf_dir):
     fleet = view.gaps(spark, sf_dir)
-    return quality.spike_alerts(fleet.df, _SENSORS, hot=fleet.hot)
+    return quality.spike_alerts(fleet.df, _SENSORS, hot=fleet.hot, dense=True)
 
 
 @query(
@@ -70,7 +70,7 @@ def _all_alerts(spark, sf_dir):
     fleet = view.gaps(spark, sf_dir)
     stuck = (F.col("unit_id") % 10 == 0) & (F.col("cycle") >= 20)
     df = fleet.df.withColumn("sensor_2", F.when(stuck, F.lit(7.0)).otherwise(F.col("sensor_2")))
-    return quality.quality_alerts(df, _SENSORS, hot=fleet.hot)
+    return quality.quality_alerts(df, _SENSORS, hot=fleet.hot, dense=True)
 
 
 @query(
@@ -170,7 +170,7 @@ def d2_drift_and_quality(spark, sf_dir):
     drifted = drift.drift_summary(report).select(
         F.lit("drifted_features").alias("check_name"), F.col("drifted_features").alias("n")
     )
-    totals = quality.alert_totals(quality.quality_alerts(split.test, _SENSORS, hot=fleet.hot))
+    totals = quality.alert_totals(quality.quality_alerts(split.test, _SENSORS, hot=fleet.hot, dense=True))
     counted = totals.unpivot(
         [], ["flatline_alerts", "missing_spike_alerts"], "check_name", "n"
     ).withColumn("check_name", F.regexp_replace("check_name", "_alerts$", ""))

@@ -412,7 +412,7 @@ def _rolling_query(kind: int, label: str):
 
     def run(spark, sf_dir):
         fleet = view.gaps(spark, sf_dir)
-        out = feat.add_features(fleet.df, ["sensor_1"], lags=[], hot=fleet.hot)
+        out = feat.add_features(fleet.df, ["sensor_1"], lags=[], hot=fleet.hot, dense=True)
         return out.select(*KEYS, "cycle", *rounded(*[f"sensor_1_{label}_w{w}" for w in (10, 20, 30)]))
 
     query(f"w{kind + 1}_rolling_{label}", sql)(run)
@@ -431,7 +431,7 @@ _LAG = "lag(sensor_1, {k}) OVER (PARTITION BY variant, unit_id ORDER BY cycle) A
 )
 def w4_lags(spark, sf_dir):
     fleet = view.gaps(spark, sf_dir)
-    out = feat.add_features(fleet.df, ["sensor_1"], windows=[], hot=fleet.hot)
+    out = feat.add_features(fleet.df, ["sensor_1"], windows=[], hot=fleet.hot, dense=True)
     return out.select(*KEYS, "cycle", "sensor_1_lag1", "sensor_1_lag3", "sensor_1_lag5")
 
 
@@ -470,7 +470,7 @@ def w5_feature_transformer(spark, sf_dir):
 def w5_long_features(spark, sf_dir):
     """One row per reading and sensor: the layout for many sensors."""
     fleet = view.gaps(spark, sf_dir)
-    out = feat.long_features(fleet.df, view.FLEET_SENSORS, windows=[10], lags=[1], hot=fleet.hot)
+    out = feat.long_features(fleet.df, view.FLEET_SENSORS, windows=[10], lags=[1], hot=fleet.hot, dense=True)
     return out.select(*KEYS, "cycle", "sensor", *rounded("mean_w10", "std_w10", "slope_w10"), "lag1")
 
 
@@ -484,7 +484,7 @@ def w5_long_features(spark, sf_dir):
 )
 def w6_sequences(spark, sf_dir):
     fleet = view.labelled(view.fleet(spark, sf_dir))
-    out = feat.add_sequences(fleet.df, ["sensor_2"], 30, hot=fleet.hot)
+    out = feat.add_sequences(fleet.df, ["sensor_2"], 30, hot=fleet.hot, dense=True)
     total = F.aggregate("sequence", F.lit(0.0), lambda acc, step: acc + step[0])
     return out.select(
         *KEYS, "cycle", "label_within_x", F.size("sequence").cast("bigint").alias("n_steps"),
