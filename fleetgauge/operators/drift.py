@@ -52,31 +52,26 @@ def drift_distances(
         F.try_divide(F.col("_ref"), F.col("_all_ref")) - F.try_divide(F.col("_cur"), F.col("_all_cur"))
     )
     step = F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))
-    mean = F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref"))
-    scale = reference_scale(values, keys)
     distances = placed.groupBy(*keys).agg(
         F.max("_all_ref").alias("n_reference"),
         F.max("_all_cur").alias("n_current"),
         F.max(gap).alias("ks"),
         F.sum(gap * step).alias("_area"),
-        mean.alias("reference_mean"),
     )
-    return distances.join(scale, keys).select(
+    return distances.join(reference_scale(reference, features, groups), keys).select(
         *keys, "n_reference", "n_current", "ks",
         (F.col("_area") / F.nullif(F.col("reference_std"), F.lit(0.0))).alias("wasserstein"),
     )
 
 
-def reference_scale(values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Population deviation of the reference from value counts, around the counted mean."""
-    n, x = F.col("n_ref"), F.col("value")
-    means = values.groupBy(*keys).agg(F.try_divide(F.sum(n * x), F.sum(n)).alias("_mean"))
-    spread = (x - F.col("_mean")) * (x - F.col("_mean")) * n
-    return (
-        values.join(means, list(keys))
-        .groupBy(*keys)
-        .agg(F.sqrt(F.try_divide(F.sum(spread), F.sum(n))).alias("reference_std"))
+def reference_scale(
+    reference: DataFrame, features: Sequence[str], groups: Sequence[str] = ()
+) -> DataFrame:
+    """Population deviation of every reference feature, one pass over the rows."""
+    spread = reference.groupBy(*groups).agg(
+        *[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in features]
     )
+    return spread.unpivot(list(groups), list(features), "feature", "reference_std")
 
 
 def ks_p_value(ks, n_ref, n_cur):

@@ -83,15 +83,14 @@ def _direct(value: str, name: str, windows, lags, parts) -> _Stages:
 def _places(windows: Sequence[int], base: int) -> dict[str, Column]:
     """Per window: its length at this row, the spread of positions in it, and the distance of
     each segment's middle from the window's middle. The same for all sensors."""
-    pos = F.col("_pos").cast("double")
     out: dict[str, Column] = {}
     for window in windows:
-        length = F.least(F.lit(float(window)), pos)
-        out[f"_length{window}"] = length
-        out[f"_spread{window}"] = F.nullif(length * (length * length - 1.0) / 12.0, F.lit(0.0))
+        length = f"least({window}D, double(_pos))"
+        out[f"_length{window}"] = F.expr(length)
+        out[f"_spread{window}"] = F.expr(f"nullif({length} * ({length} * {length} - 1) / 12, 0D)")
         for j in range(window // base):
-            rows = F.greatest(F.lit(0.0), F.least(F.lit(float(base)), pos - float(j * base)))
-            out[f"_off{window}_{j}"] = (length - 1.0) / 2.0 - float(j * base) - (rows - 1.0) / 2.0
+            rows = f"greatest(0D, least({base}D, double(_pos) - {j * base}))"
+            out[f"_off{window}_{j}"] = F.expr(f"({length} - 1) / 2 - {j * base}D - ({rows} - 1) / 2")
     return out
 
 
@@ -117,46 +116,40 @@ def _assembled(value: str, name: str, windows, lags, parts, base: int) -> _Stage
         for col in (n, m, v, c)
     }
 
-    def part(col: str, j: int) -> Column:
-        return F.col(f"{col}{j}" if j else col)
+    def part(col: str, j: int) -> str:
+        return f"`{col}{j}`" if j else f"`{col}`"
 
-    def total(terms: list[Column]) -> Column:
-        out = terms[0]
-        for term in terms[1:]:
-            out = out + term
-        return out
+    def total(term, js) -> str:
+        return "(" + " + ".join(term(j) for j in js) + ")"
 
     final: dict[str, Column] = {}
     middle: dict[str, Column] = {}
     for window in windows:
         js = range(window // base)
-        count, mean = f"_{name}_count{window}", f"_{name}_mean{window}"
-        counted = total([part(n, j) for j in js])
-        middle[count] = counted
-        if len(js) == 1:
-            middle[mean] = part(m, 0)
-        else:
-            weighted = total([part(n, j) * part(m, j) for j in js])
-            middle[mean] = weighted / F.nullif(counted, zero)
-        k, centre = F.col(count), F.col(mean)
-        enough = k >= minimum_count(window)
-
-        def gap(j: int) -> Column:
-            return part(m, j) - centre
-
-        if len(js) == 1:
-            squares, products = k * part(v, 0), k * part(c, 0)
-        else:
-            squares = total([part(n, j) * (part(v, j) + gap(j) * gap(j)) for j in js])
-            products = total(
-                [part(n, j) * (part(c, j) + gap(j) * F.col(f"_off{window}_{j}")) for j in js]
-            )
-        final[f"{name}_mean_w{window}"] = F.when(enough, centre)
-        final[f"{name}_std_w{window}"] = F.when(
-            enough & (k > 1), F.sqrt(squares / (k - 1.0))
+        k, centre = f"`_{name}_count{window}`", f"`_{name}_mean{window}`"
+        counted = total(lambda j: part(n, j), js)
+        weighted = total(lambda j: f"{part(n, j)} * {part(m, j)}", js)
+        one = len(js) == 1
+        middle[k.strip("`")] = F.expr(counted)
+        middle[centre.strip("`")] = F.expr(part(m, 0) if one else f"{weighted} / nullif({counted}, 0D)")
+
+        def gap(j: int) -> str:
+            return "0D" if one else f"({part(m, j)} - {centre})"
+
+        def square(j: int) -> str:
+            return f"{part(n, j)} * ({part(v, j)} + {gap(j)} * {gap(j)})"
+
+        def product(j: int) -> str:
+            return f"{part(n, j)} * ({part(c, j)} + {gap(j)} * _off{window}_{j})"
+
+        enough = f"{k} >= {minimum_count(window)}"
+        final[f"{name}_mean_w{window}"] = F.expr(f"CASE WHEN {enough} THEN {centre} END")
+        final[f"{name}_std_w{window}"] = F.expr(
+            f"CASE WHEN {enough} AND {k} > 1 THEN sqrt({total(square, js)} / ({k} - 1)) END"
         )
-        final[f"{name}_slope_w{window}"] = F.when(
-            enough & (k == F.col(f"_length{window}")), products / F.col(f"_spread{window}")
+        final[f"{name}_slope_w{window}"] = F.expr(
+            f"CASE WHEN {enough} AND {k} = _length{window} "
+            f"THEN {total(product, js)} / _spread{window} END"
         )
     places = _places(windows, base)
     return _Stages(
@@ -283,11 +276,14 @@ class RollingLagTransformer(Transformer, DefaultParamsReadable, DefaultParamsWri
         Params._dummy(), "windowSizes", "rolling window lengths", TypeConverters.toListInt
     )
     lagSteps = Param(Params._dummy(), "lagSteps", "lags in rows", TypeConverters.toListInt)
+    dense = Param(
+        Params._dummy(), "dense", "cycles count 1, 2, ... in every unit", TypeConverters.toBoolean
+    )
 
     @keyword_only
-    def __init__(self, *, sensors=None, windowSizes=None, lagSteps=None):
+    def __init__(self, *, sensors=None, windowSizes=None, lagSteps=None, dense=None):
         super().__init__()
-        self._setDefault(sensors=[], windowSizes=WINDOWS, lagSteps=LAGS)
+        self._setDefault(sensors=[], windowSizes=WINDOWS, lagSteps=LAGS, dense=False)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -296,4 +292,5 @@ class RollingLagTransformer(Transformer, DefaultParamsReadable, DefaultParamsWri
             self.getOrDefault("sensors") or None,
             self.getOrDefault("windowSizes"),
             self.getOrDefault("lagSteps"),
+            dense=self.getOrDefault("dense"),
         )

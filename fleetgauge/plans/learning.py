@@ -193,7 +193,8 @@ _PAIRS = """pairs AS (SELECT a.variant, a.risk AS ra, b.risk AS rb FROM risks a
 )
 def y10_j7_concordance(spark, sf_dir):
     units = _units(spark, sf_dir).withColumn("hazard", F.col("sensor_2") - F.col("duration"))
-    return survival.concordance(units, ["variant"]).select("variant", "comparable", *rounded("c_index"))
+    found = survival.concordance(units, ["variant"]).where("comparable > 0")
+    return found.select("variant", "comparable", *rounded("c_index"))
 
 
 @query("y11_concordance_interval")

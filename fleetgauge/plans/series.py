@@ -440,7 +440,9 @@ def _all_features_sql() -> str:
     for s in view.WIDE_SENSORS:
         for w in (10, 20, 30):
             mean, std, slope = frame_sql(s, w)
-            parts += [f"{mean} AS {s}_mean_w{w}", f"{std} AS {s}_std_w{w}", f"{slope} AS {s}_slope_w{w}"]
+            for kind, text in (("mean", mean), ("std", std), ("slope", slope)):
+                exact = text.replace("round(", "round_even(1e6 * ").replace(", 6) + 0.0", ", 0) / 1e6 + 0.0")
+                parts.append(f"{exact} AS {s}_{kind}_w{w}")
         parts += [
             f"lag({s}, {k}) OVER (PARTITION BY variant, unit_id ORDER BY cycle) AS {s}_lag{k}" for k in (1, 3, 5)
         ]
@@ -450,10 +452,12 @@ def _all_features_sql() -> str:
 @query("w5_feature_transformer", _all_features_sql())
 def w5_feature_transformer(spark, sf_dir):
     """The pipeline stage over all sensors, windows and lags."""
-    out = feat.RollingLagTransformer(sensors=view.WIDE_SENSORS).transform(view.wide(spark, sf_dir).df)
+    stage = feat.RollingLagTransformer(sensors=view.WIDE_SENSORS, dense=True)
+    out = stage.transform(view.wide(spark, sf_dir).df)
     derived = [c for c in out.columns if "_w" in c or "_lag" in c]
     return out.select(*KEYS, "cycle", *[
-        F.col(c) if "_lag" in c else F.round(c, 6).alias(c) for c in derived
+        F.col(c) if "_lag" in c else (F.rint(F.lit(1e6) * F.col(c)) / 1e6 + 0.0).alias(c)
+        for c in derived
     ])
 
 
