@@ -260,10 +260,13 @@ def add_sequences(
 
 
 def last_rows(df: DataFrame) -> DataFrame:
-    """The latest reading of every unit; reduced map-side."""
+    """The latest reading of every unit; reduced map-side.
+
+    One `max_by` per column keeps numeric buffers in the hash aggregate; a struct would sort.
+    """
     rest = [c for c in df.columns if c not in KEYS]
-    latest = df.groupBy(*KEYS).agg(F.max_by(F.struct(*rest), CYCLE).alias("_last"))
-    return latest.select(*KEYS, "_last.*").select(*df.columns)
+    latest = df.groupBy(*KEYS).agg(*[F.max_by(c, CYCLE).alias(c) for c in rest])
+    return latest.select(*df.columns)
 
 
 class RollingLagTransformer(Transformer, DefaultParamsReadable, DefaultParamsWritable):

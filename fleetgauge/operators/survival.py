@@ -47,10 +47,12 @@ def survival_rows(
         {"_last": F.when(censored, cut).otherwise(F.col("_n")), "_event": F.when(censored, 0).otherwise(1)}
     ).where("_at <= _last")
     rows = kept.groupBy(*KEYS).agg(
-        F.max_by(F.struct(*features, "_event"), CYCLE).alias("_row"), F.max(CYCLE).alias("duration")
+        *[F.max_by(c, CYCLE).alias(c) for c in features],
+        F.max(CYCLE).alias("duration"),
+        F.max("_event").alias("event"),
     )
-    filled = [F.coalesce(F.col(f"_row.{c}").cast("double"), F.lit(0.0)).alias(c) for c in features]
-    return rows.select(*KEYS, *filled, "duration", F.col("_row._event").alias("event"))
+    filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
+    return rows.select(*KEYS, *filled, "duration", "event")
 
 
 @dataclass(frozen=True)

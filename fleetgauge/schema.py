@@ -60,3 +60,8 @@ def feature_columns(columns: list[str]) -> list[str]:
 
 def sensor_columns(columns: list[str]) -> list[str]:
     return [c for c in columns if c.startswith("sensor_") and c[7:].isdigit()]
+
+
+def shared_features(left: list[str], right: list[str]) -> list[str]:
+    """Feature columns that two frames have in common, in the order of the first."""
+    return [c for c in feature_columns(left) if c in right]
