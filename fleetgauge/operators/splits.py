@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetgauge.functions.ordering import histogram, running
 from fleetgauge.functions.scalars import key_hash
 from fleetgauge.schema import CYCLE, KEYS, SEED, TRAIN_RATIO
+from fleetgauge.session import pinned
 
 # Spread below this share of the mean counts as a constant column.
 CONSTANT_TOLERANCE = 1e-12
@@ -92,7 +93,7 @@ def holdout_split(
     scale: bool = True,
 ) -> Split:
     """Whole units to train or test, within each variant; scaler fitted on train only."""
-    sides = assign_units(df, ratio, seed)
+    sides = pinned(assign_units(df, ratio, seed))  # one row per unit, used by both sides
     train = df.join(sides.where("is_train"), KEYS, "left_semi")
     test = df.join(sides.where("NOT is_train"), KEYS, "left_semi")
     return _scaled(train, test, features, scale)

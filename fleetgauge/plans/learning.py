@@ -125,7 +125,7 @@ def y14_contributions(spark, sf_dir):
 def y16_sequence_classifier(spark, sf_dir):
     fleet = view.labelled(view.fleet(spark, sf_dir))
     sequences = pinned(feat.add_sequences(fleet.df, ["sensor_1", "sensor_2"], 10, hot=fleet.hot, dense=True))
-    sides = splits.assign_units(fleet.df)
+    sides = pinned(splits.assign_units(fleet.df))
     train = sequences.join(sides.where("is_train"), KEYS, "left_semi")
     test = sequences.join(sides.where("NOT is_train"), KEYS, "left_semi")
     return _evaluated(models.score_sequences(models.train_sequence_classifier(train, 20), test))
@@ -278,7 +278,10 @@ def st2_stream_quality(spark, sf_dir):
 
 
 def _epoch(column: str):
-    return F.unix_seconds(column).alias(column)
+    """Seconds on the clock of the session, as the stored timestamps have no zone."""
+    local = F.col(column).cast("timestamp_ntz")
+    clock = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
+    return (F.unix_date(F.to_date(local)).cast("bigint") * 86400 + clock).alias(column)
 
 
 @query(

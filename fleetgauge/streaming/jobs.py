@@ -75,17 +75,23 @@ _STATE = T.StructType(
 _HELD = max(FLATLINE_WINDOW, SPIKE_WINDOW) - 1
 
 
+def _trailing_view(values: np.ndarray, window: int, start: int, fill: float) -> np.ndarray:
+    padded = np.concatenate([np.full(window - 1, fill), values])
+    return np.lib.stride_tricks.sliding_window_view(padded, window)[start:]
+
+
 def _window_flags(values: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """Trailing deviation and missing share of the readings from `start` on."""
-    series = pd.Series(values)
-    deviation = [
-        series.iloc[max(0, i - FLATLINE_WINDOW + 1) : i + 1].dropna() for i in range(start, len(values))
-    ]
-    std = np.array(
-        [w.std() if len(w) >= FLATLINE_WINDOW // 2 else np.nan for w in deviation], dtype=float
-    )
-    rate = series.isna().astype(float).rolling(SPIKE_WINDOW, min_periods=1).mean().to_numpy()[start:]
-    return std, rate
+    frames = _trailing_view(values, FLATLINE_WINDOW, start, np.nan)
+    seen = ~np.isnan(frames)
+    count = seen.sum(axis=1)
+    mean = np.where(seen, frames, 0.0).sum(axis=1) / np.maximum(count, 1)
+    squares = np.where(seen, frames - mean[:, None], 0.0) ** 2
+    std = np.sqrt(squares.sum(axis=1) / np.maximum(count - 1, 1))
+    std[count < max(2, FLATLINE_WINDOW // 2)] = np.nan
+    missing = _trailing_view(np.isnan(values).astype(float), SPIKE_WINDOW, start, 0.0)
+    length = np.minimum(np.arange(start, len(values)) + 1, SPIKE_WINDOW)
+    return std, missing.sum(axis=1) / length
 
 
 def _track(
