@@ -9,11 +9,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetgauge import session
+
 #: A word is a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """A table in the shared folder, as `session.pinned`; the shuffle files of its job go with it,
+    since nothing else reads them, so that the steps of an operator don't add up on disk."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return session.pinned(df)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

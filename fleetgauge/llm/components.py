@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.session import pinned
+from .common import pinned
 
 
 def _state(edges: DataFrame) -> tuple:

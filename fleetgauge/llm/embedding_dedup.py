@@ -19,9 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.session import pinned
-
-from .common import pair_cells, smallest_labels, spread_cells, table, whole_runs
+from .common import pair_cells, pinned, smallest_labels, spread_cells, table, whole_runs
 from .components import components
 from .vectors import matrix, one_per_id, usable
 

@@ -23,9 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.session import pinned
-
-from .common import fresh, table, whole_runs
+from .common import fresh, pinned, table, whole_runs
 
 #: Word counts are kept in 2**_BITS buckets: a bounded table, used for the order only.
 _BITS = 18
@@ -51,10 +49,11 @@ _HASH = _Hashes()
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << _BITS, np.int64)
     for batch in batches:
-        for text in batch.column(0):
-            words = (text.as_py() or "").encode().split()
-            hashes = np.fromiter(map(_HASH.__getitem__, words), np.uint64, len(words))
-            total += np.bincount((hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64), minlength=1 << _BITS)
+        flat: list[int] = []
+        for text in batch.column(0).to_pylist():
+            flat.extend(map(_HASH.__getitem__, (text or "").encode().split()))
+        bucket = (np.array(flat, np.uint64) & np.uint64((1 << _BITS) - 1)).astype(np.int64)
+        total += np.bincount(bucket, minlength=1 << _BITS)
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["bucket", "n"])
 
@@ -72,7 +71,21 @@ def _ceiling(t: float, n: np.ndarray) -> np.ndarray:
     return np.ceil(t * n - 1e-9).astype(np.int64)
 
 
-def _line_rows(batches: Iterator[pa.RecordBatch], rank: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
+def _ordered(line: np.ndarray, place: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Order by line, place of the word's bucket, hash. One packed key does for nearly all words."""
+    if len(line) and line[-1] < 1 << 24:
+        key = line.astype(np.uint64) << np.uint64(40) | place.astype(np.uint64) << np.uint64(40 - _BITS)
+        key |= hashes >> np.uint64(64 - (40 - _BITS))
+        order = np.argsort(key)
+        key = key[order]
+        if not (key[1:] == key[:-1]).any():
+            return order
+    return np.lexsort((hashes, place, line))
+
+
+def _line_rows(batches: Iterator[pa.RecordBatch], counts: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
+    place = np.empty(1 << _BITS, np.int64)
+    place[np.argsort(counts, kind="stable")] = np.arange(1 << _BITS)
     for batch in batches:
         ids, numbers, sizes, flat = [], [], [], []
         for id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -89,22 +102,23 @@ def _line_rows(batches: Iterator[pa.RecordBatch], rank: np.ndarray, t: float) ->
         start = np.r_[0, np.cumsum(size)[:-1]]
         line = np.repeat(np.arange(len(size)), size)
         bucket = (hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-        order = np.lexsort((hashes, rank[bucket], line))
+        order = _ordered(line, place[bucket], hashes)
         hashes = hashes[order]
         with np.errstate(over="ignore"):
             mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             key = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), start)
-        parity = np.bitwise_xor.reduceat(np.uint64(1) << (hashes >> np.uint64(58)), start)
+        bit, half = np.uint64(1) << (hashes >> np.uint64(58)), (hashes >> np.uint64(57)) & np.uint64(1)
+        parity = [np.bitwise_xor.reduceat(np.where(half == k, bit, np.uint64(0)), start) for k in (0, 1)]
         prefix = size - _ceiling(t, size) + 1
         chosen = np.arange(len(hashes)) - np.repeat(start, size) < np.repeat(prefix, size)
         short = (hashes[chosen] >> np.uint64(16)).astype(np.uint32).view(np.int32)
-        parts = np.maximum(1, -(-rank[bucket[order][chosen]] // _ROWS_OF_WORD)).astype(np.int32)
+        parts = np.maximum(1, -(-counts[bucket[order][chosen]] // _ROWS_OF_WORD)).astype(np.int32)
         ends = np.r_[0, np.cumsum(prefix)].astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(key.view(np.int64)),
-             pa.array(parity.view(np.int64)), pa.array(size.astype(np.int32)),
+             *(pa.array(p.view(np.int64)) for p in parity), pa.array(size.astype(np.int32)),
              pa.ListArray.from_arrays(ends, short), pa.ListArray.from_arrays(ends, parts)],
-            names=["id", "line", "key", "parity", "n", "prefix", "parts"],
+            names=["id", "line", "key", "parity", "parity2", "n", "prefix", "parts"],
         )
 
 
@@ -115,9 +129,10 @@ def _partners(batches: Iterator[pa.RecordBatch], t: float, every: bool) -> Itera
         cell, n = rows.column("cell").to_numpy(), rows.column("n").to_numpy()
         order = np.lexsort((n, cell))
         cell, n = cell[order], n[order].astype(np.int64)
-        id, line, parity, pos, part = (rows.column(c).to_numpy()[order] for c in ("id", "line", "parity", "pos", "part"))
+        id, line, pos, part = (rows.column(c).to_numpy()[order] for c in ("id", "line", "pos", "part"))
+        parity, parity2 = (rows.column(c).to_numpy()[order].view(np.uint64) for c in ("parity", "parity2"))
         alone, asks = (rows.column(c).to_numpy(zero_copy_only=False)[order] for c in ("alone", "open"))
-        parity, pos = parity.view(np.uint64), pos.astype(np.int64)
+        pos = pos.astype(np.int64)
         stop = np.r_[np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell)]
         stop = stop[np.searchsorted(stop, np.arange(len(cell)), "right")]
         best = np.full(len(cell), 1 << 40, np.int64)  # differing bits and index of the partner
@@ -130,7 +145,7 @@ def _partners(batches: Iterator[pa.RecordBatch], t: float, every: bool) -> Itera
             i, j = alive, alive + step
             need = _ceiling(t / (1 + t), n[i] + n[j])
             most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
-            bits = np.bitwise_count(parity[i] ^ parity[j]).astype(np.int64)
+            bits = np.bitwise_count(parity[i] ^ parity[j]).astype(np.int64) + np.bitwise_count(parity2[i] ^ parity2[j])
             ok = (most >= need) & (bits <= n[i] + n[j] - 2 * need) & (alone[i] | (part[i] != part[j]))
             ok &= (id[i] != id[j]) | (line[i] != line[j])
             i, j, bits = i[ok], j[ok], bits[ok]
@@ -155,12 +170,12 @@ def _partners(batches: Iterator[pa.RecordBatch], t: float, every: bool) -> Itera
 
 def _cells(sets: DataFrame) -> DataFrame:
     """A row for each line, word of its prefix, and cell of that word."""
-    rows = sets.select("id", "line", "parity", "n", "open", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "word"))
+    rows = sets.select("id", "line", "parity", "parity2", "n", "open", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "word"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("id", "line"), F.col("word.parts")).cast("int"))
     rows = rows.withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("word.parts") - 1)))
     return rows.select(
         F.xxhash64("word.prefix", F.least("part", "meets"), F.greatest("part", "meets")).alias("cell"),
-        "id", "line", "parity", "n", "pos", "part", (F.col("part") == F.col("meets")).alias("alone"), "open",
+        "id", "line", "parity", "parity2", "n", "pos", "part", (F.col("part") == F.col("meets")).alias("alone"), "open",
     )
 
 
@@ -178,9 +193,9 @@ def _words(line: Column) -> Column:
 
 def _verified(pairs: DataFrame, docs: DataFrame, id: str, text: str, t: float) -> DataFrame:
     """Lines (id, line) of which a pair reaches the threshold on the word sets themselves."""
-    pairs = pairs.select("id", "line", "other_id", "other_line").distinct()
+    pairs = pinned(pairs.select("id", "line", "other_id", "other_line").distinct())
     asked = pairs.select("id", "line").union(pairs.select("other_id", "other_line")).distinct()
-    asked = asked.groupBy("id").agg(F.collect_list("line").alias("lines"))  # a document's own lines
+    asked = pinned(asked.groupBy("id").agg(F.collect_list("line").alias("lines")))  # a document's own lines
     named = docs.select(F.coalesce(F.col(id), F.lit(_LAST)).alias("id"), F.col(text).alias("text"))
     split = F.split("text", "\n")
     words = (
@@ -204,23 +219,25 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id",
     counts = word_counts(docs, text)
     lines = pinned(
         docs.select(id, text).mapInArrow(
-            partial(_line_rows, rank=counts, t=threshold),
-            "id long, line int, key long, parity long, n int, prefix array<int>, parts array<int>",
+            partial(_line_rows, counts=counts, t=threshold),
+            "id long, line int, key long, parity long, parity2 long, n int, prefix array<int>, parts array<int>",
         )
     )
     place = F.struct("id", "line")
     sets = pinned(
-        lines.groupBy("key", "parity", "n")
+        lines.groupBy("key", "parity", "parity2", "n")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min_by("prefix", place).alias("prefix"), F.min_by("parts", place).alias("parts"))
-        .select("key", "parity", "n", "first.*", (F.col("first") != F.col("last")).alias("again"), "prefix", "parts")
+        .select("key", "parity", "parity2", "n", "first.*", (F.col("first") != F.col("last")).alias("again"), "prefix", "parts")
     )
     met = pinned(_met(_cells(sets.withColumn("open", F.lit(True))), threshold, False))
     found = pinned(_verified(met, docs, id, text, threshold))
-    left = met.where("more").join(found, ["id", "line"], "left_anti")
-    cells = _cells(sets.join(left.select("id", "line").distinct().withColumn("asks", F.lit(True)), ["id", "line"], "left").withColumn("open", F.coalesce("asks", F.lit(False))))
-    rest = _met(cells.join(left.select("cell").distinct(), "cell", "left_semi"), threshold, True)
+    left = pinned(met.where("more").join(found, ["id", "line"], "left_anti").select("id", "line", "cell").distinct())
+    asks = pinned(left.select("id", "line", F.lit(True).alias("asks")).distinct())
+    cells = _cells(sets.join(asks, ["id", "line"], "left").withColumn("open", F.coalesce("asks", F.lit(False))))
+    rest = _met(cells.join(pinned(left.select("cell").distinct()), "cell", "left_semi"), threshold, True)
     also = _verified(pinned(rest), docs, id, text, threshold)
-    again = lines.join(sets.where("again").select("key", "parity", "n", F.struct("id", "line").alias("first")), ["key", "parity", "n"])
+    identity = ["key", "parity", "parity2", "n"]
+    again = lines.join(sets.where("again").select(*identity, F.struct("id", "line").alias("first")), identity)
     copies = again.where(F.struct("id", "line") > F.col("first")).select("id", "line")
     gone = found.union(also).union(copies)
     return gone.groupBy("id").agg(F.collect_set("line").alias("lines"))
@@ -230,7 +247,7 @@ def deduplicated(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", te
     """`docs` with the redundant lines taken out of `text`; all rows and columns stay. A text of
     which every line goes becomes empty; NULL stays NULL. A column n_chars follows the new text."""
     key, lines = fresh(docs, "line_id__", "gone__")
-    gone = repeated_lines(docs, threshold, id, text).select(F.col("id").alias(key), F.col("lines").alias(lines))
+    gone = pinned(repeated_lines(docs, threshold, id, text)).select(F.col("id").alias(key), F.col("lines").alias(lines))
     joined = docs.withColumn(key, F.coalesce(F.col(id), F.lit(_LAST))).join(gone, key, "left")
     kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(lines, i)), "\n")
     out = joined.withColumn(text, F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept))

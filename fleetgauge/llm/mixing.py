@@ -11,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.session import pinned
-
-from .common import WORD, fresh, table
+from .common import WORD, fresh, pinned, table
 
 #: Documents counted together; a part of the order that one task sorts.
 _ROWS = 256

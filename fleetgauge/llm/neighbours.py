@@ -16,9 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.session import pinned
-
-from .common import table, whole_runs
+from .common import pinned, table, whole_runs
 from .vectors import matrix, one_per_id, usable
 
 SHARD = 16_384

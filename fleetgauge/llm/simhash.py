@@ -18,9 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetgauge.session import pinned
-
-from .common import ASCII_SPACE, fresh, pair_cells, smallest_labels, spread_cells, table, whole_runs
+from .common import ASCII_SPACE, fresh, pair_cells, pinned, smallest_labels, spread_cells, table, whole_runs
 from .components import components
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")

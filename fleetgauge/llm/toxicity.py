@@ -23,9 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetgauge.session import pinned
-
-from .common import fresh, remainder, table
+from .common import fresh, pinned, remainder, table
 
 _BITS = 19
 _MASK = (1 << _BITS) - 1

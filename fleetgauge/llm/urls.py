@@ -11,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.session import pinned
-
-from .common import table
+from .common import pinned, table
 
 #: The rules of the task (host and path prefix, verdict).
 RULES = [
