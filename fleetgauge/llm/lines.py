@@ -15,45 +15,82 @@ a large group of copies are never written out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, pinned, table, whole_runs
+from .common import ASCII_SPACE, fresh, pinned, table, whole_runs
 
 #: Word counts are kept in 2**_BITS buckets: a bounded table, used for the order only.
 _BITS = 18
 #: About so many rows of a word meet in a task; words above are cut into parts that meet pairwise.
 _ROWS_OF_WORD = 20_000
-_CACHED = 400_000
 _LAST = (1 << 63) - 1
 
 
-class _Hashes(dict):
-    """Bounded cache from word to its 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_HASH = _Hashes()
+#: Bytes hashed together.
+_PIECE = 1 << 21
+_SPACE = np.zeros(256, bool)
+_SPACE[list(ASCII_SPACE.encode())] = True
+_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+_STEP = 0x9E3779B97F4A7C15
+
+
+@lru_cache(1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's odd step and of its inverse, modulo 2**64."""
+    back = pow(_STEP, -1, 1 << 64)
+    out = []
+    for base in (_STEP, back):
+        low = np.cumprod(np.full(1 << 11, base, np.uint64))
+        high = np.cumprod(np.full((_PIECE >> 11) + 1, low[-1], np.uint64))
+        out.append(np.concatenate([low, (high[:, None] * low[None, :]).ravel()]))
+    return out[0], out[1]
+
+
+def _hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of all words of `raw`: differences of running sums of
+    value * step**place, moved to a common place, then mixed."""
+    data = np.frombuffer(raw, np.uint8)
+    space = np.r_[True, _SPACE[data], True]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    start, stop = edges[::2], edges[1::2]
+    if len(data) > _PIECE:  # a very long text has powers of its own
+        power, back = (np.cumprod(np.full(len(data), b, np.uint64)) for b in (_STEP, pow(_STEP, -1, 1 << 64)))
+    else:
+        power, back = _powers()
+    run = np.r_[np.uint64(0), np.cumsum(_VALUES[data] * power[: len(data)])]
+    h = (run[stop] - run[start]) * back[start]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0x94D049BB133111EB)
+    return start, h ^ (h >> np.uint64(32))
+
+
+def _pieces(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of about `_PIECE` bytes, with the number of texts before them."""
+    held, size, first = [], 0, 0
+    for i, text in enumerate(texts):
+        raw = (text or "").encode()
+        if held and size + len(raw) >= _PIECE:
+            yield first, held
+            held, size, first = [], 0, i
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield first, held
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << _BITS, np.int64)
     for batch in batches:
-        flat: list[int] = []
-        for text in batch.column(0).to_pylist():
-            flat.extend(map(_HASH.__getitem__, (text or "").encode().split()))
-        bucket = (np.array(flat, np.uint64) & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-        total += np.bincount(bucket, minlength=1 << _BITS)
+        for _, raws in _pieces(batch.column(0).to_pylist()):
+            _, hashes = _hashed(b"\n".join(raws))
+            total += np.bincount((hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64), minlength=1 << _BITS)
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["bucket", "n"])
 
@@ -87,39 +124,46 @@ def _line_rows(batches: Iterator[pa.RecordBatch], counts: np.ndarray, t: float)
     place = np.empty(1 << _BITS, np.int64)
     place[np.argsort(counts, kind="stable")] = np.arange(1 << _BITS)
     for batch in batches:
-        ids, numbers, sizes, flat = [], [], [], []
-        for id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for number, line in enumerate((text or "").encode().split(b"\n")):
-                words = set(line.split())
-                if words:
-                    ids.append(_LAST if id is None else id)
-                    numbers.append(number)
-                    sizes.append(len(words))
-                    flat.extend(map(_HASH.__getitem__, words))
-        if not ids:
-            continue
-        size, hashes = np.array(sizes), np.array(flat, np.uint64)
-        start = np.r_[0, np.cumsum(size)[:-1]]
-        line = np.repeat(np.arange(len(size)), size)
-        bucket = (hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-        order = _ordered(line, place[bucket], hashes)
-        hashes = hashes[order]
-        with np.errstate(over="ignore"):
-            mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            key = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), start)
-        bit, half = np.uint64(1) << (hashes >> np.uint64(58)), (hashes >> np.uint64(57)) & np.uint64(1)
-        parity = [np.bitwise_xor.reduceat(np.where(half == k, bit, np.uint64(0)), start) for k in (0, 1)]
-        prefix = size - _ceiling(t, size) + 1
-        chosen = np.arange(len(hashes)) - np.repeat(start, size) < np.repeat(prefix, size)
-        short = (hashes[chosen] >> np.uint64(16)).astype(np.uint32).view(np.int32)
-        parts = np.maximum(1, -(-counts[bucket[order][chosen]] // _ROWS_OF_WORD)).astype(np.int32)
-        ends = np.r_[0, np.cumsum(prefix)].astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(key.view(np.int64)),
-             *(pa.array(p.view(np.int64)) for p in parity), pa.array(size.astype(np.int32)),
-             pa.ListArray.from_arrays(ends, short), pa.ListArray.from_arrays(ends, parts)],
-            names=["id", "line", "key", "parity", "parity2", "n", "prefix", "parts"],
-        )
+        named = batch.column(0).fill_null(_LAST).to_numpy()
+        for before, raws in _pieces(batch.column(1).to_pylist()):
+            yield _rows_of(named[before : before + len(raws)], raws, counts, place, t)
+
+
+def _rows_of(named: np.ndarray, raws: list[bytes], counts: np.ndarray, place: np.ndarray, t: float) -> pa.RecordBatch:
+    raw = b"\n".join(raws)
+    start, hashes = _hashed(raw)
+    breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+    line = np.searchsorted(breaks, start)  # counted over the joined texts
+    bucket = (hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64)
+    order = _ordered(line, place[bucket], hashes)
+    line, hashes, bucket = line[order], hashes[order], bucket[order]
+    new = np.r_[True, (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])][: len(line)]
+    line, hashes, bucket = line[new], hashes[new], bucket[new]
+    start = np.flatnonzero(np.r_[True, line[1:] != line[:-1]][: len(line)])
+    size = np.diff(np.r_[start, len(line)])
+    first = np.searchsorted(breaks, np.cumsum([0, *(len(r) + 1 for r in raws[:-1])]))  # each text's first line
+    text = np.searchsorted(first, line[start], "right") - 1
+    ids, numbers = named[text], (line[start] - first[text]).astype(np.int32)
+    with np.errstate(over="ignore"):
+        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        key = _by_line(np.add, mixed ^ (mixed >> np.uint64(32)), start)
+    bit, half = np.uint64(1) << (hashes >> np.uint64(58)), (hashes >> np.uint64(57)) & np.uint64(1)
+    parity = [_by_line(np.bitwise_xor, np.where(half == k, bit, np.uint64(0)), start) for k in (0, 1)]
+    prefix = size - _ceiling(t, size) + 1
+    chosen = np.arange(len(hashes)) - np.repeat(start, size) < np.repeat(prefix, size)
+    short = (hashes[chosen] >> np.uint64(16)).astype(np.uint32).view(np.int32)
+    parts = np.maximum(1, -(-counts[bucket[chosen]] // _ROWS_OF_WORD)).astype(np.int32)
+    ends = np.r_[0, np.cumsum(prefix)].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array(numbers), pa.array(key.view(np.int64)),
+         *(pa.array(p.view(np.int64)) for p in parity), pa.array(size.astype(np.int32)),
+         pa.ListArray.from_arrays(ends, short), pa.ListArray.from_arrays(ends, parts)],
+        names=["id", "line", "key", "parity", "parity2", "n", "prefix", "parts"],
+    )
+
+
+def _by_line(add: np.ufunc, values: np.ndarray, start: np.ndarray) -> np.ndarray:
+    return add.reduceat(values, start) if len(start) else values[:0]
 
 
 def _partners(batches: Iterator[pa.RecordBatch], t: float, every: bool) -> Iterator[pa.RecordBatch]:
