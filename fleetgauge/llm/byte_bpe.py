@@ -37,6 +37,7 @@ LAST_SPACE, BLANK, SHORT, LONG = 5, 6, 7, 8
 #: States: a token of the class is open, a blank waits for its run, n letters of an ending are due.
 START, IN_LETTER, IN_NUMBER, IN_OTHER, IN_SPACE, WAITING, DUE_ONE, DUE_TWO = range(8)
 _CACHED = 400_000
+_NONE = 1 << 40
 _BLOCK = 256
 
 
@@ -149,43 +150,114 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Merger(dict):
-    """Cache from pre-token to its ids; misses are merged, the pair of least rank first. It is
-    bounded: a full generation becomes the old one, from which used entries move up again."""
+    """Cache from pre-token to its ids, bounded: a full generation becomes the old one, from which
+    used entries move up again. `learn` merges all pre-tokens that are new, side by side."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks, self.old = ranks, {}
+        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        pairs = {}
+        for whole, rank in ranks.items():
+            for cut in range(1, len(whole)):
+                if (a := ranks.get(whole[:cut])) is not None and (b := ranks.get(whole[cut:])) is not None:
+                    pairs[a << 32 | b] = rank
+        self.slots = 1 << max(4, (4 * len(pairs)).bit_length())
+        self.keys, self.made = np.full(self.slots, -1, np.int64), np.full(self.slots, _NONE, np.int64)
+        key, made = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64)
+        at = self._slot(key)
+        while len(key):  # of pairs that want a free slot one gets it, the others go on
+            free = self.keys[at] < 0
+            self.keys[at[free]], self.made[at[free]] = key[free], made[free]
+            lost = self.keys[at] != key
+            key, made, at = key[lost], made[lost], (at[lost] + 1) % self.slots
+        self.made[self.keys < 0] = _NONE
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % self.slots
+
+    def joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the token that two tokens make, or a number above all ranks."""
+        key = a << 32 | b
+        at = self._slot(key)
+        out = np.full(len(key), _NONE, np.int64)
+        left = np.arange(len(key))
+        while len(left):
+            found = self.keys[at]
+            hit = found == key[left]
+            out[left[hit]] = self.made[at[hit]]
+            on = ~hit & (found >= 0)
+            left, at = left[on], (at[on] + 1) % self.slots
+        return out
 
     def __missing__(self, text: str) -> tuple[int, ...]:
-        ids = self.old.get(text)
-        if ids is None:
-            raw = text.encode("utf-8", "surrogatepass")
-            ids = (self.ranks[raw],) if raw in self.ranks else self._merged(raw)
-        if len(text) <= 64:
-            if len(self) >= _CACHED:
-                self.old = dict(self)
-                self.clear()
+        self.learn([text])
+        return self.pop(text) if len(text) > 64 else self[text]
+
+    def learn(self, texts: list[str]) -> None:
+        """Adds the ids of `texts`, which are not in the cache."""
+        if len(self) + len(texts) > _CACHED:
+            self.old = dict(self)
+            self.clear()
+        short: list[str] = []
+        raws: list[bytes] = []
+        for text in texts:
+            ids = self.old.get(text)
+            if ids is None:
+                raw = text.encode("utf-8", "surrogatepass")
+                if raw in self.ranks:
+                    ids = (self.ranks[raw],)
+                elif len(raw) > 256:
+                    ids = self._merged_long(raw)
+                else:
+                    short.append(text)
+                    raws.append(raw)
+                    continue
+            self[text] = ids
+        for text, ids in zip(short, self._merged(raws)):
             self[text] = ids
-        return ids
-
-    def _merged(self, raw: bytes) -> tuple[int, ...]:
-        get, none = self.ranks.get, 1 << 60
-        if len(raw) > 256:
-            return self._merged_long(raw)
-        parts = [raw[i : i + 1] for i in range(len(raw))]
-        pairs = [get(raw[i : i + 2], none) for i in range(len(raw) - 1)]
-        while pairs:
-            best = min(pairs)
-            if best == none:
-                break
-            i = pairs.index(best)
-            grown = parts[i] = parts[i] + parts.pop(i + 1)
-            pairs.pop(i)
-            if i:
-                pairs[i - 1] = get(parts[i - 1] + grown, none)
-            if i < len(pairs):
-                pairs[i] = get(grown + parts[i + 1], none)
-        return tuple(map(get, parts))
+
+    def _merged(self, raws: list[bytes]) -> list[tuple[int, ...]]:
+        """In each round every piece merges its first pair of least rank; pieces without one are done."""
+        out: list = [None] * len(raws)
+        size = np.array([len(r) for r in raws], np.int64)
+        token = self.bytes[np.frombuffer(b"".join(raws), np.uint8)]
+        piece = np.repeat(np.arange(len(raws)), size)
+        rank = np.full(len(token), _NONE, np.int64)
+        inner = np.flatnonzero(piece[1:] == piece[:-1])
+        rank[inner] = self.joined(token[inner], token[inner + 1])
+        while len(token):
+            start = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+            length = np.diff(np.r_[start, len(piece)])
+            least = np.minimum.reduceat(rank, start)
+            done = least == _NONE
+            if done.any():
+                flat = token[np.repeat(done, length)].tolist()
+                at = 0
+                for p, n in zip(piece[start[done]].tolist(), length[done].tolist()):
+                    out[p] = tuple(flat[at : at + n])
+                    at += n
+                stay = np.repeat(~done, length)
+                token, piece, rank = token[stay], piece[stay], rank[stay]
+                least, length = least[~done], length[~done]
+                if not len(token):
+                    break
+            best = np.flatnonzero(rank == np.repeat(least, length))
+            best = best[np.r_[True, piece[best[1:]] != piece[best[:-1]]]]
+            token[best] = rank[best]
+            stay = np.ones(len(token), bool)
+            stay[best + 1] = False
+            token, piece, rank = token[stay], piece[stay], rank[stay]
+            best -= np.arange(len(best))  # one place fewer for each merge before
+            for i in (best, best[best > 0] - 1):
+                inside = i + 1 < len(token)
+                rank[i[~inside]] = _NONE
+                i = i[inside]
+                pair = piece[i] == piece[i + 1]
+                rank[i[~pair]] = _NONE
+                i = i[pair]
+                rank[i] = self.joined(token[i], token[i + 1])
+        return out
 
     def _merged_long(self, raw: bytes) -> tuple[int, ...]:
         """The same with a heap and linked parts, so that very long runs stay near-linear."""
@@ -218,7 +290,9 @@ def encode_texts(texts: list[str], merger: Merger) -> Iterator[list[int]]:
     joined, starts, first = boundaries(texts)
     edges = starts.tolist()
     edges.append(len(joined))
-    parts = list(map(merger.__getitem__, map(joined.__getitem__, map(slice, edges, edges[1:]))))
+    slices = list(map(joined.__getitem__, map(slice, edges, edges[1:])))
+    merger.learn([s for s in set(slices) if s not in merger])
+    parts = list(map(merger.__getitem__, slices))
     first = [*first.tolist(), len(starts)]
     for a, b in zip(first, first[1:]):  # the last part of a text is the break
         yield list(chain.from_iterable(parts[a : b - 1]))
