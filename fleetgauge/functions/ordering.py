@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -82,7 +82,8 @@ def _split(
     axis = _axis(df, name)
     share = (axis - F.col("_cut_lo")) / (F.col("_cut_hi") - F.col("_cut_lo"))
     parts = F.ceil(F.col("_cut_n") / F.lit(rows))
-    part = F.when(_too_large(rows) & axis.isNotNull(), F.floor(share * parts)).otherwise(F.lit(0))
+    place = F.greatest(F.floor(share * parts), (axis >= F.col("_cut_hi")).cast("bigint"))  # the ends part for certain
+    part = F.when(_too_large(rows) & axis.isNotNull(), place).otherwise(F.lit(0))
     return (
         df.join(spread, list(keys))
         .withColumn(cell, part.cast("bigint"))
@@ -100,28 +101,34 @@ def _first_cell(df: DataFrame, order: str) -> DataFrame:
 def cut(
     df: DataFrame, groups: Sequence[str], order: Sequence[str], rows: int = GROUP_ROWS
 ) -> tuple[DataFrame, list[str]]:
-    """Cut every group into slices along `order`, splitting until they are small.
+    """Cut every group into slices along `order` until none exceeds `rows`, save rows that agree in
+    all order columns.
 
     Returns the frame with cell columns; slices sort by those columns as their rows sort by
     `order`. Each round measures the slices (one row each, written to the shared folder) and
-    splits those above `rows`, twice along a column and then by the next one where all earlier
-    columns agree. It stops as soon as no slice is too large.
+    splits those above `rows` by width; a round that isn't enough, as on values that crowd at one
+    end, is followed by another inside the slices it left. The next column takes over where all
+    earlier ones agree. A slice that can't be cut raises.
     """
     df = _first_cell(df, order[0])
     cells = ["_cell0"]
-    rounds = [(name, order[:i]) for i, name in enumerate(order) for _ in range(2)]
-    for name, agree in rounds:
-        if _axis(df, name) is None:
-            break
-        keys = [*groups, *cells]
-        spread = pinned(_spread(df, keys, name, agree))
-        if spread.where(F.col("_cut_n") > rows).isEmpty():
-            break
-        if spread.where(_too_large(rows)).isEmpty():
-            continue
-        cell = f"_cell{len(cells)}"
-        df = _split(df, spread, keys, name, cell, rows)
-        cells.append(cell)
+    for i, name in enumerate(order):
+        while True:
+            keys = [*groups, *cells]
+            if _axis(df, name) is None:
+                agree = [F.min(e) != F.max(e) for e in order[i:]]
+                large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), reduce(or_, agree).alias("_mixed"))
+                if not large.where((F.col("_n") > rows) & F.col("_mixed")).isEmpty():
+                    raise ValueError(f"a slice of more than {rows} rows can't be cut along {name!r}")
+                return df, cells
+            spread = pinned(_spread(df, keys, name, order[:i]))
+            if spread.where(F.col("_cut_n") > rows).isEmpty():
+                return df, cells
+            if spread.where(_too_large(rows)).isEmpty():
+                break
+            cell = f"_cell{len(cells)}"
+            df = _split(df, spread, keys, name, cell, rows)
+            cells.append(cell)
     return df, cells
 
 
@@ -174,9 +181,7 @@ def running(
     receives the next order value of the group.
     """
     totals = totals or {}
-    first, cells = _first_cell(histogram, order), ["_cell0", "_cell1"]
-    spread = _spread(first, [*groups, "_cell0"], order)
-    sliced = _split(first, spread, [*groups, "_cell0"], order, "_cell1", rows)
+    sliced, cells = cut(pinned(histogram), groups, [order], rows)
     keys = [*groups, *cells]
     by_slice = Window.partitionBy(*groups).orderBy(*cells)
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,6 @@ from fleetgauge.functions.ordering import running
 # Significance of the rank test, distance cut-off, sample size that selects it.
 P_VALUE = 0.05
 DISTANCE = 0.1
-SMALL_REFERENCE = 1000
 _SERIES_TERMS = 50
 
 
@@ -86,18 +85,14 @@ def ks_p_value(ks, n_ref, n_cur):
 
 def drift_report(
     reference: DataFrame, current: DataFrame, features: Sequence[str], groups: Sequence[str] = (),
-    method: str = "auto", p_value: float = P_VALUE, distance: float = DISTANCE,
-    small_reference: int = SMALL_REFERENCE,
+    *, method: str, p_value: float = P_VALUE, distance: float = DISTANCE,
 ) -> DataFrame:
-    """Drift flag per feature. `auto` uses the rank test for small references, else the area."""
-    if method not in ("auto", "ks", "wasserstein"):
-        raise ValueError("method must be auto, ks or wasserstein")
+    """Drift flag per feature by the rank test (`ks`) or the area between the distributions
+    (`wasserstein`), at any size of the input."""
+    if method not in ("ks", "wasserstein"):
+        raise ValueError("method must be ks or wasserstein")
     found = drift_distances(reference, current, features, groups)
-    use_ks = {
-        "auto": F.col("n_reference") <= small_reference,
-        "ks": F.lit(True),
-        "wasserstein": F.lit(False),
-    }[method]
+    use_ks = F.lit(method == "ks")
     p = ks_p_value(F.col("ks"), F.col("n_reference"), F.col("n_current"))
     drifted = F.when(use_ks, p < p_value).otherwise(F.col("wasserstein") >= distance)
     return found.withColumns(

@@ -54,7 +54,8 @@ def alerts(
     policy: CostPolicy = CostPolicy(),
     keep: Sequence[str] = ("variant", "unit_id"),
 ) -> DataFrame:
-    """One service alert per scored row, all in one projection."""
+    """One service alert per scored row, all in one projection; without a risk the urgency is
+    `unknown`, unless the remaining life alone makes it critical."""
     start = F.lit(reference_date) if reference_date else F.current_date()
     r = F.col(risk).cast("double")
     left = clip(F.col(rul).cast("double"), 0.0)
@@ -66,6 +67,7 @@ def alerts(
         F.when((r >= CRITICAL_RISK) | (left <= CRITICAL_RUL), "critical")
         .when(r >= threshold, "high")
         .when(r >= SCHEDULED_RISK, "scheduled")
+        .when(r.isNull() | F.isnan(r), "unknown")
         .otherwise("ok")
     )
     unit, day_text = F.col("unit_id").cast("string"), F.col("days_until_service").cast("string")
@@ -91,6 +93,7 @@ def alerts(
             F.col("urgency") == "scheduled",
             text(": EARLY WARNING — plan service within schedule.", "Next service window:"),
         )
+        .when(F.col("urgency") == "unknown", F.concat(F.lit("Unit "), unit, F.lit(": no risk score available.")))
         .otherwise(
             F.concat(F.lit("Unit "), unit, F.lit(": operating normally. Next check in "), day_text,
                      F.lit(" days."))

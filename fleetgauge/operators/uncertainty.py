@@ -67,16 +67,32 @@ def residual_quantiles(
     return quantiles(base, [*groups, "bucket"], "_residual", {"shift_low": low, "shift_high": high})
 
 
+def overall_quantiles(
+    calibration: DataFrame, low: float = QUANTILE_LOW, high: float = QUANTILE_HIGH, groups: Sequence[str] = ()
+) -> DataFrame:
+    """Residual quantiles over all buckets, for predictions in buckets that calibration lacks."""
+    residual = (F.col("rul").cast("double") - F.col("predicted_rul")).alias("_residual")
+    base = calibration.select(*groups, F.lit(0).alias("_all"), residual)
+    found = quantiles(base, [*groups, "_all"], "_residual", {"all_low": low, "all_high": high})
+    return found.drop("n")
+
+
 def add_rul_interval(
-    df: DataFrame, shifts: DataFrame | None, width: float = 50.0, groups: Sequence[str] = ()
+    df: DataFrame, shifts: DataFrame | None, width: float = 50.0, groups: Sequence[str] = (),
+    overall: DataFrame | None = None,
 ) -> DataFrame:
-    """`rul_lower, rul_upper`, not below 0; NULL without calibration or for an unseen bucket."""
+    """`rul_lower, rul_upper`, not below 0; NULL without calibration. A bucket unseen in calibration
+    takes the quantiles of `overall` (`overall_quantiles`); without them it stays NULL."""
     if shifts is None:
         none = F.lit(None).cast("double")
         return df.withColumns({"rul_lower": none, "rul_upper": none})
     keys = [*groups, "bucket"]
     out = df.withColumn("bucket", _bucket(width)).join(shifts.drop("n"), keys, "left")
     p = F.col("predicted_rul")
+    if overall is not None:
+        out = out.withColumn("_all", F.lit(0)).join(overall, [*groups, "_all"], "left")
+        out = out.withColumns({f"shift_{e}": F.coalesce(f"shift_{e}", f"all_{e}") for e in ("low", "high")})
+        out = out.drop("_all", "all_low", "all_high")
     return out.withColumns(
         {
             "rul_lower": clip(p + F.col("shift_low"), 0.0),

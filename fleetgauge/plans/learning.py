@@ -40,7 +40,7 @@ def _evaluated(scored):
 @query("y2_logistic")
 def y2_logistic(spark, sf_dir):
     split = _learning_split(spark, sf_dir)
-    model = models.train_logistic(split.train, FEATURES, iterations=100)
+    model = models.train_logistic(split.train, FEATURES)
     return _evaluated(models.score_risk(model, split.test, FEATURES))
 
 
@@ -79,7 +79,7 @@ def y6_parameter_search(spark, sf_dir):
 def s8_model_round_trip(spark, sf_dir):
     """Scores of a saved and reloaded model against the original: largest difference."""
     split = _learning_split(spark, sf_dir)
-    model = models.train_logistic(split.train, FEATURES, iterations=50)
+    model = models.train_logistic(split.train, FEATURES)
     path = scratch_path(spark, "model")
     models.save_model(model, path)
     first = models.score_risk(model, split.test, FEATURES)
@@ -135,9 +135,14 @@ def y16_sequence_classifier(spark, sf_dir):
 def y7_fitted_intervals(spark, sf_dir):
     """Residual-quantile intervals around a fitted regressor: coverage on held-out units."""
     split = _learning_split(spark, sf_dir)
-    model = models.train_rul_regressor(split.train, FEATURES, rounds=5, depth=4)
-    shifts = uncertainty.residual_quantiles(models.score_rul(model, split.train, FEATURES), width=20.0)
-    scored = uncertainty.add_rul_interval(models.score_rul(model, split.test, FEATURES), shifts, 20.0)
+    sides = pinned(splits.assign_units(split.train, 0.75, seed=7))  # a quarter of the units calibrates
+    fitted = split.train.join(sides.where("is_train"), KEYS, "left_semi")
+    unseen = split.train.join(sides.where("NOT is_train"), KEYS, "left_semi")
+    model = models.train_rul_regressor(fitted, FEATURES, rounds=5, depth=4)
+    calibration = pinned(models.score_rul(model, unseen, FEATURES))
+    shifts = uncertainty.residual_quantiles(calibration, width=20.0)
+    overall = uncertainty.overall_quantiles(calibration)
+    scored = uncertainty.add_rul_interval(models.score_rul(model, split.test, FEATURES), shifts, 20.0, overall=overall)
     out = metrics.interval_coverage(scored, ["variant"], "rul", "rul_lower", "rul_upper")
     return out.select("variant", "n", *rounded("coverage", "mean_width"))
 
@@ -146,7 +151,7 @@ def y7_fitted_intervals(spark, sf_dir):
 def k8_fitted_schedule(spark, sf_dir):
     """Last reading of every held-out unit through a fitted classifier and the cost policy."""
     split = _learning_split(spark, sf_dir)
-    model = models.train_logistic(split.train, FEATURES, iterations=50)
+    model = models.train_logistic(split.train, FEATURES)
     last = feat.last_rows(split.test)
     scored = uncertainty.add_rul_fallback(models.score_risk(model, last, FEATURES))
     return policy.alerts(scored, reference_date=dt.date(2026, 1, 1)).orderBy("variant", "unit_id")
@@ -200,18 +205,18 @@ def y10_j7_concordance(spark, sf_dir):
 @query("y11_concordance_interval")
 def y11_concordance_interval(spark, sf_dir):
     units = _units(spark, sf_dir).withColumn("hazard", F.col("sensor_2") - F.col("duration"))
-    return survival.concordance_interval(units, samples=50)
+    return survival.concordance_interval(units)
 
 
 @query(
     "x6_bootstrap_sizes",
     f"""WITH {FLEET}, n AS (SELECT count(*) AS n FROM (SELECT DISTINCT variant, unit_id FROM fleet))
-    SELECT CAST(s AS INTEGER) AS sample, {as_int("n")} AS n_drawn FROM n, range(20) r(s)""",
+    SELECT CAST(s AS INTEGER) AS sample, {as_int("n")} AS n_drawn FROM n, range(200) r(s)""",
 )
 def x6_bootstrap_sizes(spark, sf_dir):
     """Every resample draws exactly n units."""
     units = splits.units_of(view.fleet(spark, sf_dir).df)
-    drawn = survival.bootstrap_weights(units, samples=20)
+    drawn = survival.bootstrap_weights(units)
     return drawn.groupBy("sample").agg(F.sum("weight").alias("n_drawn"))
 
 

@@ -71,11 +71,12 @@ def write_text_readings(
 
 
 def read_truth(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """`(variant, unit_id, true_rul)` from one value per line; the unit is the line number.
+    """`(variant, unit_id, true_rul)` from one value per line; the unit is the number of the line,
+    blank lines not counted.
 
     Lines are counted per file block, so large files are numbered without a single task.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         _variant_of_file().alias("variant"),

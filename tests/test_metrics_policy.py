@@ -195,3 +195,20 @@ def test_threshold_rule_direction(readings):
     assert rule.sensor == "sensor_1" and rule.direction == -1
     scores = rule.score(df)
     assert scores.agg(F.min("risk")).first()[0] >= 0 and scores.agg(F.max("risk")).first()[0] <= 1
+
+
+def test_missing_risk_is_not_reported_as_healthy(spark):
+    df = spark.createDataFrame([("FD001", 1, None, 200.0), ("FD001", 2, None, 5.0), ("FD001", 3, 0.1, 200.0)], "variant string, unit_id int, risk double, predicted_rul double")
+    rows = policy.alerts(df, rul="predicted_rul").orderBy("unit_id").collect()
+    assert [r.urgency for r in rows] == ["unknown", "critical", "ok"]
+    assert rows[0].message == "Unit 1: no risk score available." and rows[0].action is None
+
+
+def test_unseen_bucket_takes_overall_quantiles(spark):
+    cal = spark.createDataFrame([(10.0, 12.0), (11.0, 10.0), (12.0, 15.0)], "predicted_rul double, rul double")
+    df = spark.createDataFrame([(11.0,), (500.0,)], "predicted_rul double")
+    shifts = uncertainty.residual_quantiles(cal)
+    plain = uncertainty.add_rul_interval(df, shifts).orderBy("predicted_rul").collect()
+    assert plain[0].rul_lower is not None and plain[1].rul_lower is None
+    full = uncertainty.add_rul_interval(df, shifts, overall=uncertainty.overall_quantiles(cal)).orderBy("predicted_rul").collect()
+    assert full[0] == plain[0] and 490 < full[1].rul_lower <= full[1].rul_upper < 510

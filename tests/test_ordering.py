@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
+from fleetgauge.functions import ordering
+
 from fleetgauge.functions.ordering import (
     blocks, cut, histogram, numbered, oversized, quantiles, running,
 )
@@ -98,3 +100,23 @@ def test_partitioning_does_not_change_results(skewed):
         return sorted((r["g"], r["m"]) for r in out.collect())
 
     assert values(skewed.repartition(1)) == values(skewed.repartition(17))
+
+
+@pytest.mark.parametrize("shape", ["saturated", "tail"])
+def test_slices_keep_their_bound_on_skewed_values(spark, shape):
+    values = spark.range(20_000).withColumn("u", (F.col("id") + 1) / 1000.0)
+    v = 1 - F.exp(-F.col("u") / 1.2) if shape == "saturated" else F.exp(F.col("u") * 20)
+    df = values.select(F.lit("a").alias("g"), v.alias("v")).distinct()
+    sliced, cells = ordering.cut(df, ["g"], ["v"], 500)
+    sizes = sliced.groupBy(*cells).agg(F.count("*").alias("n"), (F.min("v") == F.max("v")).alias("even"))
+    assert sizes.where("n > 500 AND NOT even").isEmpty()
+    hist = df.withColumn("n", F.lit(1))
+    found = ordering.running(hist, ["g"], "v", {"upto": "n"}, rows=500)
+    ranks = found.select("upto", F.row_number().over(Window.partitionBy("g").orderBy("v")).alias("rank"))
+    assert ranks.where("upto <> rank").isEmpty()
+
+
+def test_a_slice_that_cannot_be_cut_raises(spark):
+    df = spark.range(100).select(F.lit("a").alias("g"), F.lit(1).alias("k"), F.col("id").cast("string").alias("s"))
+    with pytest.raises(ValueError):
+        ordering.cut(df, ["g"], ["k", "s"], 10)

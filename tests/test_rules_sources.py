@@ -142,3 +142,9 @@ def test_run_table(spark, tmp_path):
     best = runs.best_per_metric(runs.classifier_table(table), ["A_pr_auc", "B_f1"]).collect()
     assert {(r["metric"], r["model"]) for r in best} == {("A_pr_auc", "logistic"), ("B_f1", "forest")}
     assert runs.runs_above(table, "track_a_pr_auc", 0.84).count() == 2
+
+
+def test_truth_skips_blank_lines(spark, tmp_path):
+    (tmp_path / "RUL_FD001.txt").write_text("112\n98\n\n69\n  \n82\n\n")
+    rows = tables.read_truth(spark, str(tmp_path / "RUL_FD001.txt")).orderBy("unit_id").collect()
+    assert [(r.unit_id, r.true_rul) for r in rows] == [(1, 112.0), (2, 98.0), (3, 69.0), (4, 82.0)]
