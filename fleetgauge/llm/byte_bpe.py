@@ -36,7 +36,7 @@ LETTER, NUMBER, OTHER, SPACE, BREAK = range(5)
 LAST_SPACE, BLANK, SHORT, LONG = 5, 6, 7, 8
 #: States: a token of the class is open, a blank waits for its run, n letters of an ending are due.
 START, IN_LETTER, IN_NUMBER, IN_OTHER, IN_SPACE, WAITING, DUE_ONE, DUE_TWO = range(8)
-_CACHED = 400_000
+_CACHED = 250_000
 _NONE = 1 << 40
 _BLOCK = 256
 
@@ -357,8 +357,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         raw = {i: b for b, i in _merger(path).ranks.items()}
         for batch in batches:
             lists = batch.column(at)
-            values, ends = lists.values.to_pylist(), lists.offsets.to_pylist()
-            data = [None if not ok else b"".join(map(raw.__getitem__, values[a:b]))
+            values, ends = lists.values.to_numpy(), lists.offsets.to_pylist()  # ids of a text at a time become objects
+            data = [None if not ok else b"".join(map(raw.__getitem__, values[a:b].tolist()))
                     for ok, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[*rest, "decoded"])
 
