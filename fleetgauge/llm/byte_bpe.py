@@ -36,7 +36,7 @@ LETTER, NUMBER, OTHER, SPACE, BREAK = range(5)
 LAST_SPACE, BLANK, SHORT, LONG = 5, 6, 7, 8
 #: States: a token of the class is open, a blank waits for its run, n letters of an ending are due.
 START, IN_LETTER, IN_NUMBER, IN_OTHER, IN_SPACE, WAITING, DUE_ONE, DUE_TWO = range(8)
-_CACHED = 250_000
+_CACHED = 150_000
 _NONE = 1 << 40
 _BLOCK = 256
 
@@ -298,7 +298,7 @@ def encode_texts(texts: list[str], merger: Merger) -> Iterator[list[int]]:
         yield list(chain.from_iterable(parts[a : b - 1]))
 
 
-def _groups(texts: list[str], limit: int = 1 << 21) -> Iterator[list[str]]:
+def _groups(texts: list[str], limit: int = 1 << 19) -> Iterator[list[str]]:
     """Consecutive texts of about `limit` code points together; a longer text alone."""
     held, size = [], 0
     for text in texts:
