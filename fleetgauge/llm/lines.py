@@ -7,9 +7,9 @@ and by the parity bits of their words (which differ in at most as many bits as t
 words). What is left is verified on whole word sets. A line goes if an earlier line, by document
 and then position, is as similar as `threshold`; repeats of a line are settled by its set alone.
 
-A first pass asks for one partner of each line per word, enough for most copies; only lines that
-it leaves open, though a word offered more than one partner, ask for all of them. So the pairs of
-a large group of copies are never written out.
+A first pass asks for the nearest partner of each line per word, and where parity leaves doubt for
+the next few as well; only lines that it leaves open, though a word offered more partners, ask for
+all of them. So the pairs of a large group of copies are never written out.
 """
 
 from __future__ import annotations
@@ -29,6 +29,10 @@ _BITS = 18
 #: About so many rows of a word meet in a task; words above are cut into parts that meet pairwise.
 _ROWS_OF_WORD = 20_000
 _LAST = (1 << 63) - 1
+#: Partners that a line in doubt asks for at first, and the spare parity bits that leave no doubt.
+_FEW = 4
+_SPARE = 2
+_MOST = 1 << 20
 
 
 #: Bytes hashed together.
@@ -166,71 +170,94 @@ def _by_line(add: np.ufunc, values: np.ndarray, start: np.ndarray) -> np.ndarray
     return add.reduceat(values, start) if len(start) else values[:0]
 
 
-def _partners(batches: Iterator[pa.RecordBatch], t: float, every: bool) -> Iterator[pa.RecordBatch]:
+def _partners(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
     """Possible partners of lines that share a word: columns of the later line, then the earlier
-    one. `every`: all of them, for lines marked `open`; else the nearest by parity, with `more`."""
+    one. The nearest by parity is given and, if that one could still fail, a few others; `more`
+    says that there are partners besides those given."""
     for rows in whole_runs(batches, "cell"):
-        cell, n = rows.column("cell").to_numpy(), rows.column("n").to_numpy()
-        order = np.lexsort((n, cell))
-        cell, n = cell[order], n[order].astype(np.int64)
-        id, line, pos, part = (rows.column(c).to_numpy()[order] for c in ("id", "line", "pos", "part"))
+        cell, size = rows.column("cell").to_numpy(), rows.column("size").to_numpy()
+        order = np.lexsort((size, cell))
+        cell, n, pos = cell[order], size[order] >> 32, size[order] & 0xFFFFFFFF
+        id, line, side = (rows.column(c).to_numpy()[order] for c in ("id", "line", "side"))
         parity, parity2 = (rows.column(c).to_numpy()[order].view(np.uint64) for c in ("parity", "parity2"))
-        alone, asks = (rows.column(c).to_numpy(zero_copy_only=False)[order] for c in ("alone", "open"))
-        pos = pos.astype(np.int64)
         stop = np.r_[np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell)]
         stop = stop[np.searchsorted(stop, np.arange(len(cell)), "right")]
-        best = np.full(len(cell), 1 << 40, np.int64)  # differing bits and index of the partner
+        best = np.full(len(cell), 1 << 60, np.int64)  # lack of spare bits and index of the partner
         seen = np.zeros(len(cell), np.int32)
-        alive, step, pairs = np.arange(len(cell)), 0, [(np.zeros(0, np.int64),) * 2]
+        pairs = [(np.zeros(0, np.int64),) * 2]
+        # the shorter of two lines has a common word among its first n - ceil(2 t n / (1 + t)) + 1
+        alive, step = np.flatnonzero(pos <= n - _ceiling(2 * t / (1 + t), n)), 0
         while len(alive):
             step += 1
             alive = alive[alive + step < stop[alive]]
             alive = alive[_ceiling(t, n[alive + step]) <= n[alive]]
             i, j = alive, alive + step
             need = _ceiling(t / (1 + t), n[i] + n[j])
-            most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
+            most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
             bits = np.bitwise_count(parity[i] ^ parity[j]).astype(np.int64) + np.bitwise_count(parity2[i] ^ parity2[j])
-            ok = (most >= need) & (bits <= n[i] + n[j] - 2 * need) & (alone[i] | (part[i] != part[j]))
+            spare = n[i] + n[j] - 2 * need - bits
+            ok = (most >= need) & (spare >= 0) & ((side[i] & 1 == 1) | (side[i] != side[j]))
             ok &= (id[i] != id[j]) | (line[i] != line[j])
-            i, j, bits = i[ok], j[ok], bits[ok]
+            i, j, spare = i[ok], j[ok], spare[ok]
             first = (id[i] < id[j]) | ((id[i] == id[j]) & (line[i] < line[j]))
             later, earlier = np.where(first, j, i), np.where(first, i, j)
-            if every:
-                mark = asks[later]
-                pairs.append((later[mark], earlier[mark]))
-            else:
-                np.minimum.at(best, later, bits * len(cell) + earlier)
-                np.add.at(seen, later, 1)
-        if every:
-            later, earlier = (np.concatenate(x) for x in zip(*pairs))
-        else:
-            later = np.flatnonzero(seen)
-            earlier = best[later] % len(cell)
+            np.minimum.at(best, later, np.maximum(_MOST - spare, 0) * len(cell) + earlier)
+            np.add.at(seen, later, 1)
+            few = (seen[later] <= _FEW) & (spare < _SPARE)
+            pairs.append((later[few], earlier[few]))
+        sure = best < (_MOST - _SPARE + 1) * len(cell)
+        later, earlier = (np.concatenate(x) for x in zip(*pairs))
+        doubt = ~sure[later]
+        nearest = np.flatnonzero((seen > _FEW) | (sure & (seen > 0)))
+        later, earlier = np.r_[later[doubt], nearest], np.r_[earlier[doubt], best[nearest] % len(cell)]
+        more = seen[later] > np.where(sure[later], 1, _FEW)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (id[later], line[later], id[earlier], line[earlier], cell[later], seen[later] > 1)],
+            [pa.array(x) for x in (id[later], line[later], id[earlier], line[earlier], cell[later], more)],
             names=["id", "line", "other_id", "other_line", "cell", "more"],
         )
 
 
 def _cells(sets: DataFrame) -> DataFrame:
-    """A row for each line, word of its prefix, and cell of that word."""
-    rows = sets.select("id", "line", "parity", "parity2", "n", "open", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "word"))
+    """A row for each line, word of its prefix, and cell of that word. `size`: words of the line,
+    and place of this one in the low half; `side`: twice the part, odd where a part meets itself."""
+    rows = sets.select("id", "line", "parity", "parity2", "n", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "word"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("id", "line"), F.col("word.parts")).cast("int"))
     rows = rows.withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("word.parts") - 1)))
     return rows.select(
         F.xxhash64("word.prefix", F.least("part", "meets"), F.greatest("part", "meets")).alias("cell"),
-        "id", "line", "parity", "parity2", "n", "pos", "part", (F.col("part") == F.col("meets")).alias("alone"), "open",
+        "id", "line", "parity", "parity2",
+        F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("size"),
+        (2 * F.col("part") + (F.col("part") == F.col("meets")).cast("int")).alias("side"),
     )
 
 
-def _met(cells: DataFrame, t: float, every: bool) -> DataFrame:
+def _met(cells: DataFrame, t: float) -> DataFrame:
     sorted_cells = cells.repartition("cell").sortWithinPartitions("cell")
     return sorted_cells.mapInArrow(
-        partial(_partners, t=t, every=every),
-        "id long, line int, other_id long, other_line int, cell long, more boolean",
+        partial(_partners, t=t), "id long, line int, other_id long, other_line int, cell long, more boolean"
     )
 
 
+def _all_partners(cells: DataFrame, asking: DataFrame, t: float) -> DataFrame:
+    """Every possible partner of the `asking` rows of `cells`: the filters of `_partners` as the
+    condition of a join, so that only what passes them becomes a row."""
+    theirs = cells.select("cell", *[F.col(c).alias(f"other_{c}") for c in cells.columns if c != "cell"])
+    mine, their = F.struct("id", "line"), F.struct("other_id", "other_line")
+    n, m = (F.shiftright(c, 32) for c in ("size", "other_size"))
+    pos, at = (F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in ("size", "other_size"))
+    need = F.ceil(t / (1 + t) * (n + m) - 1e-9)
+    bits = F.bit_count(F.col("parity").bitwiseXOR(F.col("other_parity"))) + F.bit_count(F.col("parity2").bitwiseXOR(F.col("other_parity2")))
+    near = (
+        (their < mine)
+        & (F.ceil(t * F.greatest(n, m) - 1e-9) <= F.least(n, m))
+        & ((F.col("side") % 2 == 1) | (F.col("side") != F.col("other_side")))
+        & (F.least(pos, at) + F.least(n - pos, m - at) >= need)
+        & (bits <= n + m - 2 * need)
+    )
+    joined = theirs.join(asking, (theirs["cell"] == asking["cell"]) & near)
+    return joined.select("id", "line", "other_id", "other_line")
+
+
 def _words(line: Column) -> Column:
     return F.array_distinct(F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
 
@@ -273,13 +300,13 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id",
         .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min_by("prefix", place).alias("prefix"), F.min_by("parts", place).alias("parts"))
         .select("key", "parity", "parity2", "n", "first.*", (F.col("first") != F.col("last")).alias("again"), "prefix", "parts")
     )
-    met = pinned(_met(_cells(sets.withColumn("open", F.lit(True))), threshold, False))
+    cells = _cells(sets)
+    met = pinned(_met(cells, threshold))
     found = pinned(_verified(met, docs, id, text, threshold))
     left = pinned(met.where("more").join(found, ["id", "line"], "left_anti").select("id", "line", "cell").distinct())
-    asks = pinned(left.select("id", "line", F.lit(True).alias("asks")).distinct())
-    cells = _cells(sets.join(asks, ["id", "line"], "left").withColumn("open", F.coalesce("asks", F.lit(False))))
-    rest = _met(cells.join(pinned(left.select("cell").distinct()), "cell", "left_semi"), threshold, True)
-    also = _verified(pinned(rest), docs, id, text, threshold)
+    open_sets = sets.join(left.select("id", "line").distinct(), ["id", "line"], "left_semi")
+    asking = pinned(_cells(open_sets).join(left, ["id", "line", "cell"], "left_semi"))
+    also = _verified(pinned(_all_partners(cells, asking, threshold)), docs, id, text, threshold)
     identity = ["key", "parity", "parity2", "n"]
     again = lines.join(sets.where("again").select(*identity, F.struct("id", "line").alias("first")), identity)
     copies = again.where(F.struct("id", "line") > F.col("first")).select("id", "line")
