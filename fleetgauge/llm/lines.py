@@ -270,7 +270,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id: str, text: str, t: float) -
     named = docs.select(F.coalesce(F.col(id), F.lit(_LAST)).alias("id"), F.col(text).alias("text"))
     split = F.split("text", "\n")
     words = (
-        named.join(asked, "id")
+        named.join(asked.hint("shuffle_hash"), "id")  # one kind of join at every size
         .select("id", F.explode("lines").alias("line"), split.alias("all"))
         .where(F.col("line") < F.size("all"))
         .select("id", "line", _words(F.element_at("all", F.col("line") + 1)).alias("words"))
@@ -319,7 +319,7 @@ def deduplicated(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", te
     which every line goes becomes empty; NULL stays NULL. A column n_chars follows the new text."""
     key, lines = fresh(docs, "line_id__", "gone__")
     gone = pinned(repeated_lines(docs, threshold, id, text)).select(F.col("id").alias(key), F.col("lines").alias(lines))
-    joined = docs.withColumn(key, F.coalesce(F.col(id), F.lit(_LAST))).join(gone, key, "left")
+    joined = docs.withColumn(key, F.coalesce(F.col(id), F.lit(_LAST))).join(gone.hint("shuffle_hash"), key, "left")
     kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(lines, i)), "\n")
     out = joined.withColumn(text, F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept))
     if "n_chars" in docs.columns:
