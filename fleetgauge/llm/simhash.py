@@ -27,19 +27,24 @@ _CELL = 2048
 _PAIRS = 400_000
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    """Majority of the bits of the XXH64 (seed 42) of all shingles of `width` words, repeats
-    included; the whole sequence if it is shorter; 0 without words."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 (seed 42) of all shingles of `width` words, repeats included; of the whole sequence
+    if it is shorter; none without words."""
     # bytes.split() without arguments splits at exactly these six white-space bytes
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.r_[0, ends[:-1] + 1]
     width = min(width, len(words))
     slices = map(slice, starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, slices), repeat(42)), np.uint64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, slices), repeat(42)), np.uint64)
+
+
+def fingerprint(text: str | None, width: int) -> int:
+    """Majority of the bits of the hashes of all shingles of `width` words; 0 without words."""
+    hashes = shingle_hashes(text, width)
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         bits = np.unpackbits(hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
