@@ -12,24 +12,23 @@ from fleetgauge.plans import bindings as view
 from fleetgauge.plans.registry import (
     FLEET, GAPS, LABELLED, as_int, query, r6, text_key_sql, uniform_sql,
 )
-from fleetgauge.schema import KEYS
+from fleetgauge.schema import KEYS, feature_columns
 from fleetgauge.session import pinned, scratch_path
 from fleetgauge.streaming import jobs
 
-FEATURES = ["sensor_2_mean_w10", "sensor_2_std_w10", "sensor_1_mean_w10", "cycle_age"]
-
 
 def rounded(*columns: str) -> list:
     return [F.round(F.col(c), 6).alias(c) for c in columns]
 
 
-def _learning_split(spark, sf_dir) -> splits.Split:
+def _learning_split(spark, sf_dir) -> tuple[splits.Split, list[str]]:
+    """Held-out units over all sensors, windows and lags, and the names of the features."""
     fleet = view.labelled(view.fleet(spark, sf_dir))
-    df = feat.add_features(fleet.df, ["sensor_1", "sensor_2"], windows=[10], lags=[1], hot=fleet.hot, dense=True)
-    df = df.withColumn("cycle_age", F.col("cycle").cast("double"))
-    kept = pinned(df.select(*KEYS, "cycle", "rul", "label_within_x", *FEATURES))
-    split = splits.holdout_split(kept, FEATURES)
-    return split._replace(train=pinned(split.train), test=pinned(split.test))
+    df = feat.add_features(fleet.df, hot=fleet.hot, dense=True).withColumn("cycle_age", F.col("cycle").cast("double"))
+    kept = pinned(df)
+    features = feature_columns(kept.columns)
+    split = splits.holdout_split(kept, features)
+    return split._replace(train=pinned(split.train), test=pinned(split.test)), features
 
 
 def _evaluated(scored):
@@ -39,51 +38,50 @@ def _evaluated(scored):
 
 @query("y2_logistic")
 def y2_logistic(spark, sf_dir):
-    split = _learning_split(spark, sf_dir)
-    model = models.train_logistic(split.train, FEATURES)
-    return _evaluated(models.score_risk(model, split.test, FEATURES))
+    split, features = _learning_split(spark, sf_dir)
+    model = models.train_logistic(split.train, features)
+    return _evaluated(models.score_risk(model, split.test, features))
 
 
 @query("y3_random_forest")
 def y3_random_forest(spark, sf_dir):
-    split = _learning_split(spark, sf_dir)
-    model = models.train_forest(split.train, FEATURES, trees=20, depth=8)
-    return _evaluated(models.score_risk(model, split.test, FEATURES))
+    split, features = _learning_split(spark, sf_dir)
+    model = models.train_forest(split.train, features)
+    return _evaluated(models.score_risk(model, split.test, features))
 
 
 @query("y4_boosted_trees")
 def y4_boosted_trees(spark, sf_dir):
-    split = _learning_split(spark, sf_dir)
-    model = models.train_boosted(split.train, FEATURES, rounds=8, depth=4)
-    return _evaluated(models.score_risk(model, split.test, FEATURES))
+    split, features = _learning_split(spark, sf_dir)
+    model = models.train_boosted(split.train, features)
+    return _evaluated(models.score_risk(model, split.test, features))
 
 
 @query("y5_rul_regressor")
 def y5_rul_regressor(spark, sf_dir):
-    split = _learning_split(spark, sf_dir)
-    model = models.train_rul_regressor(split.train, FEATURES, rounds=8, depth=4)
-    out = metrics.regression_metrics(models.score_rul(model, split.test, FEATURES), ["variant"])
+    split, features = _learning_split(spark, sf_dir)
+    model = models.train_rul_regressor(split.train, features)
+    out = metrics.regression_metrics(models.score_rul(model, split.test, features), ["variant"])
     return out.select("variant", *rounded("mae", "rmse", "asymmetric_penalty"))
 
 
 @query("y6_parameter_search")
 def y6_parameter_search(spark, sf_dir):
-    """Three trials with few rounds; the holdout scores are compared in one job."""
-    split = _learning_split(spark, sf_dir)
-    limits = {"rounds": 3, "depth": 3}
-    _, _, results = models.search_boosted(split.train, FEATURES, trials=3, limits=limits)
+    """The holdout scores of all trials are compared in one job."""
+    split, features = _learning_split(spark, sf_dir)
+    _, _, results = models.search_boosted(split.train, features)
     return results.select("trial", *rounded("pr_auc"))
 
 
 @query("s8_model_round_trip")
 def s8_model_round_trip(spark, sf_dir):
     """Scores of a saved and reloaded model against the original: largest difference."""
-    split = _learning_split(spark, sf_dir)
-    model = models.train_logistic(split.train, FEATURES)
+    split, features = _learning_split(spark, sf_dir)
+    model = models.train_logistic(split.train, features)
     path = scratch_path(spark, "model")
     models.save_model(model, path)
-    first = models.score_risk(model, split.test, FEATURES)
-    second = models.score_risk(models.load_model(path), first.withColumnRenamed("risk", "before"), FEATURES)
+    first = models.score_risk(model, split.test, features)
+    second = models.score_risk(models.load_model(path), first.withColumnRenamed("risk", "before"), features)
     return second.agg(
         F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("risk") - F.col("before"))).alias("largest_gap")
     )
@@ -91,9 +89,9 @@ def s8_model_round_trip(spark, sf_dir):
 
 @query("y13_importances")
 def y13_importances(spark, sf_dir):
-    split = _learning_split(spark, sf_dir)
-    model = models.train_forest(split.train, FEATURES, trees=10, depth=6)
-    return spark.createDataFrame(models.importances(model, FEATURES), "feature string, importance double")
+    split, features = _learning_split(spark, sf_dir)
+    model = models.train_forest(split.train, features)
+    return spark.createDataFrame(models.importances(model, features), "feature string, importance double")
 
 
 _COEF = {"sensor_1": 0.02, "sensor_2": -0.03, "sensor_3": 0.1}
@@ -124,25 +122,25 @@ def y14_contributions(spark, sf_dir):
 @query("y16_sequence_classifier")
 def y16_sequence_classifier(spark, sf_dir):
     fleet = view.labelled(view.fleet(spark, sf_dir))
-    sequences = pinned(feat.add_sequences(fleet.df, ["sensor_1", "sensor_2"], 10, hot=fleet.hot, dense=True))
+    sequences = pinned(feat.add_sequences(fleet.df, ["sensor_1", "sensor_2"], hot=fleet.hot, dense=True))
     sides = pinned(splits.assign_units(fleet.df))
     train = sequences.join(sides.where("is_train"), KEYS, "left_semi")
     test = sequences.join(sides.where("NOT is_train"), KEYS, "left_semi")
-    return _evaluated(models.score_sequences(models.train_sequence_classifier(train, 20), test))
+    return _evaluated(models.score_sequences(models.train_sequence_classifier(train), test))
 
 
 @query("y7_fitted_intervals")
 def y7_fitted_intervals(spark, sf_dir):
     """Residual-quantile intervals around a fitted regressor: coverage on held-out units."""
-    split = _learning_split(spark, sf_dir)
+    split, features = _learning_split(spark, sf_dir)
     sides = pinned(splits.assign_units(split.train, 0.75, seed=7))  # a quarter of the units calibrates
     fitted = split.train.join(sides.where("is_train"), KEYS, "left_semi")
     unseen = split.train.join(sides.where("NOT is_train"), KEYS, "left_semi")
-    model = models.train_rul_regressor(fitted, FEATURES, rounds=5, depth=4)
-    calibration = pinned(models.score_rul(model, unseen, FEATURES))
+    model = models.train_rul_regressor(fitted, features)
+    calibration = pinned(models.score_rul(model, unseen, features))
     shifts = uncertainty.residual_quantiles(calibration, width=20.0)
     overall = uncertainty.overall_quantiles(calibration)
-    scored = uncertainty.add_rul_interval(models.score_rul(model, split.test, FEATURES), shifts, 20.0, overall=overall)
+    scored = uncertainty.add_rul_interval(models.score_rul(model, split.test, features), shifts, 20.0, overall=overall)
     out = metrics.interval_coverage(scored, ["variant"], "rul", "rul_lower", "rul_upper")
     return out.select("variant", "n", *rounded("coverage", "mean_width"))
 
@@ -150,10 +148,10 @@ def y7_fitted_intervals(spark, sf_dir):
 @query("k8_fitted_schedule")
 def k8_fitted_schedule(spark, sf_dir):
     """Last reading of every held-out unit through a fitted classifier and the cost policy."""
-    split = _learning_split(spark, sf_dir)
-    model = models.train_logistic(split.train, FEATURES)
+    split, features = _learning_split(spark, sf_dir)
+    model = models.train_logistic(split.train, features)
     last = feat.last_rows(split.test)
-    scored = uncertainty.add_rul_fallback(models.score_risk(model, last, FEATURES))
+    scored = uncertainty.add_rul_fallback(models.score_risk(model, last, features))
     return policy.alerts(scored, reference_date=dt.date(2026, 1, 1)).orderBy("variant", "unit_id")
 
 
@@ -181,7 +179,7 @@ def y8_survival_rows(spark, sf_dir):
 
 @query("y9_cox_model")
 def y9_cox_model(spark, sf_dir):
-    model = survival.fit_cox(_units(spark, sf_dir), ["sensor_1", "sensor_2"], iterations=8)
+    model = survival.fit_cox(_units(spark, sf_dir), ["sensor_1", "sensor_2"])
     rows = [(f, float(c)) for f, c in model.coefficients.items()]
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
