@@ -2,53 +2,52 @@
 
 P(w | v) of a class discounts its pair counts and backs off to the class's own continuation
 counts, which back off to the continuation counts of both classes together, then to a uniform
-floor. Of pairs that share a bucket the most frequent one is kept, the others are left to back-off.
-A word's difference is that of the two classes' log-likelihoods, bounded by the difference of its
-continuation probabilities, so that a passage copied within one class proves nothing by itself. A
-text is judged by its mean difference per word and by what exceeds `_STRONG` per word; a logistic curve fitted on labelled texts that gave no
-counts turns these into a score. Words and pairs are kept in 2**_BITS hash buckets, so the tables
-are bounded, however large the corpus.
+floor of one unknown word. A word's difference is that of the two classes' log-likelihoods, bounded
+by the difference of its continuation probabilities, so that a passage copied within one class
+proves nothing by itself. A text is judged by its mean difference per word and by what exceeds
+`_STRONG` per word; a logistic curve fitted on labelled texts that gave no counts turns these into
+a score.
+
+Words are 64-bit hashes. All labelled pairs, singletons too, are counted in tables that grow with
+the corpus and never reach the driver; the distinct pairs of the texts are joined with them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import fresh, pinned, remainder, table
 
-_BITS = 19
-_MASK = (1 << _BITS) - 1
-_START = _MASK  # stands before the first word of a text
+_START = 0  # stands before the first word of a text
 _DISCOUNT = 0.75
 _STRONG = 3.0
 _MARKS = bytes.maketrans(b".,;:!?\"'()[]{}|*#%&$-_/\\", b" " * 24)
-FIRST, NEXT = range(2)
 
 
-class _Buckets(dict):
-    """Bounded cache from word to bucket."""
+class _Hashes(dict):
+    """Bounded cache from word to its signed 64-bit hash."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 400_000:
             self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word) % _MASK
+        h = xxhash.xxh64_intdigest(word)
+        self[word] = h = h - (1 << 64) if h >> 63 else h
         return h
 
 
-_BUCKET = _Buckets()
+_BUCKET = _Hashes()
 
 
 def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all words in lower case without marks, and the number of words of each text."""
+    """Hashes of all words in lower case without marks, and the number of words of each text."""
     flat: list[int] = []
     sizes = []
     for text in texts:
@@ -64,136 +63,132 @@ def _before(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return before
 
 
-def _pair_bucket(first: np.ndarray, word: np.ndarray) -> np.ndarray:
-    mixed = (first.astype(np.uint64) << np.uint64(_BITS) | word.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - _BITS)).astype(np.int64)
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word pairs of (label, text) rows with their counts in label 0 and 1."""
+def _pairs(batches: Iterator[pa.RecordBatch], once: bool) -> Iterator[pa.RecordBatch]:
+    """Distinct (of, first, word) with their number `n` from (of, text) rows, batch by batch; `once`:
+    of rows with the same `of` only one."""
     for batch in batches:
+        if once:
+            batch = batch.take(pa.array(np.unique(batch.column(0).to_numpy(), return_index=True)[1]))
         words, sizes = _words(batch.column(1).to_pylist())
-        label = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), sizes)
-        packed = (words << _BITS | _before(words, sizes)) << 1 | label
-        found, n = np.unique(packed, return_counts=True)
-        toxic = found & 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((found >> 1 + _BITS).astype(np.int32)), pa.array((found >> 1 & _MASK).astype(np.int32)),
-             pa.array(np.where(toxic, 0, n)), pa.array(np.where(toxic, n, 0))],
-            names=["word", "first", "n0", "n1"],
-        )
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a partition of distinct pairs adds to the sums by bucket: words and kinds of words
-    that follow a first word; kinds of words before a word, in each class and in any."""
-    size = 1 << _BITS
-    total = np.zeros((2, 4, size), np.float64)
-    for batch in batches:
-        word, first, *n = (batch.column(c).to_numpy().astype(np.int64) for c in ("word", "first", "n0", "n1"))
-        for k in (0, 1):
-            total[FIRST, k] += np.bincount(first, n[k], size)
-            total[FIRST, 2 + k] += np.bincount(first, n[k] > 0, size)
-            total[NEXT, k] += np.bincount(word, n[k] > 0, size)
-        total[NEXT, 2] += np.bincount(word, minlength=size)
-    for kind in (FIRST, NEXT):
-        at = np.flatnonzero(total[kind].any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), *(pa.array(x[at]) for x in total[kind])],
-            names=["kind", "bucket", "a", "b", "c", "d"],
-        )
-
-
-def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        first, word = (batch.column(c).to_numpy().astype(np.int64) for c in ("first", "word"))
-        bucket = pa.array(_pair_bucket(first, word).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([*batch.columns, bucket], names=["word", "first", "n0", "n1", "bucket"])
+        of, before = np.repeat(batch.column(0).to_numpy(), sizes), _before(words, sizes)
+        order = np.lexsort((words, before, of))
+        of, before, words = of[order], before[order], words[order]
+        new = np.ones(len(words), bool)
+        new[1:] = (of[1:] != of[:-1]) | (before[1:] != before[:-1]) | (words[1:] != words[:-1])
+        at = np.flatnonzero(new)
+        n = np.diff(np.r_[at, len(words)])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (of[at], before[at], words[at], n)], names=["of", "first", "word", "n"])
+
+
+def _paired(rows: DataFrame, once: bool = False) -> DataFrame:
+    return rows.mapInArrow(lambda batches: _pairs(batches, once), "of long, first long, word long, n long")
 
 
 @dataclass
 class Tables:
-    """Log-likelihood parts by bucket and class; no rows of a class make its model uniform."""
-
-    names: np.ndarray
-    pair: np.ndarray
-    count: np.ndarray
-    kinds: np.ndarray
-    single: np.ndarray
+    """Counts as tables: `pairs` (first, word, n0, n1), `firsts` (first, c0, c1, k0, k1: words and kinds of
+    words after it), `words` (word, s0, s1: P of its class without a word before), and `unknown`, the
+    same two of a word that is in no labelled text. Without rows of a class its model is uniform."""
+
+    pairs: DataFrame
+    firsts: DataFrame
+    words: DataFrame
+    unknown: tuple[float, float]
+
+    def differences(self, asked: DataFrame) -> DataFrame:
+        """`asked` (first, word) with `diff`: log P_toxic - log P_ordinary of the word after the first."""
+        rows = asked.join(self.pairs, ["first", "word"], "left")
+        rows = rows.join(self.firsts, "first", "left").join(self.words, "word", "left")
+        logs, single = [], []
+        for k in (0, 1):
+            count, kinds = F.coalesce(f"c{k}", F.lit(0.0)), F.col(f"k{k}")
+            alone = F.coalesce(f"s{k}", F.lit(self.unknown[k]))
+            back = F.when(count > 0, F.least(F.lit(1.0), _DISCOUNT * kinds / count)).otherwise(1.0)
+            own = F.greatest(F.coalesce(f"n{k}", F.lit(0)) - _DISCOUNT, F.lit(0.0))
+            logs.append(F.log(F.when(count > 0, own / count).otherwise(0.0) + back * alone))
+            single.append(F.log(alone))
+        both, alone = logs[1] - logs[0], single[1] - single[0]
+        bounded = F.signum(both) * F.least(F.abs(both), F.abs(alone))
+        return rows.select("first", "word", F.when(both * alone > 0, bounded).otherwise(0.0).alias("diff"))
 
     def difference(self, words: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """log P_toxic - log P_ordinary of each word after the one before it."""
-        pair = _pair_bucket(before, words)
-        known = self.names[pair] == (words << _BITS | before)
-        logs = []
-        for k in (0, 1):
-            count = self.count[k][before]
-            seen = count > 0
-            count = np.where(seen, count, 1)
-            back = np.where(seen, np.minimum(1, _DISCOUNT * self.kinds[k][before] / count), 1)
-            own = np.where(known, np.maximum(self.pair[k][pair] - _DISCOUNT, 0), 0) / count
-            logs.append(np.log(own + back * self.single[k][words]))
-        both = logs[1] - logs[0]
-        alone = np.log(self.single[1][words] / self.single[0][words])
-        return np.where(both * alone > 0, np.sign(both) * np.minimum(np.abs(both), np.abs(alone)), 0)
+        """`differences` of a few pairs."""
+        asked = [(int(b), int(w)) for b, w in zip(before, words)]
+        found = self.differences(self.pairs.sparkSession.createDataFrame(asked, "first long, word long").distinct())
+        diff = {(r.first, r.word): r.diff for r in found.select("first", "word", "diff").collect()}
+        return np.array([diff[a] for a in asked])
+
+    # For looking at small tables only; scoring does not read these.
+    @cached_property
+    def _first(self) -> dict:
+        return {r["first"]: r for r in self.firsts.collect()}
+
+    @property
+    def count(self) -> list[dict]:
+        return [{w: r[f"c{k}"] for w, r in self._first.items()} for k in (0, 1)]
+
+    @property
+    def kinds(self) -> list[dict]:
+        return [{w: r[f"k{k}"] for w, r in self._first.items()} for k in (0, 1)]
+
+    @property
+    def single(self) -> np.ndarray:
+        rows = [(r.s0, r.s1) for r in self.words.collect()]
+        return np.array([*rows, self.unknown]).T
 
 
 def count_tables(labelled: DataFrame) -> Tables:
-    """Tables from `labelled` (label 0/1, text): pair counts are shuffled and summed in Spark; the
-    driver gets at most 3 * 2**19 rows: sums by word bucket, one pair by pair bucket (seen twice at
-    least; rarer pairs are what back-off is for)."""
-    pairs = labelled.select(F.col("label").cast("int"), "text").mapInArrow(_pairs, "word int, first int, n0 long, n1 long")
-    pairs = pinned(pairs.groupBy("word", "first").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    size = 1 << _BITS
-    sums = pairs.mapInArrow(_parts, "kind int, bucket int, a double, b double, c double, d double")
-    rows = sums.groupBy("kind", "bucket").agg(*[F.sum(c).cast("float").alias(c) for c in "abcd"]).toArrow()
-    total = np.zeros((2, 4, size), np.float32)
-    kind, bucket = rows.column("kind").to_numpy(), rows.column("bucket").to_numpy()
-    for i, c in enumerate("abcd"):
-        total[kind, i, bucket] = rows.column(c).to_numpy()
-    frequent = F.max(F.struct((F.col("n0") + F.col("n1")).alias("n"), "word", "first", "n0", "n1")).alias("top")
-    again = pairs.where("n0 + n1 > 1").mapInArrow(_bucketed, "word int, first int, n0 long, n1 long, bucket int")
-    rows = again.groupBy("bucket").agg(frequent).select("bucket", "top.*").toArrow()
-    names, pair = np.full(size, -1, np.int64), np.zeros((2, size), np.float32)
-    bucket = rows.column("bucket").to_numpy()
-    names[bucket] = rows.column("word").to_numpy().astype(np.int64) << _BITS | rows.column("first").to_numpy()
-    pair[:, bucket] = [rows.column("n0").to_numpy(), rows.column("n1").to_numpy()]
-    shared = (total[NEXT, 2] + 1) / (float(total[NEXT, 2].sum(dtype=np.float64)) + size)
-    single = []
-    for k in (0, 1):
-        kinds = total[NEXT, k]
-        n, types = float(kinds.sum(dtype=np.float64)), float((kinds > 0).sum())
-        single.append((np.maximum(kinds - _DISCOUNT, 0) + _DISCOUNT * types * shared) / n if n else shared)
-    return Tables(names, pair, total[FIRST, :2], total[FIRST, 2:4], np.array(single))
-
-
-def measures(texts: list[str | None], tables: Tables) -> np.ndarray:
-    """Per text: mean difference per word, and the logarithm of the mean excess over `_STRONG`,
-    smoothed by ten words without any. Texts without words: as words without any difference."""
-    words, sizes = _words(texts)
-    diff = tables.difference(words, _before(words, sizes)) if len(words) else np.zeros(0)
-    end = np.cumsum(sizes)
-    sums = []
-    for part in (diff, np.maximum(diff - _STRONG, 0)):
-        run = np.r_[0, np.cumsum(part)]
-        sums.append(run[end] - run[end - sizes])
-    return np.c_[sums[0] / np.maximum(sizes, 1), np.log(np.maximum(sums[1], 0) / (sizes + 10) + 0.001)]
-
-
-def _measured(docs: DataFrame, shared: Broadcast, text: str, names: list[str]) -> DataFrame:
-    at, rest = docs.columns.index(text), docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = measures(batch.column(at).to_pylist(), shared.value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c) for c in x.T)], names=[*rest, *names])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)]))
+    """Tables from `labelled` (label 0/1, text): every pair and word of them, summed in Spark; the
+    driver gets five totals."""
+    found = _paired(labelled.select(F.col("label").cast("long"), "text"))
+    n0, n1 = F.sum(F.when(F.col("of") == 0, F.col("n")).otherwise(0)), F.sum(F.when(F.col("of") == 1, F.col("n")).otherwise(0))
+    pairs = pinned(found.groupBy("first", "word").agg(n0.alias("n0"), n1.alias("n1")))
+    sums = [F.sum(f"n{k}").cast("double").alias(f"c{k}") for k in (0, 1)]
+    kinds = [F.sum((F.col(f"n{k}") > 0).cast("int")).cast("double").alias(f"k{k}") for k in (0, 1)]
+    firsts = pinned(pairs.groupBy("first").agg(*sums, *kinds))
+    after = pinned(pairs.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("any"), *kinds))
+    totals = after.agg(
+        F.count(F.lit(1)), F.sum("any"), *[F.sum(f"k{k}") for k in (0, 1)],
+        *[F.sum((F.col(f"k{k}") > 0).cast("int")) for k in (0, 1)],
+    ).first()
+    size, every, n, types = totals[0] + 1, totals[1] or 0.0, totals[2:4], totals[4:6]
+
+    def alone(k: int, kinds: Column, shared: Column) -> Column:
+        return (F.greatest(kinds - _DISCOUNT, F.lit(0.0)) + _DISCOUNT * types[k] * shared) / n[k] if n[k] else shared
+
+    shared = (F.col("any") + 1) / (every + size)
+    words = after.select("word", *[alone(k, F.col(f"k{k}"), shared).alias(f"s{k}") for k in (0, 1)])
+    floor = 1 / (every + size)
+    unknown = tuple(float(_DISCOUNT * types[k] * floor / n[k] if n[k] else floor) for k in (0, 1))
+    return Tables(pairs, firsts, pinned(words), unknown)
+
+
+def measures(texts: DataFrame, tables: Tables) -> DataFrame:
+    """(of, text), `of` naming a text, to (of, whole, strong): mean difference per word, and the
+    logarithm of the mean excess over `_STRONG`, smoothed by ten words without any. Texts without
+    words have no row."""
+    pairs = pinned(_paired(texts, once=True).groupBy("of", "first", "word").agg(F.max("n").alias("n")))
+    diffs = pinned(tables.differences(pairs.select("first", "word").distinct()))
+    rows = pairs.join(diffs, ["first", "word"])
+    sums = rows.groupBy("of").agg(
+        F.sum("n").alias("size"), F.sum(F.col("n") * F.col("diff")).alias("sum"),
+        F.sum(F.col("n") * F.greatest(F.col("diff") - _STRONG, F.lit(0.0))).alias("excess"),
+    )
+    return sums.select("of", (F.col("sum") / F.col("size")).alias("whole"), F.log(F.col("excess") / (F.col("size") + 10) + 0.001).alias("strong"))
+
+
+def _measured(docs: DataFrame, tables: Tables, text: str, names: list[str]) -> DataFrame:
+    (of,) = fresh(docs, "of__")
+    keyed = docs.withColumn(of, F.xxhash64(text))  # a score depends on the text alone: copies are measured once
+    found = measures(keyed.select(F.col(of).alias("of"), F.col(text).alias("text")), tables)
+    found = found.select(F.col("of").alias(of), *[F.col(c).alias(n) for c, n in zip(("whole", "strong"), names)])
+    rows = keyed.join(found, of, "left").drop(of)
+    return rows.withColumns({names[0]: F.coalesce(names[0], F.lit(0.0)), names[1]: F.coalesce(names[1], F.lit(float(np.log(0.001))))})
 
 
 @dataclass
 class Model:
-    tables: Broadcast
+    tables: Tables
     weights: list[float]
     intercept: float
 
@@ -201,7 +196,7 @@ class Model:
 def fit(labelled: DataFrame, calibration: DataFrame) -> Model:
     """Counts from `labelled`, the curve from `calibration` (both label 0/1, text; all rows). If a
     class is missing in the calibration rows the score is the smoothed share of label 1."""
-    tables = labelled.sparkSession.sparkContext.broadcast(count_tables(labelled))
+    tables = count_tables(labelled)
     rows = pinned(_measured(calibration.select("label", "text"), tables, "text", ["whole", "strong"]).drop("text"))
     counts = dict(rows.groupBy("label").count().collect())
     if len(counts) < 2:
