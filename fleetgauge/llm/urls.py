@@ -8,6 +8,8 @@ trust. A host's own seed is no evidence on its other pages, since rules hold for
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,16 +49,16 @@ def host_links(pages: DataFrame, host: str = "host", page: str = "html") -> Data
     return links.where("source <> target and source <> ''").groupBy("source", "target").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def spread(links: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 50) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
     """Personalised PageRank (host, rank, linked) from `seeds` (host, seed; summing to 1) along `links`.
 
     Each round is one join and one pre-aggregated sum, written as a table; it ends when ranks move
-    by less than `tolerance` in total. Rank of hosts without links out goes nowhere. `linked` is the
+    by less than `tolerance` in total, which the damping brings about. Rank of hosts without links out goes nowhere. `linked` is the
     part of a rank that came over links."""
     out = links.groupBy("source").agg(F.sum("weight").alias("total"))
     shares = pinned(links.join(out, "source").select("source", "target", (F.col("weight") / F.col("total")).alias("share")))
     ranks = pinned(seeds.select("host", F.col("seed").alias("rank")))
-    for _ in range(rounds):
+    for _ in range(math.ceil(math.log(tolerance / 2) / math.log(damping)) + 1):  # round k moves 2 * damping**k at most
         moved = shares.join(ranks.withColumnRenamed("host", "source"), "source").select(
             F.col("target").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank")
         )
