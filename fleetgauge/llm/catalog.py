@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, divergence, embedding_dedup, lines, mixing, neighbours, pages, quality, simhash, toxicity, urls
+from . import byte_bpe, chat, divergence, embedding_dedup, lines, mixing, neighbours, pages, quality, simhash, toxicity, urls
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_html_extraction": pages.query,
     "op10_byte_bpe": byte_bpe.query,
     "op12_source_divergence": divergence.query,
+    "op13_chat_format": chat.query,
 }
 
-ORACLES = {"op2_mixing": mixing.ORACLE, "op12_source_divergence": divergence.ORACLE}
+ORACLES = {"op2_mixing": mixing.ORACLE, "op12_source_divergence": divergence.ORACLE, "op13_chat_format": chat.ORACLE}

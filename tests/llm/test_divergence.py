@@ -94,7 +94,7 @@ def test_long_texts_are_counted_as_short_ones():
     divergence._add(*whole, text)
     assert whole[0] == {b"one": 120_000, b"two": 120_000, "ÉÉ".encode(): 120_000}
     assert set(whole[1].values()) == {1}
-    divergence._add(*parts, text[: 11 * 10])
+    divergence._add(*parts, text[: 13 * 10])
     assert set(parts[0]) == {b"one", b"two", "ÉÉ".encode()}
 
 
