@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, chat, divergence, embedding_dedup, lines, mixing, neighbours, pages, quality, simhash, toxicity, urls
+from . import byte_bpe, chat, divergence, embedding_dedup, lines, mixing, neighbours, pages, quality, simhash, toxicity, urls, whitening
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash": simhash.query,
     "op9_html_extraction": pages.query,
     "op10_byte_bpe": byte_bpe.query,
+    "op11_whitening": whitening.query,
     "op12_source_divergence": divergence.query,
     "op13_chat_format": chat.query,
 }
