@@ -19,6 +19,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,11 @@ _LAST = (1 << 63) - 1
 _FEW = 4
 _SPARE = 2
 _MOST = 1 << 20
+#: Lines of a text whose words are written together.
+_SLICE = 4096
+#: What names a line: its document's id and, where ids don't tell documents apart, a hash of its text.
+_LINE = ["id", "digest", "line"]
+_OTHER = ["other_id", "other_digest", "other_line"]
 
 
 #: Bytes hashed together.
@@ -128,12 +134,13 @@ def _line_rows(batches: Iterator[pa.RecordBatch], counts: np.ndarray, t: float)
     place = np.empty(1 << _BITS, np.int64)
     place[np.argsort(counts, kind="stable")] = np.arange(1 << _BITS)
     for batch in batches:
-        named = batch.column(0).fill_null(_LAST).to_numpy()
-        for before, raws in _pieces(batch.column(1).to_pylist()):
-            yield _rows_of(named[before : before + len(raws)], raws, counts, place, t)
+        named, digest = batch.column(0).fill_null(_LAST).to_numpy(), batch.column(1).to_numpy()
+        for before, raws in _pieces(batch.column(2).to_pylist()):
+            of = slice(before, before + len(raws))
+            yield _rows_of(named[of], digest[of], raws, counts, place, t)
 
 
-def _rows_of(named: np.ndarray, raws: list[bytes], counts: np.ndarray, place: np.ndarray, t: float) -> pa.RecordBatch:
+def _rows_of(named: np.ndarray, digest: np.ndarray, raws: list[bytes], counts: np.ndarray, place: np.ndarray, t: float) -> pa.RecordBatch:
     raw = b"\n".join(raws)
     start, hashes = _hashed(raw)
     breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
@@ -147,7 +154,7 @@ def _rows_of(named: np.ndarray, raws: list[bytes], counts: np.ndarray, place: np
     size = np.diff(np.r_[start, len(line)])
     first = np.searchsorted(breaks, np.cumsum([0, *(len(r) + 1 for r in raws[:-1])]))  # each text's first line
     text = np.searchsorted(first, line[start], "right") - 1
-    ids, numbers = named[text], (line[start] - first[text]).astype(np.int32)
+    numbers = (line[start] - first[text]).astype(np.int32)
     with np.errstate(over="ignore"):
         mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         key = _by_line(np.add, mixed ^ (mixed >> np.uint64(32)), start)
@@ -159,10 +166,10 @@ def _rows_of(named: np.ndarray, raws: list[bytes], counts: np.ndarray, place: np
     parts = np.maximum(1, -(-counts[bucket[chosen]] // _ROWS_OF_WORD)).astype(np.int32)
     ends = np.r_[0, np.cumsum(prefix)].astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(numbers), pa.array(key.view(np.int64)),
+        [pa.array(named[text]), pa.array(digest[text]), pa.array(numbers), pa.array(key.view(np.int64)),
          *(pa.array(p.view(np.int64)) for p in parity), pa.array(size.astype(np.int32)),
          pa.ListArray.from_arrays(ends, short), pa.ListArray.from_arrays(ends, parts)],
-        names=["id", "line", "key", "parity", "parity2", "n", "prefix", "parts"],
+        names=["id", "digest", "line", "key", "parity", "parity2", "n", "prefix", "parts"],
     )
 
 
@@ -178,7 +185,7 @@ def _partners(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.Record
         cell, size = rows.column("cell").to_numpy(), rows.column("size").to_numpy()
         order = np.lexsort((size, cell))
         cell, n, pos = cell[order], size[order] >> 32, size[order] & 0xFFFFFFFF
-        id, line, side = (rows.column(c).to_numpy()[order] for c in ("id", "line", "side"))
+        id, digest, line, side = (rows.column(c).to_numpy()[order] for c in ("id", "digest", "line", "side"))
         parity, parity2 = (rows.column(c).to_numpy()[order].view(np.uint64) for c in ("parity", "parity2"))
         stop = np.r_[np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell)]
         stop = stop[np.searchsorted(stop, np.arange(len(cell)), "right")]
@@ -197,9 +204,10 @@ def _partners(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.Record
             bits = np.bitwise_count(parity[i] ^ parity[j]).astype(np.int64) + np.bitwise_count(parity2[i] ^ parity2[j])
             spare = n[i] + n[j] - 2 * need - bits
             ok = (most >= need) & (spare >= 0) & ((side[i] & 1 == 1) | (side[i] != side[j]))
-            ok &= (id[i] != id[j]) | (line[i] != line[j])
+            ok &= (id[i] != id[j]) | (line[i] != line[j]) | (digest[i] != digest[j])
             i, j, spare = i[ok], j[ok], spare[ok]
-            first = (id[i] < id[j]) | ((id[i] == id[j]) & (line[i] < line[j]))
+            first = (digest[i] < digest[j]) | ((digest[i] == digest[j]) & (line[i] < line[j]))
+            first = (id[i] < id[j]) | ((id[i] == id[j]) & first)
             later, earlier = np.where(first, j, i), np.where(first, i, j)
             np.minimum.at(best, later, np.maximum(_MOST - spare, 0) * len(cell) + earlier)
             np.add.at(seen, later, 1)
@@ -212,20 +220,20 @@ def _partners(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.Record
         later, earlier = np.r_[later[doubt], nearest], np.r_[earlier[doubt], best[nearest] % len(cell)]
         more = seen[later] > np.where(sure[later], 1, _FEW)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (id[later], line[later], id[earlier], line[earlier], cell[later], more)],
-            names=["id", "line", "other_id", "other_line", "cell", "more"],
+            [pa.array(x) for x in (id[later], digest[later], line[later], id[earlier], digest[earlier], line[earlier], cell[later], more)],
+            names=[*_LINE, *_OTHER, "cell", "more"],
         )
 
 
 def _cells(sets: DataFrame) -> DataFrame:
     """A row for each line, word of its prefix, and cell of that word. `size`: words of the line,
     and place of this one in the low half; `side`: twice the part, odd where a part meets itself."""
-    rows = sets.select("id", "line", "parity", "parity2", "n", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "word"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id", "line"), F.col("word.parts")).cast("int"))
+    rows = sets.select(*_LINE, "parity", "parity2", "n", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "word"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(*_LINE), F.col("word.parts")).cast("int"))
     rows = rows.withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("word.parts") - 1)))
     return rows.select(
         F.xxhash64("word.prefix", F.least("part", "meets"), F.greatest("part", "meets")).alias("cell"),
-        "id", "line", "parity", "parity2",
+        *_LINE, "parity", "parity2",
         F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("size"),
         (2 * F.col("part") + (F.col("part") == F.col("meets")).cast("int")).alias("side"),
     )
@@ -234,7 +242,8 @@ def _cells(sets: DataFrame) -> DataFrame:
 def _met(cells: DataFrame, t: float) -> DataFrame:
     sorted_cells = cells.repartition("cell").sortWithinPartitions("cell")
     return sorted_cells.mapInArrow(
-        partial(_partners, t=t), "id long, line int, other_id long, other_line int, cell long, more boolean"
+        partial(_partners, t=t),
+        "id long, digest long, line int, other_id long, other_digest long, other_line int, cell long, more boolean",
     )
 
 
@@ -242,7 +251,7 @@ def _all_partners(cells: DataFrame, asking: DataFrame, t: float) -> DataFrame:
     """Every possible partner of the `asking` rows of `cells`: the filters of `_partners` as the
     condition of a join, so that only what passes them becomes a row."""
     theirs = cells.select("cell", *[F.col(c).alias(f"other_{c}") for c in cells.columns if c != "cell"])
-    mine, their = F.struct("id", "line"), F.struct("other_id", "other_line")
+    mine, their = F.struct(*_LINE), F.struct(*_OTHER)
     n, m = (F.shiftright(c, 32) for c in ("size", "other_size"))
     pos, at = (F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in ("size", "other_size"))
     need = F.ceil(t / (1 + t) * (n + m) - 1e-9)
@@ -255,46 +264,62 @@ def _all_partners(cells: DataFrame, asking: DataFrame, t: float) -> DataFrame:
         & (bits <= n + m - 2 * need)
     )
     joined = theirs.join(asking, (theirs["cell"] == asking["cell"]) & near)
-    return joined.select("id", "line", "other_id", "other_line")
+    return joined.select(*_LINE, *_OTHER)
 
 
-def _words(line: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, id: str, text: str, t: float) -> DataFrame:
-    """Lines (id, line) of which a pair reaches the threshold on the word sets themselves."""
-    pairs = pinned(pairs.select("id", "line", "other_id", "other_line").distinct())
-    asked = pairs.select("id", "line").union(pairs.select("other_id", "other_line")).distinct()
-    asked = pinned(asked.groupBy("id").agg(F.collect_list("line").alias("lines")))  # a document's own lines
-    named = docs.select(F.coalesce(F.col(id), F.lit(_LAST)).alias("id"), F.col(text).alias("text"))
-    split = F.split("text", "\n")
-    words = (
-        named.join(asked.hint("shuffle_hash"), "id")  # one kind of join at every size
-        .select("id", F.explode("lines").alias("line"), split.alias("all"))
-        .where(F.col("line") < F.size("all"))
-        .select("id", "line", _words(F.element_at("all", F.col("line") + 1)).alias("words"))
-    )
-    words = pinned(words)
-    other = words.select(F.col("id").alias("other_id"), F.col("line").alias("other_line"), F.col("words").alias("theirs"))
-    both = pairs.join(words, ["id", "line"]).join(other, ["other_id", "other_line"])
+def _asked_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word sets of the asked lines of documents: every text is split once, one at a time."""
+    for batch in batches:
+        ids, digests = batch.column(0), batch.column(1)
+        for i in range(batch.num_rows):
+            asked = batch.column(2)[i].as_py()
+            split = (batch.column(3)[i].as_py() or "").encode().split(b"\n")
+            for at in range(0, len(asked), _SLICE):
+                some = [line for line in asked[at : at + _SLICE] if line < len(split)]
+                words = [list(dict.fromkeys(split[line].split())) for line in some]
+                ends = np.r_[0, np.cumsum([len(w) for w in words])]
+                flat = pa.array([w for each in words for w in each], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[i].as_py()] * len(some), pa.int64()), pa.array([digests[i].as_py()] * len(some), pa.int64()),
+                     pa.array(some, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
+                    names=[*_LINE, "words"],
+                )
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
+    """Lines of which a pair reaches the threshold on the word sets themselves. `docs`: id, digest, text;
+    rows alike in id and digest are one document."""
+    pairs = pinned(pairs.select(*_LINE, *_OTHER).distinct())
+    asked = pairs.select(*_LINE).union(pairs.select(*_OTHER)).distinct()
+    asked = pinned(asked.groupBy("id", "digest").agg(F.collect_list("line").alias("lines")))  # a document's own lines
+    rows = docs.join(asked.hint("shuffle_hash"), ["id", "digest"])  # one kind of join at every size
+    words = pinned(rows.select("id", "digest", "lines", "text").mapInArrow(
+        _asked_words, "id long, digest long, line int, words array<string>"))
+    other = words.select(*[F.col(c).alias(o) for c, o in zip(_LINE, _OTHER)], F.col("words").alias("theirs"))
+    both = pairs.join(words, _LINE).join(other, _OTHER)
     common = F.size(F.array_intersect("words", "theirs"))
     union = F.size("words") + F.size("theirs") - common
-    return both.where(common >= t * union - 1e-9).select("id", "line").distinct()
+    return both.where(common >= t * union - 1e-9).select(*_LINE).distinct()
 
 
-def repeated_lines(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, lines): per document the numbers (from 0) of the lines that an earlier line makes
-    redundant. NULL ids count as one id after all others. Lines without words never go. Lines of
-    rows that share an id count by their position; repeated rows don't make each other redundant."""
-    counts = word_counts(docs, text)
+def _named(docs: DataFrame, id: str, text: str) -> tuple[Column, Column]:
+    """What names a document: its id (NULL as the largest bigint), and a digest of the text if any id
+    is NULL or shared, else 0."""
+    unique = docs.groupBy(id).count().where(F.col(id).isNull() | (F.col("count") > 1)).isEmpty()
+    digest = F.lit(0).cast("long") if unique else F.xxhash64(text)
+    return F.coalesce(F.col(id), F.lit(_LAST)), digest
+
+
+def _repeated(docs: DataFrame, threshold: float) -> DataFrame:
+    """(id, digest, lines) of `docs` (id, digest, text)."""
+    counts = word_counts(docs, "text")
     lines = pinned(
-        docs.select(id, text).mapInArrow(
+        docs.mapInArrow(
             partial(_line_rows, counts=counts, t=threshold),
-            "id long, line int, key long, parity long, parity2 long, n int, prefix array<int>, parts array<int>",
+            "id long, digest long, line int, key long, parity long, parity2 long, n int, prefix array<int>, parts array<int>",
         )
     )
-    place = F.struct("id", "line")
+    place = F.struct(*_LINE)
     sets = pinned(
         lines.groupBy("key", "parity", "parity2", "n")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min_by("prefix", place).alias("prefix"), F.min_by("parts", place).alias("parts"))
@@ -302,26 +327,53 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id",
     )
     cells = _cells(sets)
     met = pinned(_met(cells, threshold))
-    found = pinned(_verified(met, docs, id, text, threshold))
-    left = pinned(met.where("more").join(found, ["id", "line"], "left_anti").select("id", "line", "cell").distinct())
-    open_sets = sets.join(left.select("id", "line").distinct(), ["id", "line"], "left_semi")
-    asking = pinned(_cells(open_sets).join(left, ["id", "line", "cell"], "left_semi"))
-    also = _verified(pinned(_all_partners(cells, asking, threshold)), docs, id, text, threshold)
+    found = pinned(_verified(met, docs, threshold))
+    left = pinned(met.where("more").join(found, _LINE, "left_anti").select(*_LINE, "cell").distinct())
+    open_sets = sets.join(left.select(*_LINE).distinct(), _LINE, "left_semi")
+    asking = pinned(_cells(open_sets).join(left, [*_LINE, "cell"], "left_semi"))
+    also = _verified(pinned(_all_partners(cells, asking, threshold)), docs, threshold)
     identity = ["key", "parity", "parity2", "n"]
-    again = lines.join(sets.where("again").select(*identity, F.struct("id", "line").alias("first")), identity)
-    copies = again.where(F.struct("id", "line") > F.col("first")).select("id", "line")
+    again = lines.join(sets.where("again").select(*identity, F.struct(*_LINE).alias("first")), identity)
+    copies = again.where(F.struct(*_LINE) > F.col("first")).select(*_LINE)
     gone = found.union(also).union(copies)
-    return gone.groupBy("id").agg(F.collect_set("line").alias("lines"))
+    return gone.groupBy("id", "digest").agg(F.collect_set("line").alias("lines"))
+
+
+def repeated_lines(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, lines): per document the numbers (from 0) of the lines that an earlier line makes
+    redundant. NULL ids come after all others (as the largest bigint). A document is an id with a text: rows of one id (or
+    none) with different texts are different documents, in the order of a hash of their texts, and
+    have a row each; rows alike in both are one, whose lines don't make each other redundant. Lines
+    without words never go."""
+    name, digest = _named(docs, id, text)
+    rows = docs.select(name.alias("id"), digest.alias("digest"), F.col(text).alias("text"))
+    return _repeated(rows, threshold).select("id", "lines")
+
+
+def _without(batches: Iterator[pa.RecordBatch], text: int, gone: int) -> Iterator[pa.RecordBatch]:
+    """Each text without its gone lines, in time linear in the text."""
+    for batch in batches:
+        lists = batch.column(gone)
+        some = lists.is_valid()
+        kept = []
+        for old, lines in zip(batch.column(text).filter(some), lists.filter(some)):
+            out = set(lines.as_py())
+            kept.append("\n".join(x for k, x in enumerate(old.as_py().split("\n")) if k not in out))
+        new = pc.replace_with_mask(batch.column(text), some, pa.array(kept, batch.column(text).type))
+        yield batch.set_column(text, batch.schema.names[text], new)
 
 
 def deduplicated(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with the redundant lines taken out of `text`; all rows and columns stay. A text of
-    which every line goes becomes empty; NULL stays NULL. A column n_chars follows the new text."""
-    key, lines = fresh(docs, "line_id__", "gone__")
-    gone = pinned(repeated_lines(docs, threshold, id, text)).select(F.col("id").alias(key), F.col("lines").alias(lines))
-    joined = docs.withColumn(key, F.coalesce(F.col(id), F.lit(_LAST))).join(gone.hint("shuffle_hash"), key, "left")
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(lines, i)), "\n")
-    out = joined.withColumn(text, F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept))
+    """`docs` with the redundant lines (`repeated_lines`) taken out of `text`; all rows and columns stay. A
+    text of which every line goes becomes empty; NULL stays NULL. A column n_chars follows the new text."""
+    key, of, lines = fresh(docs, "line_id__", "line_digest__", "gone__")
+    name, digest = _named(docs, id, text)
+    rows = docs.select(name.alias("id"), digest.alias("digest"), F.col(text).alias("text"))
+    gone = pinned(_repeated(rows, threshold))
+    gone = gone.select(F.col("id").alias(key), F.col("digest").alias(of), F.col("lines").alias(lines))
+    joined = docs.withColumns({key: name, of: digest}).join(gone.hint("shuffle_hash"), [key, of], "left").drop(key, of)
+    cut = partial(_without, text=joined.columns.index(text), gone=joined.columns.index(lines))
+    out = joined.mapInArrow(cut, joined.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(lines).isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

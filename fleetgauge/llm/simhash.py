@@ -173,16 +173,19 @@ def _merged_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarra
     return joined[label]
 
 
+def _rooted(prints: DataFrame, budget: int) -> DataFrame:
+    """Distinct `prints` (fingerprint and more) with `root`, one fingerprint per component."""
+    found = components(links(prints.select("fingerprint"), budget)).withColumnRenamed("node", "fingerprint")
+    return prints.join(found, "fingerprint", "left").withColumn("root", F.coalesce("component", "fingerprint")).drop("component")
+
+
 def grouped(docs: DataFrame, name: str, component: str, id: str = "doc_id", width: int = 4, budget: int = 4) -> DataFrame:
     """`docs` without text, with its fingerprint `name` (bigint) and `component` (smallest id reachable by links,
     itself included). Equal fingerprints link, also those of empty and NULL texts (0). Rows with a
     NULL id take part in linking; if no other id is reachable their component is NULL."""
     work = pinned(fingerprints(docs, name, width).drop("text"))
-    fp, least, node, comp = fresh(work, "fingerprint__", "least__", "node__", "component__")
-    classes = pinned(work.groupBy(F.col(name).alias("fingerprint")).agg(F.min(id).alias("least")))
-    found = components(links(classes.select("fingerprint"), budget))
-    root = F.coalesce("component", "fingerprint")
-    members = classes.join(found, classes["fingerprint"] == found["node"], "left").withColumn("root", root)
+    fp, comp = fresh(work, "fingerprint__", "component__")
+    members = _rooted(pinned(work.groupBy(F.col(name).alias("fingerprint")).agg(F.min(id).alias("least"))), budget)
     smallest = members.groupBy("root").agg(F.min("least").alias(comp))
     named = members.join(smallest, "root").select(F.col("fingerprint").alias(fp), comp)
     return (
@@ -193,19 +196,24 @@ def grouped(docs: DataFrame, name: str, component: str, id: str = "doc_id", widt
     )
 
 
-def deduplicated(docs: DataFrame, id: str = "doc_id", width: int = 5, budget: int = 4) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest id. Rows
-    that share an id (or all have none) count as one document, of which the first row by text
-    stays. Columns and their order are those of `docs`."""
-    name, component, key, row = fresh(docs, "print__", "group__", "key__", "row__")
-    slim = grouped(docs.select(id, "text"), name, component, id, width, budget)
-    kept = slim.where(F.col(id).eqNullSafe(F.col(component)))
-    of = F.coalesce(F.col(id), F.lit(-(1 << 63)))  # NULL ids hash as one key
-    winners = kept.select(of.alias(key)).distinct()
-    rows = docs.withColumn(key, of).join(winners, key, "left_semi")
-    whole = F.struct(*docs.columns)
-    first = rows.groupBy(key).agg(F.min_by(whole, F.struct("text", F.xxhash64(*docs.columns))).alias(row))
-    return first.select(f"{row}.*")
+def deduplicated(docs: DataFrame, id: str = "doc_id", width: int = 4, budget: int = 4) -> DataFrame:
+    """One document of each group of linked fingerprints stays: the one with the smallest id (NULL
+    last), of several with it the first by a hash of the text. A document is an id with a text: equal
+    texts under one id (or none) are one document, of which one row stays; different ones are two.
+    Texts without words are copies of each other. Columns and their order are those of `docs`."""
+    of, digest, none, row = fresh(docs, "of__", "digest__", "none__", "row__")
+    slim = docs.select(F.col(id).alias("id"), F.xxhash64("text").alias("digest"), "text")
+    work = fingerprints(slim, "fingerprint", width).drop("text")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    members = _rooted(pinned(work.groupBy("fingerprint").agg(F.min(rank).alias("least"))), budget)
+    kept = members.groupBy("root").agg(F.min("least").alias("least"))
+    kept = kept.select(
+        F.coalesce(F.col("least.id").cast("string"), F.lit("")).alias(of), F.col("least.none").alias(none), F.col("least.digest").alias(digest)
+    )
+    rows = docs.withColumns({of: F.coalesce(F.col(id).cast("string"), F.lit("")), none: F.col(id).isNull(), digest: F.xxhash64("text")})
+    rows = rows.join(kept, [of, none, digest], "left_semi")
+    first = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias(row)
+    return rows.groupBy(of, none, digest).agg(first).select(f"{row}.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -69,6 +69,32 @@ def test_simhash_odd_rows(spark):
     assert simhash.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_simhash_tells_rows_without_an_id_apart_by_text(spark):
+    rows = [(None, "one two three"), (None, "four five six"), (None, "four five six"), (4, "a b"), (4, "c d"), (5, ""), (6, None), (7, "A B")]
+    kept = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = sorted(((r.doc_id or 0, r.text or "") for r in kept.collect()))
+    assert found == [(0, "four five six"), (0, "one two three"), (4, "a b"), (4, "c d"), (5, "")]
+
+
+def test_simhash_groups_of_null_ids_and_empty_tables(spark):
+    rows = [(None, "a b c"), (None, "A b C"), (None, "q r s"), (9, "q r s"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id or 0, r.component or 0) for r in simhash.grouped(docs, "bits", "component").collect())
+    assert found == [(0, 0), (0, 0), (0, 0), (0, 0), (0, 9), (9, 9)]
+    assert simhash.grouped(docs.limit(0), "bits", "component").count() == 0
+
+
+def test_simhash_keeps_one_of_each_group(spark):
+    """As brute force over fingerprints, on the given documents and planted edits."""
+    rows = duckdb.sql("select doc_id, text from '/root/testdata/sf0.001/documents.parquet' order by 1").fetchall()
+    rows += [(10_000 + i, t + " end") for i, t in rows[:40]]
+    prints = [_fingerprint(t, 4) for _, t in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    label = _groups(len(rows), near)
+    kept = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({rows[label[i]][0] for i in range(len(rows))})
+
+
 def _gone(rows, t=0.8):
     seen, gone = {}, set()
     for id, text in sorted(rows):
@@ -119,6 +145,29 @@ def test_line_dedup_odd_rows(spark, monkeypatch):
     assert lines.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_keeps_unique_lines_of_shared_and_missing_ids(spark):
+    rows = [(1, "x y z"), (None, "a b c\nx y z"), (None, "q r s\nunique words here"), (7, "k l m\nx y z"), (7, "n o p\nonly in this"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text or "") for r in lines.deduplicated(docs).collect())
+    assert got == [(0, "a b c"), (0, "q r s\nunique words here"), (1, "x y z"), (7, ""), (7, "k l m"), (7, "n o p\nonly in this")]
+
+
+def test_line_dedup_compares_lines_at_the_same_place_of_rows_that_share_an_id(spark):
+    rows = [(None, "same words here"), (None, "same words here\nmore to say")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.text for r in lines.deduplicated(docs).collect())
+    assert got in (["", "same words here\nmore to say"], ["more to say", "same words here"])
+
+
+def test_line_dedup_of_texts_with_many_similar_lines(spark):
+    many = ["\n".join(f"all these lines are alike but for number {k} of text{d}" for k in range(20_000)) for d in (1, 2)]
+    docs = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.deduplicated(docs, 0.95).collect()}
+    assert got[0] == many[0] and got[1] == many[1]
+    got = {r.doc_id: r.text for r in lines.deduplicated(docs.union(docs.selectExpr("doc_id + 2", "text")), 0.95).collect()}
+    assert (got[0], got[1], got[2], got[3]) == (many[0], many[1], "", "")
+
+
 @pytest.mark.parametrize("part", [2048, 40])
 def test_embedding_links_equal_brute_force(spark, monkeypatch, part):
     monkeypatch.setattr(embedding_dedup, "_PART", part)
