@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm import byte_bpe, lines, mixing, near_copies, quality
+from fleetgauge.llm import byte_bpe, lines, mixing, quality, simhash
 from fleetgauge.session import pinned
 
 
 def quality_filter(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the classifier, trained on the labels, scores below 0.2."""
-    return quality.accepted(docs, quality.trained(spark, sf_dir), threshold=0.2)
+    """Rejects documents that the classifier, trained on the labels, finds likelier bad than good."""
+    return quality.accepted(docs, quality.trained(spark, sf_dir), threshold=0.5)
 
 
 def line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,8 @@ def line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (Jaccard of five-word shingles at least 0.8)."""
-    return near_copies.deduplicated(docs, width=5, threshold=0.8)
+    """Keeps one document of each group of linked fingerprints (four-word shingles, 4 bits at most)."""
+    return simhash.deduplicated(docs, width=4, budget=4)
 
 
 def source_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def encoded(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", quality_filter),
     ("lines", line_dedup),
-    ("near_copies", near_dedup),
+    ("simhash", near_dedup),
     ("mixing", source_mix),
     ("byte_bpe", encoded),
 ]
