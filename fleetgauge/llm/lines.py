@@ -81,11 +81,16 @@ def _hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return start, h ^ (h >> np.uint64(32))
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+def _bytes(text: pa.StringScalar) -> bytes:
+    """The UTF-8 of a text, NULL as empty."""
+    return b"" if (held := text.as_buffer()) is None else held.to_pybytes()
+
+
+def _pieces(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of about `_PIECE` bytes, with the number of texts before them."""
     held, size, first = [], 0, 0
     for i, text in enumerate(texts):
-        raw = (text or "").encode()
+        raw = _bytes(text)
         if held and size + len(raw) >= _PIECE:
             yield first, held
             held, size, first = [], 0, i
@@ -98,7 +103,7 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << _BITS, np.int64)
     for batch in batches:
-        for _, raws in _pieces(batch.column(0).to_pylist()):
+        for _, raws in _pieces(batch.column(0)):
             _, hashes = _hashed(b"\n".join(raws))
             total += np.bincount((hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64), minlength=1 << _BITS)
     found = np.flatnonzero(total)
@@ -124,8 +129,8 @@ def _ordered(line: np.ndarray, place: np.ndarray, hashes: np.ndarray) -> np.ndar
         key = line.astype(np.uint64) << np.uint64(40) | place.astype(np.uint64) << np.uint64(40 - _BITS)
         key |= hashes >> np.uint64(64 - (40 - _BITS))
         order = np.argsort(key)
-        key = key[order]
-        if not (key[1:] == key[:-1]).any():
+        key, named = key[order], hashes[order]
+        if not ((key[1:] == key[:-1]) & (named[1:] != named[:-1])).any():  # repeats of a word may stand in any order
             return order
     return np.lexsort((hashes, place, line))
 
@@ -135,7 +140,7 @@ def _line_rows(batches: Iterator[pa.RecordBatch], counts: np.ndarray, t: float)
     place[np.argsort(counts, kind="stable")] = np.arange(1 << _BITS)
     for batch in batches:
         named, digest = batch.column(0).fill_null(_LAST).to_numpy(), batch.column(1).to_numpy()
-        for before, raws in _pieces(batch.column(2).to_pylist()):
+        for before, raws in _pieces(batch.column(2)):
             of = slice(before, before + len(raws))
             yield _rows_of(named[of], digest[of], raws, counts, place, t)
 
@@ -273,7 +278,7 @@ def _asked_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, digests = batch.column(0), batch.column(1)
         for i in range(batch.num_rows):
             asked = batch.column(2)[i].as_py()
-            split = (batch.column(3)[i].as_py() or "").encode().split(b"\n")
+            split = _bytes(batch.column(3)[i]).split(b"\n")
             for at in range(0, len(asked), _SLICE):
                 some = [line for line in asked[at : at + _SLICE] if line < len(split)]
                 words = [list(dict.fromkeys(split[line].split())) for line in some]
