@@ -19,7 +19,6 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +26,8 @@ from .common import ASCII_SPACE, fresh, pinned, table, whole_runs
 
 #: Word counts are kept in 2**_BITS buckets: a bounded table, used for the order only.
 _BITS = 18
+#: Rows in which a task gives its counts.
+_CUTS = 256
 #: About so many rows of a word meet in a task; words above are cut into parts that meet pairwise.
 _ROWS_OF_WORD = 20_000
 _LAST = (1 << 63) - 1
@@ -101,22 +102,37 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's counts, cut into a few hundred rows."""
     total = np.zeros(1 << _BITS, np.int64)
     for batch in batches:
         for _, raws in _pieces(batch.column(0)):
             _, hashes = _hashed(b"\n".join(raws))
             total += np.bincount((hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64), minlength=1 << _BITS)
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["bucket", "n"])
+    yield from _cut_rows(dict(enumerate(total.reshape(_CUTS, -1))))
+
+
+def _cut_rows(cuts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for cut, n in cuts.items():
+        yield pa.RecordBatch.from_arrays([pa.array([cut], pa.int32()), pa.array([n])], names=["cut", "n"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the rows of each cut."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for cut, n in zip(batch.column(0).to_pylist(), batch.column(1)):
+            held[cut] = held.get(cut, 0) + n.values.to_numpy()
+    yield from _cut_rows(held)
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Occurrences of words by hash bucket, over all documents; 2**18 numbers at most."""
-    rows = docs.select(text).mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(1 << _BITS, np.int64)
-    for bucket, n in rows:
-        out[bucket] = n
-    return out
+    schema = "cut int, n array<long>"
+    rows = docs.select(text).mapInArrow(_counts, schema).repartition("cut").mapInArrow(_added, schema).collect()
+    out = np.zeros((_CUTS, (1 << _BITS) // _CUTS), np.int64)
+    for cut, n in rows:
+        out[cut] += np.array(n)
+    return out.ravel()
 
 
 def _ceiling(t: float, n: np.ndarray) -> np.ndarray:
@@ -355,17 +371,17 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id",
     return _repeated(rows, threshold).select("id", "lines")
 
 
-def _without(batches: Iterator[pa.RecordBatch], text: int, gone: int) -> Iterator[pa.RecordBatch]:
-    """Each text without its gone lines, in time linear in the text."""
+def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of line numbers as masks, up to the last of them."""
     for batch in batches:
-        lists = batch.column(gone)
-        some = lists.is_valid()
-        kept = []
-        for old, lines in zip(batch.column(text).filter(some), lists.filter(some)):
-            out = set(lines.as_py())
-            kept.append("\n".join(x for k, x in enumerate(old.as_py().split("\n")) if k not in out))
-        new = pc.replace_with_mask(batch.column(text), some, pa.array(kept, batch.column(text).type))
-        yield batch.set_column(text, batch.schema.names[text], new)
+        masks = []
+        for lines in batch.column("lines"):
+            numbers = lines.values.to_numpy()
+            masks.append(np.zeros(numbers.max(initial=-1) + 1, bool))
+            masks[-1][numbers] = True
+        ends = pa.array(np.r_[0, np.cumsum([len(m) for m in masks])], pa.int32())
+        column = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, bool), *masks])))
+        yield batch.set_column(batch.schema.get_field_index("lines"), "lines", column)
 
 
 def deduplicated(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -374,11 +390,11 @@ def deduplicated(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", te
     key, of, lines = fresh(docs, "line_id__", "line_digest__", "gone__")
     name, digest = _named(docs, id, text)
     rows = docs.select(name.alias("id"), digest.alias("digest"), F.col(text).alias("text"))
-    gone = pinned(_repeated(rows, threshold))
+    gone = pinned(_repeated(rows, threshold).mapInArrow(_masks, "id long, digest long, lines array<boolean>"))
     gone = gone.select(F.col("id").alias(key), F.col("digest").alias(of), F.col("lines").alias(lines))
     joined = docs.withColumns({key: name, of: digest}).join(gone.hint("shuffle_hash"), [key, of], "left").drop(key, of)
-    cut = partial(_without, text=joined.columns.index(text), gone=joined.columns.index(lines))
-    out = joined.mapInArrow(cut, joined.schema)
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.coalesce(F.get(lines, i), F.lit(False))), "\n")
+    out = joined.withColumn(text, F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(lines).isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
