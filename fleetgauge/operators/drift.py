@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetgauge.functions.ordering import running
 
-# Significance of the rank test, distance cut-off, sample size that selects it.
+# Significance of the tests, cut-off of the distances.
 P_VALUE = 0.05
 DISTANCE = 0.1
 _SERIES_TERMS = 50
+_GAMMA_TERMS = 300
 
 
 def _tall(df: DataFrame, features: Sequence[str], side: str, groups: Sequence[str]) -> DataFrame:
@@ -104,6 +106,91 @@ def drift_report(
     )
 
 
+def log_gamma(a: Column) -> Column:
+    """Logarithm of the gamma function for a > 0: Stirling's series after eight steps up."""
+    z, shift = a + 8.0, F.lit(0.0)
+    for k in range(8):
+        shift = shift + F.log(a + float(k))
+    series = 1 / (12 * z) - 1 / (360 * F.pow(z, F.lit(3))) + 1 / (1260 * F.pow(z, F.lit(5))) - 1 / (1680 * F.pow(z, F.lit(7)))
+    return (z - 0.5) * F.log(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series - shift
+
+
+def upper_gamma(a: Column, x: Column) -> Column:
+    """Regularised upper incomplete gamma function Q(a, x), a > 0, x >= 0: the power series below
+    a + 1, the continued fraction above, each of a fixed number of terms."""
+    steps = F.sequence(F.lit(1), F.lit(_GAMMA_TERMS))
+    front = F.exp(a * F.log(x) - x - log_gamma(a))
+    start = F.struct((1 / a).alias("term"), (1 / a).alias("total"))
+    power = F.aggregate(steps, start, lambda s, k: F.struct(
+        (s["term"] * x / (a + k)).alias("term"), (s["total"] + s["term"] * x / (a + k)).alias("total")))["total"]
+    tiny, b = 1e-300, x + 1 - a
+
+    def level(s: Column, k: Column) -> Column:
+        factor, at = -k * (k - a), b + 2 * k
+        d = 1 / F.when(F.abs(at + factor * s["d"]) < tiny, F.lit(tiny)).otherwise(at + factor * s["d"])
+        c = at + factor / s["c"]
+        c = F.when(F.abs(c) < tiny, F.lit(tiny)).otherwise(c)
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"))
+
+    first = F.struct(F.lit(1 / tiny).alias("c"), (1 / b).alias("d"), (1 / b).alias("h"))
+    fraction = F.aggregate(steps, first, level)["h"]
+    value = F.when(x <= 0, F.lit(1.0)).when(x < a + 1, 1 - front * power).otherwise(front * fraction)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), value))
+
+
+def category_counts(
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
+) -> DataFrame:
+    """Contingency tables of all columns in one shuffle: `feature, category, n_ref, n_cur` per group.
+    Missing categories are left out; a category of either side has a row."""
+    sides = []
+    for df, here in ((reference, "n_ref"), (current, "n_cur")):
+        texts = df.select(*groups, *[F.col(c).cast("string").alias(c) for c in columns])
+        tall = texts.unpivot(list(groups), list(columns), "feature", "category").where("category IS NOT NULL")
+        one = {n: F.lit(1 if n == here else 0).cast("bigint") for n in ("n_ref", "n_cur")}
+        sides.append(tall.withColumns(one))
+    return sides[0].unionByName(sides[1]).groupBy(*groups, "feature", "category").agg(
+        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
+    )
+
+
+def category_drift(
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], groups: Sequence[str] = (),
+    *, method: str, p_value: float = P_VALUE, distance: float = DISTANCE,
+) -> DataFrame:
+    """Drift of categorical columns: `chi_square` with its `p_value` (independence of side and category),
+    and `jensen_shannon`, the square root of the divergence in bits. `method` names the one that decides
+    `drifted`, at any size. A feature that one side lacks has no figures and isn't drifted."""
+    if method not in ("chi_square", "jensen_shannon"):
+        raise ValueError("method must be chi_square or jensen_shannon")
+    keys = [*groups, "feature"]
+    counts = category_counts(reference, current, columns, groups)
+    sizes = counts.groupBy(*keys).agg(
+        F.sum("n_ref").alias("n_reference"), F.sum("n_cur").alias("n_current"), F.count(F.lit(1)).alias("categories")
+    )
+    rows = counts.join(sizes, keys)
+    total = (F.col("n_reference") + F.col("n_current")).cast("double")
+    both = F.col("n_ref") + F.col("n_cur")
+    squares, bits = F.lit(0.0), F.lit(0.0)
+    for n, size in (("n_ref", "n_reference"), ("n_cur", "n_current")):
+        expected = F.col(size) * both / total
+        squares = squares + F.try_divide((F.col(n) - expected) * (F.col(n) - expected), expected)
+    p, q = (F.try_divide(F.col(n).cast("double"), F.col(s)) for n, s in (("n_ref", "n_reference"), ("n_cur", "n_current")))
+    middle = (p + q) / 2
+    for share in (p, q):
+        bits = bits + F.when(share > 0, share * F.log2(share / middle) / 2).otherwise(F.when(share == 0, F.lit(0.0)))
+    found = rows.groupBy(*keys, "n_reference", "n_current", "categories").agg(
+        F.sum(squares).alias("chi_square"), F.sqrt(F.greatest(F.lit(0.0), F.sum(bits))).alias("jensen_shannon")
+    )
+    freedom = (F.col("categories") - 1).cast("double")
+    tail = F.when(freedom == 0, F.lit(1.0)).otherwise(upper_gamma(freedom / 2, F.col("chi_square") / 2))
+    known = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
+    found = found.withColumns({c: F.when(known, F.col(c)) for c in ("chi_square", "jensen_shannon")})
+    found = found.withColumn("p_value", F.when(known, tail))
+    decided = F.col("p_value") < p_value if method == "chi_square" else F.col("jensen_shannon") >= distance
+    return found.withColumns({"method": F.lit(method), "drifted": F.coalesce(decided, F.lit(False))})
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """Totals, share and sorted names of drifted features."""
     flag = F.col("drifted")

@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fleetgauge.operators import features as feat
-from fleetgauge.operators import metrics, models, policy, splits, survival, uncertainty
+from fleetgauge.functions.scalars import key_uniform, text_key
+from fleetgauge.operators import leaves, metrics, models, passes, permutation, policy, splits, survival, uncertainty
 from fleetgauge.plans import bindings as view
 from fleetgauge.plans.registry import (
-    FLEET, GAPS, LABELLED, as_int, query, r6, text_key_sql, uniform_sql,
+    FLEET, GAPS, LABELLED, as_int, hash_sql, query, r6, text_key_sql, uniform_sql,
 )
 from fleetgauge.schema import KEYS, feature_columns
 from fleetgauge.session import pinned, scratch_path
@@ -65,14 +66,6 @@ def y5_rul_regressor(spark, sf_dir):
     return out.select("variant", *rounded("mae", "rmse", "asymmetric_penalty"))
 
 
-@query("y6_parameter_search")
-def y6_parameter_search(spark, sf_dir):
-    """The holdout scores of all trials are compared in one job."""
-    split, features = _learning_split(spark, sf_dir)
-    _, _, results = models.search_boosted(split.train, features)
-    return results.select("trial", *rounded("pr_auc"))
-
-
 @query("s8_model_round_trip")
 def s8_model_round_trip(spark, sf_dir):
     """Scores of a saved and reloaded model against the original: largest difference."""
@@ -155,6 +148,113 @@ def k8_fitted_schedule(spark, sf_dir):
     return policy.alerts(scored, reference_date=dt.date(2026, 1, 1)).orderBy("variant", "unit_id")
 
 
+# --- members, leaves, permutations -----------------------------------------------------------
+
+def _row_keys():
+    return F.col("_variant"), F.col("unit_id"), F.col("cycle")
+
+
+def _keyed(df):
+    return df.withColumn("_variant", text_key(F.col("variant")))
+
+
+_WEIGHT = " + ".join(f"CAST(u >= {c!r} AS INTEGER)" for c in passes.POISSON)
+
+
+@query(
+    "y12_stochastic_passes",
+    f"""WITH {LABELLED}, u AS (SELECT variant, unit_id, cycle, sensor_2 AS x, label_within_x AS y, t,
+      {uniform_sql(42, text_key_sql("variant"), "unit_id", "cycle", "t")} AS u FROM labelled, range(50) r(t)),
+    w AS (SELECT *, CAST({_WEIGHT} AS DOUBLE) AS w FROM u),
+    m AS (SELECT t, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM w GROUP BY t),
+    b AS (SELECT t, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope, n, sx, sy FROM m),
+    p AS (SELECT variant, unit_id, cycle, greatest(0, least(1, (sy - slope * sx) / n + slope * sensor_2)) AS risk FROM labelled, b)
+    SELECT variant, unit_id, cycle, {as_int("count(*)")} AS n_passes, {r6("avg(risk)")} AS risk_mean,
+      {r6("stddev_pop(risk)")} AS risk_std FROM p GROUP BY 1, 2, 3""",
+)
+def y12_stochastic_passes(spark, sf_dir):
+    """50 bagged least-squares members from one scan, all of them scoring every reading."""
+    df = _keyed(view.labelled(view.fleet(spark, sf_dir)).df)
+    members = passes.fit_members(df, ["sensor_2"], _row_keys(), "linear", ridge=0.0)
+    return passes.add_passes(df, members).select(*KEYS, "cycle", "n_passes", *rounded("risk_mean", "risk_std"))
+
+
+@query("y12_logistic_passes")
+def y12_logistic_passes(spark, sf_dir):
+    """50 bagged logistic members over all features: precision of their mean and their spread on held-out units."""
+    split, features = _learning_split(spark, sf_dir)
+    members = passes.fit_members(_keyed(split.train), features, _row_keys())
+    scored = pinned(passes.add_passes(split.test, members).withColumn("risk", F.col("risk_mean")))
+    spread = scored.groupBy("variant").agg(F.min("n_passes").alias("n_passes"), F.avg("risk_std").alias("risk_std"))
+    return _evaluated(scored).join(spread, "variant").select("variant", "n_passes", "pr_auc", "brier_score", *rounded("risk_std"))
+
+
+_LEAVES = ("floor(sensor_2 / 10)", "floor(sensor_3)", "unit_id % 7")
+
+
+@query(
+    "y7_leaf_quantiles",
+    f"""WITH {LABELLED}, l AS (SELECT *, [{", ".join(f"CAST({e} AS BIGINT)" for e in _LEAVES)}] AS leaves FROM labelled),
+    t AS (SELECT rul, unnest([{{'tree': 1, 'leaf': leaves[1]}}, {{'tree': 2, 'leaf': leaves[2]}}, {{'tree': 3, 'leaf': leaves[3]}}]) AS k
+      FROM l WHERE variant IN ('FD001', 'FD003')),
+    c AS (SELECT k.tree AS tree, k.leaf AS leaf, rul, count(*) AS n FROM t GROUP BY ALL),
+    g AS (SELECT DISTINCT rul AS v FROM l WHERE variant IN ('FD001', 'FD003')),
+    f AS (SELECT tree, leaf, v, sum(n) FILTER (rul <= v) / CAST(sum(n) AS DOUBLE) AS share FROM c, g GROUP BY ALL),
+    q AS (SELECT DISTINCT leaves FROM l),
+    s AS (SELECT leaves, v, sum(coalesce(share, 0)) AS share, count(*) AS trees FROM q
+      JOIN f ON (tree = 1 AND leaf = leaves[1]) OR (tree = 2 AND leaf = leaves[2]) OR (tree = 3 AND leaf = leaves[3]) GROUP BY ALL),
+    r AS (SELECT leaves, min(v) FILTER (share >= 0.1 * trees - 1e-9) AS lo, min(v) FILTER (share >= 0.9 * trees - 1e-9) AS hi FROM s GROUP BY 1)
+    SELECT variant, unit_id, cycle, CAST(lo AS DOUBLE) AS rul_lower, CAST(hi AS DOUBLE) AS rul_upper FROM l LEFT JOIN r USING (leaves)""",
+)
+def y7_leaf_quantiles(spark, sf_dir):
+    """Quantiles of remaining life over the mates in hand-made leaves, two variants for all."""
+    df = view.labelled(view.fleet(spark, sf_dir)).df
+    df = df.withColumn("leaves", F.array(*[F.expr(e).cast("bigint") for e in _LEAVES]))
+    train = df.where(F.col("variant").isin("FD001", "FD003"))
+    tables = leaves.leaf_tables(train, "leaves", "rul", leaves.target_grid(train, "rul", 1 << 12))
+    out = leaves.add_leaf_quantiles(df, tables, "leaves", {"rul_lower": 0.1, "rul_upper": 0.9})
+    return out.select(*KEYS, "cycle", "rul_lower", "rul_upper")
+
+
+@query("y7_quantile_forest")
+def y7_quantile_forest(spark, sf_dir):
+    """Coverage and width of the 10 % to 90 % interval of a quantile forest on held-out units."""
+    split, features = _learning_split(spark, sf_dir)
+    scored = leaves.add_quantile_interval(split.test, leaves.train_quantile_forest(split.train, features))
+    out = metrics.interval_coverage(scored, ["variant"], "rul", "rul_lower", "rul_upper")
+    return out.select("variant", "n", *rounded("coverage", "mean_width"))
+
+
+_STEPS = ", ".join(map(str, permutation.STEPS))
+
+
+@query(
+    "y14_permutation",
+    f"""WITH {FLEET}, h AS (SELECT *, {text_key_sql("variant")} AS v, {hash_sql(42, text_key_sql("variant"), "unit_id", "cycle")} AS h FROM fleet),
+    i AS (SELECT *, row_number() OVER (ORDER BY h, v, unit_id, cycle) - 1 AS i, count(*) OVER () AS n FROM h),
+    r AS (SELECT *, list_filter([{_STEPS}], lambda p: n % p <> 0)[1 + r] AS step FROM i, range(3) t(r))
+    SELECT r.variant, r.unit_id, r.cycle, CAST(r.r AS INTEGER) AS repeat, r.i AS place, (r.i * step + {permutation.SHIFT} * (r.r + 1)) % r.n AS image,
+      o.sensor_2 AS from_sensor_2 FROM r JOIN i o ON o.i = (r.i * step + {permutation.SHIFT} * (r.r + 1)) % r.n""",
+)
+def y14_permutation(spark, sf_dir):
+    """Where three keyed permutations send every reading, and the value it gets."""
+    df = _keyed(view.fleet(spark, sf_dir).df)
+    indexed = pinned(permutation.add_index(df, _row_keys()))
+    out = permutation.permuted(indexed, indexed.count(), 3, ["sensor_2"])
+    return out.select(*KEYS, "cycle", "repeat", F.col("_index").alias("place"), F.col("_image").alias("image"), "from_sensor_2")
+
+
+@query("y14_permutation_importance")
+def y14_permutation_importance(spark, sf_dir):
+    """Fall of a forest's average precision per feature on held-out units; `noise` is planted."""
+    noisy = _keyed(view.labelled(view.fleet(spark, sf_dir)).df).withColumn("noise", key_uniform(5, *_row_keys()))
+    features = ["sensor_1", "sensor_2", "sensor_3", "cycle", "noise"]
+    split = splits.holdout_split(pinned(noisy), features, scale=False)
+    model = models.train_forest(split.train, features)
+    out = permutation.permutation_importance(split.test, features, _row_keys(), permutation.risk_of(model))
+    return out.select("feature", *rounded("importance", "deviation"))
+
+
 # --- survival --------------------------------------------------------------------------------
 
 _UNIT = (text_key_sql("variant"), "unit_id")

@@ -153,6 +153,41 @@ def d1_drift_ks_wide(spark, sf_dir):
     return out.select("feature", *rounded("ks", "p_value"), "drifted")
 
 
+_CATEGORIES = {"event_type": "event_type", "weekday": "CAST(weekday({t}) AS VARCHAR)", "shift": "CAST(hour({t}) // 8 AS VARCHAR)"}
+_CATEGORY_COUNTS = """c AS ({parts}), k AS (SELECT half, feature, category, sum(r) AS r, sum(1 - r) AS q FROM c GROUP BY 1, 2, 3),
+    s AS (SELECT *, sum(r) OVER w AS nr, sum(q) OVER w AS nq, count(*) OVER w AS k FROM k WINDOW w AS (PARTITION BY half, feature)),
+    d AS (SELECT half, feature, nr, nq, k,
+      sum(pow(r - nr * (r + q) / CAST(nr + nq AS DOUBLE), 2) / (nr * (r + q) / CAST(nr + nq AS DOUBLE))
+        + pow(q - nq * (r + q) / CAST(nr + nq AS DOUBLE), 2) / (nq * (r + q) / CAST(nr + nq AS DOUBLE))) AS chi,
+      sum(CASE WHEN r > 0 THEN 0.5e0 * r / nr * log2(2e0 * r / nr / (r / CAST(nr AS DOUBLE) + q / CAST(nq AS DOUBLE))) ELSE 0 END
+        + CASE WHEN q > 0 THEN 0.5e0 * q / nq * log2(2e0 * q / nq / (r / CAST(nr AS DOUBLE) + q / CAST(nq AS DOUBLE))) ELSE 0 END) AS js
+      FROM s GROUP BY ALL)""".format(parts=" UNION ALL ".join(
+    f"SELECT unit_id % 2 AS half, '{name}' AS feature, {sql.format(t='ts')} AS category, CAST(variant IN ('FD001', 'FD003') AS INTEGER) AS r FROM fleet"
+    for name, sql in _CATEGORIES.items()))
+
+
+@query(
+    "d1_category_drift",
+    f"""WITH {FLEET.replace("user_id % 4", "user_id // 2 % 4")}, {_CATEGORY_COUNTS},
+    g AS (SELECT *, (k - 1) / 2e0 AS a, chi / 2 AS x FROM d)
+    SELECT CAST(half AS BIGINT) AS half, feature, {as_int("nr")} AS n_reference, {as_int("nq")} AS n_current, {as_int("k")} AS categories,
+      {r6("chi")} AS chi_square, {r6("sqrt(greatest(0, js))")} AS jensen_shannon,
+      round(greatest(0, least(1, 1 - list_sum(list_transform(range(300), lambda n: exp((a + n) * ln(x) - x - lgamma(a + n + 1)))))), 6) + 0.0 AS p_value,
+      1 - list_sum(list_transform(range(300), lambda n: exp((a + n) * ln(x) - x - lgamma(a + n + 1)))) < 0.05 AS drifted FROM g""",
+)
+def d1_category_drift(spark, sf_dir):
+    """Chi-square test and distance of three categorical columns, per half of the units, in one job."""
+    df = view.fleet(spark, sf_dir, ("event_type", "ts", "user_id")).df.withColumns({
+        "variant": F.concat(F.lit("FD00"), (F.lit(1) + F.floor(F.col("user_id") / 2) % 4).cast("string")),
+        "half": (F.col("unit_id") % 2).cast("bigint"),
+        "weekday": ((F.dayofweek("ts") - 1)).cast("string"),
+        "shift": F.floor(F.hour("ts") / 8).cast("string"),
+    })
+    split = splits.domain_split(df, [], scale=False)
+    out = drift.category_drift(split.train, split.test, list(_CATEGORIES), ["half"], method="chi_square")
+    return out.select("half", "feature", "n_reference", "n_current", "categories", *rounded("chi_square", "jensen_shannon", "p_value"), "drifted")
+
+
 @query(
     "d2_drift_and_quality",
     f"""WITH {GAPS}, {_tall_sql("gaps")}, {_DRIFT}, {_FLAT}, {_SPIKE}

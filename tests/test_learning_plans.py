@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 OPERATORS = {
     "y3_random_forest": (models, "train_forest"), "y13_importances": (models, "train_forest"),
     "y4_boosted_trees": (models, "train_boosted"), "y5_rul_regressor": (models, "train_rul_regressor"),
-    "y6_parameter_search": (models, "search_boosted"), "y7_fitted_intervals": (models, "train_rul_regressor"),
+    "y7_fitted_intervals": (models, "train_rul_regressor"),
     "y9_cox_model": (survival, "fit_cox"), "y16_sequence_classifier": (models, "train_sequence_classifier"),
 }
 

@@ -50,8 +50,9 @@ def test_rul_regressor_is_not_negative(labelled):
 
 
 def test_search_reports_every_trial(labelled):
-    _, best, results = models.search_boosted(labelled, ["a", "b"], trials=2, limits={"rounds": 2, "depth": 2})
-    assert results.count() == 2 and best["rounds"] == 2
+    settings = [{**s, "rounds": 2, "depth": 2} for s in models.sample_parameters(2)]
+    found = models.search_boosted(labelled, ["a", "b"], settings=settings)
+    assert found.results.count() == 2 and found.setting in settings
 
 
 def test_contributions_add_up(spark):
