@@ -22,14 +22,15 @@ from pyspark.sql import types as T
 from .common import table
 
 # Elements by their part in a page.
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select", "title", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "title", "xmp"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "fieldset", "head"}
 ARTICLE = {"article", "main"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
     "ins", "kbd", "label", "mark", "meter", "output", "q", "s", "samp", "small", "span", "strike", "strong", "sub",
-    "sup", "time", "tt", "u", "var", "wbr",
+    "sup", "time", "tt", "u", "var", "wbr", "math", "mi", "mn", "mo", "mrow", "msup", "msub", "mfrac", "svg", "text", "tspan",
 }
+ENDED = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 ASIDE_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner", "nav", "navbar",
@@ -37,6 +38,10 @@ ASIDE_NAMES = {
     "cookie", "cookies", "consent", "notice", "alert", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share",
     "social", "comment", "comments", "disqus", "replies", "reply", "form", "search", "pagination", "pager", "copyright",
 }
+#: With one of these beside it a name tells the state of a container, as in no-sidebar or nav-open.
+STATE_NAMES = {"no", "with", "without", "has", "is", "hide", "hidden", "show", "open", "closed", "on", "off", "enabled", "disabled"}
+#: Parts that may also name the frame around an article; one inside them is text all the same.
+FRAME_NAMES = {"nav", "menu", "header", "footer", "sidebar"}
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"}
 
 #: place: 0 in a part named as something else, 1 outside the article of a page that has one, 2 on a
@@ -55,10 +60,13 @@ LABELLED = [
     (12, 0.3, 30, 0.0, 25, 0.0, 3, 1), (1, 0.0, 11, 0.0, 14, 0.0, 3, 1), (5, 0.0, 1, 1.0, 80, 0.0, 3, 1),
     (2, 1.0, 40, 0.0, 30, 0.0, 3, 1), (6, 0.8, 50, 0.0, 60, 0.0, 3, 1), (20, 0.0, 14, 0.0, 14, 0.0, 3, 1),
     # the like of what is dropped elsewhere, inside an article: short lists, link lists, credits
-    (2, 1.0, 2, 1.0, 2, 1.0, 3, 1), (6, 0.9, 40, 0.0, 6, 0.9, 3, 1), (40, 0.8, 30, 0.7, 20, 0.9, 3, 1),
+    (6, 0.9, 40, 0.0, 6, 0.9, 3, 1), (40, 0.8, 30, 0.7, 20, 0.9, 3, 1),
     (4, 0.0, 3, 1.0, 4, 1.0, 3, 1), (5, 0.4, 2, 1.0, 3, 0.5, 3, 1), (6, 0.0, 4, 0.5, 0, 0.0, 3, 1),
     (9, 0.0, 2, 0.8, 4, 0.9, 3, 1), (3, 0.0, 3, 0.0, 4, 0.0, 3, 1), (25, 0.6, 60, 0.0, 3, 1.0, 3, 1),
     (5, 0.0, 5, 0.0, 70, 0.0, 3, 1), (12, 1.0, 12, 0.0, 12, 0.0, 3, 1), (300, 1.0, 0, 0.0, 0, 0.0, 3, 1),
+    # menus inside an article: blocks of nothing but links between others
+    (2, 1.0, 2, 1.0, 2, 1.0, 3, 0), (1, 1.0, 4, 1.0, 3, 1.0, 3, 0), (5, 1.0, 2, 1.0, 6, 1.0, 3, 0),
+    (3, 1.0, 1, 1.0, 1, 1.0, 3, 0), (9, 1.0, 7, 1.0, 12, 1.0, 3, 0), (4, 1.0, 8, 1.0, 2, 1.0, 3, 0),
     # outside the article of a page that has one
     (9, 0.0, 0, 0.0, 1, 1.0, 1, 0), (16, 0.0, 80, 0.0, 0, 0.0, 1, 0), (50, 0.0, 90, 0.0, 20, 0.0, 1, 0),
     (2, 1.0, 5, 0.0, 60, 0.0, 1, 0), (120, 0.1, 30, 0.0, 9, 0.0, 1, 0),
@@ -110,22 +118,74 @@ def _is_main(node, row: tuple) -> bool:
     return node >= 0.5
 
 
-def _named_aside(attributes: str) -> bool:
+def _named_aside(attributes: str) -> tuple[bool, bool]:
+    """Whether class, id or role name a part that is no text, and whether as a frame only."""
+    named = frame = False
     for name, *values in _NAMES.findall(attributes):
         value = "".join(values).lower()
         if name.lower() == "role":
-            if value.strip() in ASIDE_ROLES:
-                return True
-        elif not ASIDE_NAMES.isdisjoint(_PARTS.split(value)):
-            return True
-    return False
+            named |= value.strip() in ASIDE_ROLES
+            continue
+        for one in value.split():
+            parts = set(_PARTS.split(one))
+            if not parts.isdisjoint(ASIDE_NAMES) and parts.isdisjoint(STATE_NAMES):
+                if parts & ASIDE_NAMES <= FRAME_NAMES:
+                    frame = True
+                else:
+                    named = True
+    return named or frame, frame and not named
+
+
+class _Open:
+    """The open elements. Each entry knows whether it lies in an article and in a part that is no text,
+    so that no question looks through the stack."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # name, in an article, set aside, as a frame only
+        self.count: dict[str, int] = {}
+
+    def state(self) -> tuple[bool, bool]:
+        return self.stack[-1][1:3] if self.stack else (False, False)
+
+    def push(self, name: str, attributes: str) -> None:
+        named, frame = (False, False) if name in ("html", "body") else _named_aside(attributes)
+        if name in ASIDE:
+            named, frame = True, False
+        self._add(name, name in ARTICLE, named, frame)
+
+    def _add(self, name: str, article: bool, named: bool, frame: bool) -> None:
+        _, inside, aside, framed = self.stack[-1] if self.stack else (name, False, False, False)
+        if article and not named and framed:  # the frame's name doesn't speak of an article in it
+            aside = framed = False
+        if named:
+            framed = frame and (framed or not aside)
+        self.stack.append((name, inside or article, aside or named, framed))
+        self.count[name] = self.count.get(name, 0) + 1
+
+    def close(self, name: str) -> None:
+        while self.count.get(name):
+            last = self.stack.pop()[0]
+            self.count[last] -= 1
+            if last == name:
+                return
+
+    def end_kind(self, name: str) -> None:
+        """An element of this kind ends an open one that only others of the kind are open in."""
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] not in ENDED:
+                return
+            if self.stack[i][0] == name:
+                self.stack[i:] = self.stack[i + 1 :]  # the few behind it keep their flags
+                self.count[name] -= 1
+                return
 
 
 def blocks(page: str) -> Iterator[tuple[str, int, int, bool, bool]]:
-    """(text, words, words in links, in an article, set aside) of each non-empty block in order."""
+    """(text, words, words in links, in an article, set aside) of each non-empty block in order, in time
+    linear in the page however deep elements are nested."""
     text: list[str] = []
     links: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []  # name, article, aside
+    open_ = _Open()
     in_link, at, size = False, 0, len(page)
 
     def flush():
@@ -137,7 +197,7 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, bool]]:
         links.clear()
         if not whole:
             return None
-        return whole, whole.count(" ") + 1, linked, any(x[1] for x in open_), any(x[2] for x in open_)
+        return whole, whole.count(" ") + 1, linked, *open_.state()
 
     while at < size:
         found = _TAG.search(page, at)
@@ -162,28 +222,19 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, bool]]:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else size
             continue
-        if name in INLINE and (closing or not _NAMES.search(attributes) or not _named_aside(attributes)):
-            if not closing or not any(x[0] == name for x in open_):
+        if name in INLINE and (closing or not _NAMES.search(attributes) or not _named_aside(attributes)[0]):
+            if not closing or not open_.count.get(name):
                 continue
         if block := flush():
             yield block
         if name != "a":
             in_link = False
-        if not closing:
-            if name not in VOID and not attributes.endswith("/"):
-                open_.append((name, name in ARTICLE, name in ASIDE or _named_aside(attributes)))
-                if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
-                    for i in range(len(open_) - 2, -1, -1):  # these end an open one of their kind
-                        if open_[i][0] == name:
-                            del open_[i]
-                            break
-                        if open_[i][0] not in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
-                            break
-        else:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    del open_[i:]
-                    break
+        if closing:
+            open_.close(name)
+        elif name not in VOID and not attributes.endswith("/"):
+            if name in ENDED:
+                open_.end_kind(name)
+            open_.push(name, attributes)
     if block := flush():
         yield block
 
