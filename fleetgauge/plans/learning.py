@@ -13,7 +13,8 @@ from fleetgauge.plans import bindings as view
 from fleetgauge.plans.registry import (
     FLEET, GAPS, LABELLED, as_int, hash_sql, query, r6, text_key_sql, uniform_sql,
 )
-from fleetgauge.schema import KEYS, feature_columns
+from fleetgauge.operators.rules import SERVING_RANGES
+from fleetgauge.schema import KEYS, SENSORS, feature_columns
 from fleetgauge.session import pinned, scratch_path
 from fleetgauge.streaming import jobs
 
@@ -361,20 +362,63 @@ def st1_stream_scoring(spark, sf_dir):
     )
 
 
+def _all_sensors(events):
+    """Readings with all sensors: values inside the serving ranges, but one sensor of every fiftieth reading."""
+    part = {s: F.lit(r[0]) + (r[1] - r[0]) * ((F.col("event_id") * i) % 101 + 1) / 103.0
+            for i, (s, r) in enumerate(((s, SERVING_RANGES.get(s, (0.0, 103.0))) for s in SENSORS), 1)}
+    bad = [F.when((F.col("event_id") % 50 == 7) & (F.floor(F.col("event_id") / 50) % len(SENSORS) == i), F.lit(None).cast("double")).otherwise(v)
+           for i, v in enumerate(part.values())]
+    return events.select(
+        F.concat(F.lit("FD00"), (F.lit(1) + F.col("user_id") % 4).cast("string")).alias("variant"),
+        F.col("user_id").cast("bigint").alias("unit_id"), (F.col("event_id") + 1).cast("bigint").alias("cycle"),
+        F.col("ts").cast("timestamp").alias("seen_at"), (F.col("event_type") == "error").cast("int").alias(models.LABEL),
+        *[v.alias(s) for s, v in zip(part, bad)],
+    )
+
+
+@query(
+    "st1_model_stream",
+    f"""SELECT 'FD00' || CAST(1 + user_id % 4 AS VARCHAR) AS variant, CAST(user_id AS BIGINT) AS unit_id,
+      CAST(event_id + 1 AS BIGINT) AS cycle, user_id >= 1 AND event_id % 50 <> 7 AS is_valid, {as_int("1")} AS n_outputs,
+      user_id >= 1 AND event_id % 50 <> 7 AS same_as_batch FROM events""",
+)
+def st1_model_stream(spark, sf_dir):
+    """A fitted classifier inside a stream that delivers its input twice: one output a reading, checked on
+    all sensors, with the risk that the model gives in batch (NULL where the reading is invalid)."""
+    events = view.table(spark, sf_dir, "events")
+    readings = _all_sensors(events)
+    model = models.train_logistic(readings, SENSORS, iterations=20)
+    source = scratch_path(spark, "stream-replayed")
+    for _ in range(2):
+        events.write.mode("append").parquet(source)
+    files = 4  # of both deliveries, so that repeats arrive in later triggers as well
+    stream = _all_sensors(jobs.read_stream(spark, source, events.schema, files))
+    once = jobs.without_replays(stream, "seen_at", "400 days")
+    out = jobs.score_stream(once, jobs.model_score(model, SENSORS), reference_date=dt.date(2026, 1, 1))
+    target = scratch_path(spark, "stream-model-scores")
+    jobs.run_available(out, target, scratch_path(spark, "stream-model-log"))
+    batch = models.score_risk(model, readings, SENSORS).select("unit_id", "cycle", F.round("risk", 4).alias("wanted"))
+    found = spark.read.parquet(target).groupBy("variant", "unit_id", "cycle", "is_valid").agg(
+        F.count(F.lit(1)).alias("n_outputs"), F.max("risk_score").alias("risk_score")
+    )
+    same = F.coalesce(F.abs(F.col("risk_score") - F.col("wanted")) <= 1e-4, F.lit(False))
+    return found.join(batch, ["unit_id", "cycle"]).select(*KEYS, "cycle", F.col("is_valid").cast("boolean").alias("is_valid"), "n_outputs", same.alias("same_as_batch"))
+
+
 _W = "OVER (PARTITION BY unit_id ORDER BY cycle ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
 
 
 @query(
     "st2_stream_quality",
-    f"""WITH e AS (SELECT 'FD00' || CAST(1 + user_id % 4 AS VARCHAR) AS variant, CAST(user_id AS INTEGER) AS unit_id,
-      CAST(event_id + 1 AS INTEGER) AS cycle, CASE WHEN event_type <> 'error' THEN value END AS x FROM events)
+    f"""WITH e AS (SELECT 'FD00' || CAST(1 + user_id % 4 AS VARCHAR) AS variant, CAST(user_id AS BIGINT) AS unit_id,
+      CAST(event_id + 1 AS BIGINT) AS cycle, CASE WHEN event_type <> 'error' THEN value END AS x FROM events)
     SELECT variant, unit_id, cycle, CASE WHEN count(x) {_W.format(n=9)} >= 5 AND stddev_samp(x) {_W.format(n=9)} < 1e-4
       THEN true ELSE false END AS is_flat, {r6("avg(CAST(x IS NULL AS INTEGER)) " + _W.format(n=19))} AS missing_rate,
       avg(CAST(x IS NULL AS INTEGER)) {_W.format(n=19)} > 0.05 AS is_spike FROM e""",
 )
 def st2_stream_quality(spark, sf_dir):
     """Stateful flags on a stream, equal to the batch windows."""
-    flags = jobs.quality_stream(_as_readings(_event_stream(spark, sf_dir)), ["sensor_1"], expire=False)
+    flags = jobs.quality_stream(_as_readings(_event_stream(spark, sf_dir)), ["sensor_1"], idle_ms=None)
     target = scratch_path(spark, "stream-flags")
     jobs.run_available(flags, target, scratch_path(spark, "stream-flags-log"))
     return spark.read.parquet(target).select(*KEYS, "cycle", "is_flat", *rounded("missing_rate"), "is_spike")

@@ -7,9 +7,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import (
+    ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues,
+)
 
+from fleetgauge.operators.models import score_risk
 from fleetgauge.operators.policy import alerts
 from fleetgauge.operators.quality import (
     FLATLINE_EPSILON, FLATLINE_WINDOW, SPIKE_THRESHOLD, SPIKE_WINDOW,
@@ -26,8 +30,26 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     )
 
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available(df: DataFrame, target: str, checkpoint: str, partition: Sequence[str] = ()) -> None:
-    """Process what is there, append exactly once to parquet, and stop."""
+    """Process what is there, append exactly once to parquet, and stop. State is kept in RocksDB, outside
+    the heap; the session's own setting is put back afterwards."""
+    conf = df.sparkSession.conf
+    before = conf.get(_STORE, None)
+    conf.set(_STORE, _ROCKS)
+    try:
+        _run(df, target, checkpoint, partition)
+    finally:
+        if before is None:
+            conf.unset(_STORE)
+        else:
+            conf.set(_STORE, before)
+
+
+def _run(df: DataFrame, target: str, checkpoint: str, partition: Sequence[str]) -> None:
     writer = df.writeStream.format("parquet").outputMode("append").option(
         "checkpointLocation", checkpoint
     )
@@ -37,6 +59,17 @@ def run_available(df: DataFrame, target: str, checkpoint: str, partition: Sequen
     query.awaitTermination()
 
 
+def without_replays(readings: DataFrame, time: str, delay: str, keys: Sequence[str] = (*KEYS, CYCLE)) -> DataFrame:
+    """One row per key of a stream that may deliver rows again within `delay` of event time; state older
+    than that is dropped. `time`: a timestamp column."""
+    return readings.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def model_score(model: PipelineModel, features: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """Scores of a fitted classifier for `score_stream`; the model's stages run inside the stream."""
+    return lambda df: score_risk(model, df, features)
+
+
 def score_stream(
     readings: DataFrame,
     score: Callable[[DataFrame], DataFrame],
@@ -57,21 +90,20 @@ def score_stream(
     return out.withColumns({c: F.when(F.col("is_valid"), F.col(c)) for c in hidden})
 
 
+#: A reading's flags; `event` is reading, late or expired, `late_rows` the unit's late readings so far.
 FLAGS = T.StructType(
     [
         T.StructField("variant", T.StringType()),
-        T.StructField("unit_id", T.IntegerType()),
+        T.StructField("unit_id", T.LongType()),
         T.StructField("sensor", T.StringType()),
-        T.StructField("cycle", T.IntegerType()),
-        T.StructField("is_late", T.BooleanType()),
+        T.StructField("cycle", T.LongType()),
+        T.StructField("event", T.StringType()),
+        T.StructField("late_rows", T.LongType()),
         T.StructField("is_flat", T.BooleanType()),
         T.StructField("missing_rate", T.DoubleType()),
         T.StructField("is_spike", T.BooleanType()),
     ]
 )
-_STATE = T.StructType(
-    [T.StructField("last_cycle", T.IntegerType()), T.StructField("recent", T.ArrayType(T.DoubleType()))]
-)
 _HELD = max(FLATLINE_WINDOW, SPIKE_WINDOW) - 1
 
 
@@ -94,60 +126,84 @@ def _window_flags(values: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarra
     return std, missing.sum(axis=1) / length
 
 
-def _track(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Flags for one (variant, unit, sensor): the state is the last cycle and recent readings."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    last, recent = state.get if state.exists else (None, [])
-    recent = [np.nan if v is None else v for v in recent]
-    rows = pd.concat(list(batches)).sort_values("cycle", kind="stable")
-    on_time = rows["cycle"] > (last if last is not None else -(2**31))
-    on_time &= ~rows["cycle"].duplicated()
-    late, fresh = rows[~on_time], rows[on_time]
-
-    def frame(part: pd.DataFrame, is_late: bool, std, rate) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "variant": key[0], "unit_id": np.int32(key[1]), "sensor": key[2],
-                "cycle": part["cycle"].astype("int32").to_numpy(), "is_late": is_late,
-                "is_flat": None if is_late else std < FLATLINE_EPSILON,
-                "missing_rate": rate,
-                "is_spike": None if is_late else rate > SPIKE_THRESHOLD,
-            }
-        )
-
-    if len(fresh):
-        values = np.concatenate([np.asarray(recent, dtype=float), fresh["value"].to_numpy(dtype=float)])
-        std, rate = _window_flags(values, len(recent))
-        yield frame(fresh, False, std, rate)
-        last = int(fresh["cycle"].iloc[-1])
-        recent = values[-_HELD:].tolist()
-    if len(late):
-        yield frame(late, True, None, np.nan)
-    state.update((last, [None if np.isnan(v) else float(v) for v in recent]))
-    if state._timeout_conf == "ProcessingTimeTimeout":
-        state.setTimeoutDuration(_IDLE_MS)
-
-
 _IDLE_MS = 7 * 24 * 3600 * 1000
-
-
-def quality_stream(readings: DataFrame, sensors: Sequence[str], expire: bool = True) -> DataFrame:
-    """Flatline and missing-spike flags per reading of a stream; equal to the batch windows on
-    input in cycle order. Readings at or before the last seen cycle are marked late. State is
-    kept per (unit, sensor) and dropped for units silent for a week."""
+_SPARE_MS = 24 * 3600 * 1000
+
+
+class QualityTracker(StatefulProcessor):
+    """Flags for one (variant, unit, sensor). State: the last cycle with the count of late readings and
+    the timer set (`last`), and the readings that later frames reach back to (`recent`). With an
+    idle time a timer ends a silent unit's state with a row of its own, and state that no timer
+    has ended is dropped without one `_SPARE_MS` later."""
+
+    def __init__(self, idle_ms: int | None):
+        self._idle = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        kept = None if self._idle is None else self._idle + _SPARE_MS
+        self._last = handle.getValueState("last", "cycle bigint, late bigint, timer bigint", kept)
+        self._recent = handle.getListState("recent", "value double", kept)
+
+    def _rows(self, key: tuple, cycles: np.ndarray, event: str, late: int, **flags) -> pd.DataFrame:
+        n = len(cycles)
+        blank = {"is_flat": [None] * n, "missing_rate": [np.nan] * n, "is_spike": [None] * n}
+        named = {"variant": [key[0]] * n, "unit_id": [key[1]] * n, "sensor": [key[2]] * n, "cycle": cycles,
+                 "event": [event] * n, "late_rows": [late] * n}
+        return pd.DataFrame(named | blank | flags)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        seen = self._last.get() if self._last.exists() else None
+        last, late, timer = seen if seen is not None else (None, 0, None)
+        recent = np.array([r[0] for r in self._recent.get()] if self._recent.exists() else [], float)
+        parts = [(r["cycle"].to_numpy(np.int64), r["value"].to_numpy(float)) for r in rows]  # a trigger's rows of one unit
+        cycles, values = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(cycles, kind="stable")
+        cycles, values = cycles[order], values[order]
+        fresh = np.r_[True, cycles[1:] != cycles[:-1]]
+        if last is not None:
+            fresh &= cycles > last
+        late += int((~fresh).sum())
+        if fresh.any():
+            joined = np.concatenate([recent, values[fresh]])
+            std, rate = _window_flags(joined, len(recent))
+            yield self._rows(key, cycles[fresh], "reading", late, is_flat=std < FLATLINE_EPSILON, missing_rate=rate, is_spike=rate > SPIKE_THRESHOLD)
+            last = int(cycles[fresh][-1])
+            self._recent.put([(float(v),) for v in joined[-_HELD:]])
+        if not fresh.all():
+            yield self._rows(key, cycles[~fresh], "late", late)
+        if self._idle is not None:
+            if timer is not None:
+                self._handle.deleteTimer(timer)
+            timer = timerValues.getCurrentProcessingTimeInMs() + self._idle
+            self._handle.registerTimer(timer)
+        self._last.update((last, late, timer))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self._last.exists():  # dropped meanwhile
+            return
+        last, late, _ = self._last.get()
+        self._last.clear()
+        self._recent.clear()
+        yield self._rows(key, np.array([last]), "expired", late)
+
+    def close(self) -> None:
+        pass
+
+
+def quality_stream(readings: DataFrame, sensors: Sequence[str], idle_ms: int | None = _IDLE_MS) -> DataFrame:
+    """Flatline and missing-spike flags per reading of a stream (FLAGS); equal to the batch windows on
+    input in cycle order. Readings at or before the last seen cycle, and repeats of a cycle, are events
+    `late` without flags. State is kept per (unit, sensor); a unit silent for `idle_ms` (None: never)
+    gives an event `expired` and starts anew. A task holds one unit's readings of one trigger. The
+    session must keep state in RocksDB (`run_available` sees to it)."""
     ids = [*KEYS, CYCLE]
     tall = readings.select(
-        "variant", F.col("unit_id").cast("int").alias("unit_id"), F.col(CYCLE).cast("int").alias(CYCLE),
+        "variant", F.col("unit_id").cast("bigint").alias("unit_id"), F.col(CYCLE).cast("bigint").alias(CYCLE),
         *[F.col(s).cast("double").alias(s) for s in sensors],
     ).unpivot(ids, list(sensors), "sensor", "value")
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout
-    return tall.groupBy(*KEYS, "sensor").applyInPandasWithState(
-        _track, FLAGS, _STATE, "append", timeout
-    )
+    mode = "None" if idle_ms is None else "ProcessingTime"
+    return tall.groupBy(*KEYS, "sensor").transformWithStateInPandas(QualityTracker(idle_ms), FLAGS, "append", mode)
 
 
 def windowed_readings(

@@ -121,10 +121,11 @@ def test_stream_flags_equal_batch_and_late_rows_are_marked(spark, clean, tmp_pat
     parts = [df.where("cycle <= 23"), df.where("cycle > 23"), df.where("unit_id = 1 and cycle = 30")]
     for part in parts:
         part.coalesce(1).write.mode("append").parquet(source)
-        flags = jobs.quality_stream(jobs.read_stream(spark, source, df.schema, 1), SENSORS, expire=False)
+        flags = jobs.quality_stream(jobs.read_stream(spark, source, df.schema, 1), SENSORS, idle_ms=None)
         jobs.run_available(flags, out, str(tmp_path / "log"))
     found = spark.read.parquet(out)
-    assert found.where("is_late").count() == 2 and found.where("NOT is_late").count() == 500
+    assert found.where("event = 'late'").count() == 2 and found.where("event = 'reading'").count() == 500
+    assert {r["late_rows"] for r in found.where("event = 'late'").collect()} == {1}
     by_series = found.where("is_flat").groupBy("unit_id", "sensor").count().collect()
     batch = quality.flatline_alerts(df, SENSORS).collect()
     assert {(r["unit_id"], r["sensor"], r["count"]) for r in by_series} == {
@@ -136,6 +137,33 @@ def test_stream_flags_equal_batch_and_late_rows_are_marked(spark, clean, tmp_pat
     }
 
 
+def test_a_silent_unit_expires_and_starts_anew(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def arrive(rows):
+        spark.createDataFrame(rows, "variant string, unit_id long, cycle long, sensor_1 double").coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema, 1)
+        jobs.run_available(jobs.quality_stream(stream, ["sensor_1"], idle_ms=1), out, str(tmp_path / "log"))
+        return [tuple(r) for r in spark.read.parquet(out).orderBy("unit_id", "cycle", "event").select("unit_id", "cycle", "event", "is_flat").collect()]
+
+    big = 3_000_000_000
+    arrive([("FD001", big, c, 5.0) for c in range(1, 7)])
+    arrive([("FD001", 2, 1, 1.0)])
+    found = arrive([("FD001", big, 3, 5.0)])  # after expiry an old cycle is a first reading again
+    assert (big, 6, "expired", None) in found and (big, 3, "reading", False) in found
+    assert (big, 3, "late", None) not in found
+
+
+def test_a_stream_delivered_twice_is_scored_once(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows = spark.range(40).selectExpr("'FD001' AS variant", "id % 4 + 1 AS unit_id", "id AS cycle", "timestamp_seconds(1700000000 + id * 60) AS t", "CAST(id AS double) AS x")
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").parquet(source)
+    once = jobs.without_replays(jobs.read_stream(spark, source, rows.schema, 1), "t", "2 hours")
+    jobs.run_available(once, str(tmp_path / "out"), str(tmp_path / "log"))
+    assert sorted(r["cycle"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(40))
+
+
 def test_stream_scores_reject_bad_readings(spark, clean, tmp_path):
     source = str(tmp_path / "in")
     clean.select("variant", "unit_id", "cycle", F.col("sensor_1").alias("sensor_2")).write.parquet(source)
