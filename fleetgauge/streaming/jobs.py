@@ -30,33 +30,34 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     )
 
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def run_available(df: DataFrame, target: str, checkpoint: str, partition: Sequence[str] = ()) -> None:
+def run_available(
+    df: DataFrame, target: str, checkpoint: str, partition: Sequence[str] = (), idle_batches: bool = True
+) -> None:
     """Process what is there, append exactly once to parquet, and stop. State is kept in RocksDB, outside
-    the heap; the session's own setting is put back afterwards."""
+    the heap. `idle_batches` lets triggers without data follow, which a watermark needs to give its last
+    rows; with processing-time timers there would be no end of them. The session's own settings are put
+    back afterwards."""
     conf = df.sparkSession.conf
-    before = conf.get(_STORE, None)
-    conf.set(_STORE, _ROCKS)
+    wanted = {_STORE: _ROCKS, _NO_DATA: str(idle_batches).lower()}
+    before = {name: conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        conf.set(name, value)
     try:
-        _run(df, target, checkpoint, partition)
+        writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+        if partition:
+            writer = writer.partitionBy(*partition)
+        writer.trigger(availableNow=True).start(target).awaitTermination()
     finally:
-        if before is None:
-            conf.unset(_STORE)
-        else:
-            conf.set(_STORE, before)
-
-
-def _run(df: DataFrame, target: str, checkpoint: str, partition: Sequence[str]) -> None:
-    writer = df.writeStream.format("parquet").outputMode("append").option(
-        "checkpointLocation", checkpoint
-    )
-    if partition:
-        writer = writer.partitionBy(*partition)
-    query = writer.trigger(availableNow=True).start(target)
-    query.awaitTermination()
+        for name, value in before.items():
+            if value is None:
+                conf.unset(name)
+            else:
+                conf.set(name, value)
 
 
 def without_replays(readings: DataFrame, time: str, delay: str, keys: Sequence[str] = (*KEYS, CYCLE)) -> DataFrame:

@@ -143,7 +143,7 @@ def test_a_silent_unit_expires_and_starts_anew(spark, tmp_path):
     def arrive(rows):
         spark.createDataFrame(rows, "variant string, unit_id long, cycle long, sensor_1 double").coalesce(1).write.mode("append").parquet(source)
         stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema, 1)
-        jobs.run_available(jobs.quality_stream(stream, ["sensor_1"], idle_ms=1), out, str(tmp_path / "log"))
+        jobs.run_available(jobs.quality_stream(stream, ["sensor_1"], idle_ms=1), out, str(tmp_path / "log"), idle_batches=False)
         return [tuple(r) for r in spark.read.parquet(out).orderBy("unit_id", "cycle", "event").select("unit_id", "cycle", "event", "is_flat").collect()]
 
     big = 3_000_000_000
