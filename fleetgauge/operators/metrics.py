@@ -203,12 +203,14 @@ def confusion_matrix(
 def interval_coverage(
     df: DataFrame, groups: Sequence[str], actual: str, low: str, high: str
 ) -> DataFrame:
-    """Share of actual values inside the interval and its mean width."""
+    """Share of actual values inside the interval and its mean width, over the `n` rows that have an
+    actual value and both bounds; `n_without` counts the others."""
     inside = F.col(actual).between(F.col(low), F.col(high))
     return df.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(inside).alias("n"),
+        F.count_if(inside.isNull()).alias("n_without"),
         F.avg(inside.cast("double")).alias("coverage"),
-        F.avg(F.col(high) - F.col(low)).alias("mean_width"),
+        F.avg(F.when(inside.isNotNull(), F.col(high) - F.col(low))).alias("mean_width"),
     )
 
 

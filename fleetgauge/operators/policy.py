@@ -57,7 +57,7 @@ def alerts(
     """One service alert per scored row, all in one projection; without a risk the urgency is
     `unknown`, unless the remaining life alone makes it critical."""
     start = F.lit(reference_date) if reference_date else F.current_date()
-    r = F.col(risk).cast("double")
+    r = F.nullif(F.col(risk).cast("double"), F.lit(float("nan")))  # NaN would exceed every threshold
     left = clip(F.col(rul).cast("double"), 0.0)
     days = F.ceil(left / F.lit(max(cycles_per_day, 1e-9))).cast("int")
     base = df.select(*keep, r.alias("_risk"), left.alias("_rul"), days.alias("days_until_service"))
@@ -67,7 +67,7 @@ def alerts(
         F.when((r >= CRITICAL_RISK) | (left <= CRITICAL_RUL), "critical")
         .when(r >= threshold, "high")
         .when(r >= SCHEDULED_RISK, "scheduled")
-        .when(r.isNull() | F.isnan(r), "unknown")
+        .when(r.isNull(), "unknown")
         .otherwise("ok")
     )
     unit, day_text = F.col("unit_id").cast("string"), F.col("days_until_service").cast("string")

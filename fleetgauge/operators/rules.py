@@ -10,6 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fleetgauge.schema import CYCLE, KEYS, OPS, SENSORS
+from fleetgauge.session import pinned
 
 
 @dataclass(frozen=True)
@@ -80,15 +81,24 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ValidationError(f"missing required columns: {absent}")
 
 
-def _present(df: DataFrame, rules: Sequence[Range]) -> list[Range]:
+def rules_for(df: DataFrame, rules: Sequence[Range] = LOAD_RULES) -> list[Range]:
+    """The rules of the columns that a frame has: for views that hold a part of a reading by intent."""
     return [r for r in rules if r.column in df.columns]
 
 
-def _broken_list(rules: Sequence[Range]) -> Column:
+def _broken(df: DataFrame, rule: Range) -> Column:
+    """A required column that the frame lacks is broken in every row; an optional one in none."""
+    return rule.broken() if rule.column in df.columns else F.lit(rule.required)
+
+
+def _broken_list(df: DataFrame, rules: Sequence[Range]) -> Column:
     entries = [
         F.when(
-            r.broken(),
-            F.struct(F.lit(r.column).alias("column"), F.col(r.column).cast("double").alias("value")),
+            _broken(df, r),
+            F.struct(
+                F.lit(r.column).alias("column"),
+                (F.col(r.column).cast("double") if r.column in df.columns else F.lit(None).cast("double")).alias("value"),
+            ),
         )
         for r in rules
     ]
@@ -98,24 +108,48 @@ def _broken_list(rules: Sequence[Range]) -> Column:
 def violations(df: DataFrame, rules: Sequence[Range] = LOAD_RULES) -> DataFrame:
     """One row per broken rule: keys, `column`, `value`. One pass, no shuffle."""
     keys = [c for c in (*KEYS, CYCLE) if c in df.columns]
-    broken = df.select(*keys, F.inline(_broken_list(_present(df, rules))))
-    return broken
+    return df.select(*keys, F.inline(_broken_list(df, rules)))
 
 
 def mark_valid(df: DataFrame, rules: Sequence[Range] = LOAD_RULES) -> DataFrame:
-    ok = reduce(and_, [~r.broken() for r in _present(df, rules)], F.lit(True))
+    """`is_valid`: no rule of the row itself is broken; one pass, also on a stream. Repeated keys are
+    marked by `mark_all`."""
+    ok = reduce(and_, [~_broken(df, r) for r in rules], F.lit(True))
     return df.withColumn("is_valid", ok)
 
 
+def _empty(df: DataFrame) -> Column:
+    values = [F.col(c).cast("string") for c in df.columns if c != "variant"]
+    return F.coalesce(*values).isNull() if values else F.lit(True)
+
+
+def mark_all(df: DataFrame, rules: Sequence[Range] = LOAD_RULES) -> DataFrame:
+    """`broken`: all violations of each row: columns out of range or absent, `unique` on every row but
+    the first of a repeated key, `all_missing` on empty rows. One shuffle by key; of a repeated key's
+    rows the first by all columns counts as the original, and keys of many rows are told by counts per
+    distinct row, not by a window over them."""
+    keys = [c for c in (*KEYS, CYCLE) if c in df.columns]
+    digest = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    rows = df.withColumn("_digest", digest).withColumn("_turn", F.monotonically_increasing_id())
+    rows = pinned(rows)  # the turn must not change when a task is run again
+    first = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.struct("_digest", "_turn")).alias("_first"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.lit(True))
+    joined = rows.join(first, same)
+    names = F.transform(_broken_list(df, rules), lambda e: e["column"])
+    extra = F.array(
+        F.when(F.struct("_digest", "_turn") != F.col("_first"), F.lit("unique")),
+        F.when(_empty(df), F.lit("all_missing")),
+    )
+    broken = F.concat(names, F.filter(extra, lambda e: e.isNotNull()))
+    return joined.select(*df.columns, broken.alias("broken"))
+
+
 def quarantine(
     df: DataFrame, rules: Sequence[Range] = LOAD_RULES
 ) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and bad rows with the list of broken columns."""
-    marked = mark_valid(df, rules)
-    good = marked.where("is_valid").drop("is_valid")
-    names = F.transform(_broken_list(_present(df, rules)), lambda e: e["column"])
-    bad = marked.where("NOT is_valid").drop("is_valid").withColumn("broken", names)
-    return good, bad
+    """Good rows, and bad rows with the list of what they break (`mark_all`)."""
+    marked = pinned(mark_all(df, rules))
+    return marked.where(F.size("broken") == 0).drop("broken"), marked.where(F.size("broken") > 0)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = (*KEYS, CYCLE)) -> DataFrame:
@@ -168,9 +202,10 @@ def validate(
     df: DataFrame, rules: Sequence[Range] = LOAD_RULES, mode: str = "fail",
     required: Sequence[str] = (*KEYS[1:], CYCLE, *OPS, *SENSORS),
 ) -> DataFrame:
-    """`fail` raises with all counted violations; `lenient` keeps every row and marks it."""
+    """`fail` raises with all counted violations; `lenient` keeps every row with `is_valid` and what it
+    breaks (`mark_all`)."""
     if mode == "lenient":
-        return mark_valid(df, rules)
+        return mark_all(df, rules).withColumn("is_valid", F.size("broken") == 0)
     if mode != "fail":
         raise ValueError("mode must be 'fail' or 'lenient'")
     require_columns(df, required)

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from fleetgauge.operators import features as feat
 from fleetgauge.functions.scalars import key_uniform, text_key
-from fleetgauge.operators import leaves, metrics, models, passes, permutation, policy, splits, survival, uncertainty
+from fleetgauge.operators import (
+    baseline, leaves, metrics, models, passes, permutation, policy, runs, splits, survival, uncertainty,
+)
 from fleetgauge.plans import bindings as view
 from fleetgauge.plans.registry import (
     FLEET, GAPS, LABELLED, as_int, hash_sql, query, r6, text_key_sql, uniform_sql,
 )
-from fleetgauge.operators.rules import SERVING_RANGES
+from fleetgauge.operators.rules import SERVING_RANGES, SERVING_RULES, rules_for
 from fleetgauge.schema import KEYS, SENSORS, feature_columns
 from fleetgauge.session import pinned, scratch_path
 from fleetgauge.streaming import jobs
@@ -88,6 +92,49 @@ def y13_importances(spark, sf_dir):
     return spark.createDataFrame(models.importances(model, features), "feature string, importance double")
 
 
+def _trained_runs(spark, sf_dir):
+    """Stored models of two kinds and the threshold rule, fitted per track and scored on its unseen side."""
+    fleet = view.labelled(view.fleet(spark, sf_dir))
+    df = pinned(feat.add_features(fleet.df, hot=fleet.hot, dense=True).withColumn("cycle_age", F.col("cycle").cast("double")))
+    features = feature_columns(df.columns)
+    sides = {}
+    for track, cut in (("A", splits.holdout_split), ("B", splits.domain_split)):
+        split = cut(df, features)
+        sides[track] = pinned(split.train), pinned(split.test)
+    kinds = {"boosted": models.train_boosted, "logistic": models.train_logistic, "threshold_rule": None}
+
+    def scored_by(name: str, track: str):
+        train, test = sides[track]
+        if kinds[name] is None:
+            scored = baseline.fit_threshold_rule(train, ["sensor_1", "sensor_2", "sensor_3"]).score(test)
+        else:
+            path = scratch_path(spark, f"model-{name}-{track}")
+            models.save_model(kinds[name](train, features), path)
+            scored = models.score_risk(models.load_model(path), test, features)
+        return name, track, scored.select("variant", models.LABEL, "risk")
+
+    todo = [(name, track) for name in kinds for track in sides]
+    with ThreadPool(len(todo)) as pool:  # the fits are many small jobs; side by side they fill the cluster
+        parts = pool.starmap(inheritable_thread_target(spark)(scored_by), todo, chunksize=1)
+    whole = None
+    for name, track, scored in parts:
+        side = scored.select(F.lit(name).alias("model"), F.lit(track).alias("track"), "variant", models.LABEL, "risk")
+        whole = side if whole is None else whole.unionByName(side)
+    params = {"logistic": {"iterations": "1000"}, "boosted": {"rounds": str(models.BOOST_ROUNDS), "depth": str(models.BOOST_DEPTH)}}
+    return runs.evaluated_runs(whole, params, F.lit(dt.datetime(2026, 1, 1)))
+
+
+@query("g1_trained_runs")
+def g1_trained_runs(spark, sf_dir):
+    """Run table of trained models on both tracks, appended twice, and the best of them per metric."""
+    found, path = pinned(_trained_runs(spark, sf_dir)), scratch_path(spark, "trained-runs")
+    for _ in range(2):
+        runs.append_new_runs(found, path)
+    table = runs.scan_runs(spark, path)
+    best = runs.best_per_metric(runs.latest(runs.comparison(table)), ["A_pr_auc", "A_f1", "B_pr_auc", "B_f1"])
+    return best.withColumn("n_runs", F.lit(table.count())).select("metric", "model", "variant", *rounded("value"), "n_runs")
+
+
 _COEF = {"sensor_1": 0.02, "sensor_2": -0.03, "sensor_3": 0.1}
 
 
@@ -350,10 +397,11 @@ def _as_readings(events):
 )
 def st1_stream_scoring(spark, sf_dir):
     """Score a stream of readings into a sink partitioned by validity, then read the sink."""
+    readings = _as_readings(_event_stream(spark, sf_dir))
     out = jobs.score_stream(
-        _as_readings(_event_stream(spark, sf_dir)),
+        readings,
         lambda df: df.withColumn("risk", (F.col("sensor_2") - 490.0) / 250.0),
-        q_hat=0.1, reference_date=dt.date(2026, 1, 1),
+        rules=rules_for(readings, SERVING_RULES), q_hat=0.1, reference_date=dt.date(2026, 1, 1),
     )
     target = scratch_path(spark, "stream-scores")
     jobs.run_available(out, target, scratch_path(spark, "stream-scores-log"), ["is_valid"])
@@ -394,7 +442,8 @@ def st1_model_stream(spark, sf_dir):
     files = 4  # of both deliveries, so that repeats arrive in later triggers as well
     stream = _all_sensors(jobs.read_stream(spark, source, events.schema, files))
     once = jobs.without_replays(stream, "seen_at", "400 days")
-    out = jobs.score_stream(once, jobs.model_score(model, SENSORS), reference_date=dt.date(2026, 1, 1))
+    checked = rules_for(once, SERVING_RULES)  # no operating settings in this view, all sensors
+    out = jobs.score_stream(once, jobs.model_score(model, SENSORS), rules=checked, reference_date=dt.date(2026, 1, 1))
     target = scratch_path(spark, "stream-model-scores")
     jobs.run_available(out, target, scratch_path(spark, "stream-model-log"))
     batch = models.score_risk(model, readings, SENSORS).select("unit_id", "cycle", F.round("risk", 4).alias("wanted"))
