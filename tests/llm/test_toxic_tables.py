@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -26,3 +30,45 @@ def test_scores_equal_a_direct_sum_of_pairs(spark):
         diff = tables.difference(words, toxicity._before(words, sizes)) if len(words) else np.zeros(0)
         strong = np.log(np.maximum(diff - toxicity._STRONG, 0).sum() / (len(diff) + 10) + 0.001)
         assert np.allclose(got[text], (diff.sum() / max(1, len(diff)), strong))
+
+
+def _by_hand(labelled, text):
+    """Mean difference and excess of a text, by Kneser-Ney estimates in plain dictionaries of words."""
+    d, grams = 0.75, [Counter(), Counter()]
+    for label, line in labelled:
+        words = line.split()
+        grams[label].update(zip(["<s>", *words], words))
+    every = set(grams[0]) | set(grams[1])
+    size, after = len({w for _, w in every}) + 1, Counter(w for _, w in every)
+
+    def probability(k, v, w):
+        own = grams[k]
+        total = sum(n for (a, _), n in own.items() if a == v)
+        kinds = len([1 for a, _ in own if a == v])
+        types = len({b for _, b in own})
+        shared = (after[w] + 1) / (len(every) + size)
+        alone = (max(len([1 for _, b in own if b == w]) - d, 0) + d * types * shared) / len(own)
+        if not total:
+            return alone, alone
+        return max(own[v, w] - d, 0) / total + min(1, d * kinds / total) * alone, alone
+
+    diffs, words = [], text.split()
+    for v, w in zip(["<s>", *words], words):
+        (p0, a0), (p1, a1) = probability(0, v, w), probability(1, v, w)
+        both, alone = math.log(p1 / p0), math.log(a1 / a0)
+        diffs.append(math.copysign(min(abs(both), abs(alone)), both) if both * alone > 0 else 0.0)
+    excess = sum(max(x - 3.0, 0) for x in diffs)
+    return sum(diffs) / max(1, len(diffs)), math.log(excess / (len(diffs) + 10) + 0.001)
+
+
+def test_measures_equal_kneser_ney_by_hand(spark):
+    draw = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(30)]
+    labelled = [(0, " ".join(draw.choices(vocabulary[:24], k=draw.randint(1, 12)))) for _ in range(60)]
+    labelled += [(1, " ".join(draw.choices(vocabulary[18:], k=draw.randint(1, 12)))) for _ in range(25)]
+    tables = toxicity.count_tables(spark.createDataFrame(labelled, "label int, text string"))
+    texts = [" ".join(draw.choices([*vocabulary, "unseen"], k=draw.randint(1, 20))) for _ in range(40)] + [""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.text: (r.whole, r.strong) for r in toxicity._measured(docs, tables, "text", ["whole", "strong"]).collect()}
+    for text in texts:
+        assert np.allclose(got[text], _by_hand(labelled, text), atol=1e-9), text
