@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import table, tidied
 
 # White space of the pattern, and the endings that an apostrophe may take.
 WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -343,7 +343,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 done += len(group)
 
     ints = T.ArrayType(T.IntegerType())
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", ints), T.StructField("offsets", ints)]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField("ids", ints), T.StructField("offsets", ints)]))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -362,7 +362,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                     for ok, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[*rest, "decoded"])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return encoded.mapInArrow(tidied(run), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def packed_digest(encoded: DataFrame, name: str) -> DataFrame:
@@ -378,7 +378,7 @@ def packed_digest(encoded: DataFrame, name: str) -> DataFrame:
             data = [hashlib.sha256(values[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.string())], names=[*rest, name])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())]))
+    return encoded.mapInArrow(tidied(run), T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())]))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +75,25 @@ def whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table
         yield pa.concat_tables(held).combine_chunks()
 
 
+@lru_cache(1)
+def _trim():
+    """glibc's malloc_trim, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` over batches, giving back the memory that it has freed at its end: a Python worker serves
+    many tasks, and what its allocators keep would add to those of the stages that follow."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return wrapped
+
+
 def pair_cells(df: DataFrame, keys: list[str], row_id: str, limit: int) -> DataFrame:
     """Cut each group of `keys` into parts of about `limit` rows and send every part to the
     cells in which it meets the others: columns `cell` (bigint) and `part`.

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, fresh, pinned, table, whole_runs
+from .common import ASCII_SPACE, fresh, pinned, table, tidied, whole_runs
 
 #: Word counts are kept in 2**_BITS buckets: a bounded table, used for the order only.
 _BITS = 18
@@ -128,7 +128,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Occurrences of words by hash bucket, over all documents; 2**18 numbers at most."""
     schema = "cut int, n array<long>"
-    rows = docs.select(text).mapInArrow(_counts, schema).repartition("cut").mapInArrow(_added, schema).collect()
+    rows = docs.select(text).mapInArrow(tidied(_counts), schema).repartition("cut").mapInArrow(_added, schema).collect()
     out = np.zeros((_CUTS, (1 << _BITS) // _CUTS), np.int64)
     for cut, n in rows:
         out[cut] += np.array(n)
@@ -263,7 +263,7 @@ def _cells(sets: DataFrame) -> DataFrame:
 def _met(cells: DataFrame, t: float) -> DataFrame:
     sorted_cells = cells.repartition("cell").sortWithinPartitions("cell")
     return sorted_cells.mapInArrow(
-        partial(_partners, t=t),
+        tidied(partial(_partners, t=t)),
         "id long, digest long, line int, other_id long, other_digest long, other_line int, cell long, more boolean",
     )
 
@@ -315,7 +315,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     asked = pinned(asked.groupBy("id", "digest").agg(F.collect_list("line").alias("lines")))  # a document's own lines
     rows = docs.join(asked.hint("shuffle_hash"), ["id", "digest"])  # one kind of join at every size
     words = pinned(rows.select("id", "digest", "lines", "text").mapInArrow(
-        _asked_words, "id long, digest long, line int, words array<string>"))
+        tidied(_asked_words), "id long, digest long, line int, words array<string>"))
     other = words.select(*[F.col(c).alias(o) for c, o in zip(_LINE, _OTHER)], F.col("words").alias("theirs"))
     both = pairs.join(words, _LINE).join(other, _OTHER)
     common = F.size(F.array_intersect("words", "theirs"))
@@ -336,7 +336,7 @@ def _repeated(docs: DataFrame, threshold: float) -> DataFrame:
     counts = word_counts(docs, "text")
     lines = pinned(
         docs.mapInArrow(
-            partial(_line_rows, counts=counts, t=threshold),
+            tidied(partial(_line_rows, counts=counts, t=threshold)),
             "id long, digest long, line int, key long, parity long, parity2 long, n int, prefix array<int>, parts array<int>",
         )
     )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, remainder, table
+from .common import fresh, remainder, table, tidied
 
 STATISTICS = [
     "log_words", "log_word_bytes", "distinct_words", "repeated_neighbours", "capitals",
@@ -136,7 +136,7 @@ def scored(docs: DataFrame, model: Discriminant, name: str = "score", text: str
             x = np.array([statistics(t.as_py()) for t in batch.column(at)]).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], names=[*rest, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def trained(spark, sf_dir: str) -> Discriminant:

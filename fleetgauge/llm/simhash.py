@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE, fresh, pair_cells, pinned, smallest_labels, spread_cells, table, whole_runs
+from .common import ASCII_SPACE, fresh, pair_cells, pinned, smallest_labels, spread_cells, table, tidied, whole_runs
 from .components import components
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, name: str, width: int = 4, text: str = "text")
             signed = np.array(values, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signed)], names=[*rest, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def trie_pairs(values: np.ndarray, roots: list[tuple[int, int, int, int]], budget: int) -> Iterator[tuple]:
