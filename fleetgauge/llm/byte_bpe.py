@@ -36,7 +36,7 @@ LETTER, NUMBER, OTHER, SPACE, BREAK = range(5)
 LAST_SPACE, BLANK, SHORT, LONG = 5, 6, 7, 8
 #: States: a token of the class is open, a blank waits for its run, n letters of an ending are due.
 START, IN_LETTER, IN_NUMBER, IN_OTHER, IN_SPACE, WAITING, DUE_ONE, DUE_TWO = range(8)
-_CACHED = 150_000
+_CACHED = 240_000
 _NONE = 1 << 40
 _BLOCK = 256
 
@@ -341,6 +341,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 part = batch.slice(done, len(group))
                 yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*rest, "ids", "offsets"])
                 done += len(group)
+        merger.old = {}  # between its tasks a worker keeps one generation
 
     ints = T.ArrayType(T.IntegerType())
     return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField("ids", ints), T.StructField("offsets", ints)]))
