@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 CHOSEN = [
     "k8_fleet_schedule", "w5_long_features", "x1_unit_holdout", "m8_classification_bundle",
     "k3_threshold_sweep", "q2_missing_spikes", "d1_drift_distances", "g4_regressor_table",
-    "s1_text_readings", "st1_stream_scoring",
+    "s1_text_readings", "st1_stream_scoring", "v5_quarantine", "y7_leaf_quantiles", "y14_permutation",
+    "d1_category_drift", "a11_a12_stored_sketches", "y12_stochastic_passes",
 ]
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="tables are not here")
