@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetgauge.functions.ordering import GROUP_ROWS, numbered, oversized, running
 from fleetgauge.functions.scalars import PRIME, key_uniform, text_key
+from fleetgauge.operators.splits import zero_filled
 from fleetgauge.schema import CYCLE, KEYS, SEED
 
 # Deviation that counts as constant and the noise used then.
@@ -111,3 +113,23 @@ def inject_flatline(
         for c in cols
     }
     return indexed.withColumns(changed).drop("_row").select(*df.columns)
+
+
+def stressed(
+    df: DataFrame, sensors: Sequence[str], rate: float = 0.2, snr_db: float = 10.0, fraction: float = 0.2,
+    seed: int = SEED, hot: bool | None = None, rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """`df` four times, told apart by `corruption`: clean, missing, noise and flatline; missing sensor
+    values are 0 in each, as the models read them. Only that many copies are ever made, so that one
+    grouped job compares a model's metrics on all of them."""
+    kinds = {
+        "clean": df,
+        "missing": inject_missing(df, sensors, rate, seed),
+        "noise": inject_noise(df, sensors, snr_db, seed),
+        "flatline": inject_flatline(df, sensors, fraction, seed, hot, rows),
+    }
+    cols = _columns(df, sensors)
+    tagged = [
+        zero_filled(part, cols).withColumn("corruption", F.lit(kind)) for kind, part in kinds.items()
+    ]
+    return reduce(DataFrame.unionByName, tagged)

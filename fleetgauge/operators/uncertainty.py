@@ -28,8 +28,9 @@ def conformal_width(
     return out.select(*groups, F.lit(alpha).alias("alpha"), "q_hat")
 
 
-def add_risk_interval(df: DataFrame, q_hat: float | None, score: str = "risk") -> DataFrame:
-    """`risk_lower, risk_upper`; NULL without a calibration artifact."""
+def add_risk_interval(df: DataFrame, q_hat: float | Column | None, score: str = "risk") -> DataFrame:
+    """`risk_lower, risk_upper`; NULL without a calibration artifact. `q_hat` may be a column, for widths
+    by group."""
     if q_hat is None:
         none = F.lit(None).cast("double")
         return df.withColumns({"risk_lower": none, "risk_upper": none})

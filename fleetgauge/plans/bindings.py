@@ -32,13 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fleet(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Fleet:
-    """`events` as readings: a user is a unit, its events in time order are cycles."""
+    """`events` as readings: a user is a unit, its events in time order are cycles.
+
+    The user's own column becomes the unit, without a cast, so that windows over (variant, unit) find
+    the rows dealt out by the exchange that numbered them."""
     events = table(spark, sf_dir, "events")
     hot = oversized(events, ["user_id"])
     ordered = numbered(events, ["user_id"], ["ts", "event_id"], "_cycle", hot=hot)
     df = ordered.select(
         F.concat(F.lit("FD00"), (F.lit(1) + F.col("user_id") % 4).cast("string")).alias("variant"),
-        F.col("user_id").cast("int").alias("unit_id"),
+        F.col("user_id").alias("unit_id"),
         F.col("_cycle").cast("int").alias("cycle"),
         F.lit(0.0).alias("op_setting_1"),
         F.col("value").alias("sensor_1"),
@@ -95,7 +98,7 @@ def wide(spark: SparkSession, sf_dir: str) -> Fleet:
     )
     df = ordered.join(homes, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("r_name").alias("variant"),
-        F.col("l_suppkey").cast("int").alias("unit_id"),
+        F.col("l_suppkey").alias("unit_id"),
         F.col("_cycle").cast("int").alias("cycle"),
         F.col("l_quantity").alias("sensor_1"),
         F.col("l_extendedprice").alias("sensor_2"),

@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fleetgauge.operators import baseline, metrics, policy, splits, stats, uncertainty
-from fleetgauge.functions.scalars import linspace
+from fleetgauge.functions.scalars import key_uniform, linspace, text_key
 from fleetgauge.operators import features as feat
 from fleetgauge.plans import bindings as view
-from fleetgauge.plans.registry import FLEET, LABELLED, SCORED, as_int, query, r6
+from fleetgauge.plans.registry import FLEET, LABELLED, SCORED, as_int, query, r6, text_key_sql, uniform_sql
 from fleetgauge.schema import KEYS, CostPolicy
 
 DAY = dt.date(2026, 1, 1)
@@ -22,15 +22,15 @@ def rounded(*columns: str) -> list:
 
 # --- metrics ---------------------------------------------------------------------------------
 
-_CURVE = """h AS (SELECT {g}, risk, count(*) AS n, sum(label_within_x) AS pos FROM {t} GROUP BY {g}, risk),
+CURVE = """h AS (SELECT {g}, risk, count(*) AS n, sum(label_within_x) AS pos FROM {t} GROUP BY {g}, risk),
 curve AS (SELECT *, sum(pos) OVER w AS tp, sum(n) OVER w AS flagged, sum(pos) OVER (PARTITION BY {g}) AS p
   FROM h WINDOW w AS (PARTITION BY {g} ORDER BY risk DESC)),
 pr AS (SELECT *, tp / CAST(flagged AS DOUBLE) AS prec, tp / CAST(p AS DOUBLE) AS rec,
   pos / CAST(p AS DOUBLE) AS step FROM curve)"""
-_BY_VARIANT = _CURVE.format(g="variant", t="scored")
+_BY_VARIANT = CURVE.format(g="variant", t="scored")
 
 
-def _bin_sql(x: str) -> str:
+def bin_sql(x: str) -> str:
     """Bin index from the raw edges of ten uniform bins."""
     edges = [repr(e) for e in linspace(0.0, 1.0, 11)]
     passed = " + ".join(f"CAST({x} >= {e}e0 AS INTEGER)" for e in edges)
@@ -83,7 +83,7 @@ def m4_m5_regression_metrics(spark, sf_dir):
     return out.select("variant", *rounded("mae", "rmse", "asymmetric_penalty"))
 
 
-_BINS = f"""b AS (SELECT variant, {_bin_sql("risk")} AS bin, count(*) AS n, avg(label_within_x) AS acc,
+_BINS = f"""b AS (SELECT variant, {bin_sql("risk")} AS bin, count(*) AS n, avg(label_within_x) AS acc,
   avg(risk) AS conf FROM scored GROUP BY 1, 2)"""
 
 
@@ -108,12 +108,12 @@ def m7_calibration_bins(spark, sf_dir):
 
 
 _MODELS = SCORED + """, models AS (SELECT variant, event_type AS model, risk, label_within_x FROM scored)"""
-_MB = _bin_sql("risk")
+_MB = bin_sql("risk")
 
 
 @query(
     "m8_classification_bundle",
-    f"""WITH {_MODELS}, {_CURVE.format(g="model, variant", t="models")},
+    f"""WITH {_MODELS}, {CURVE.format(g="model, variant", t="models")},
     rk AS (SELECT model, variant, sum(step * prec) AS ap, coalesce(max(rec) FILTER (prec >= 0.8), 0) AS r80
       FROM pr GROUP BY 1, 2),
     b AS (SELECT model, variant, {_MB} AS bin, count(*) AS n, avg(label_within_x) AS acc, avg(risk) AS conf
@@ -135,7 +135,7 @@ def m8_classification_bundle(spark, sf_dir):
     "m8_document_metrics",
     f"""WITH doc AS (SELECT lang, toxic AS label_within_x,
       n_chars / CAST((SELECT max(n_chars) FROM documents) AS DOUBLE) AS risk
-      FROM labels JOIN documents USING (doc_id)), {_CURVE.format(g="lang", t="doc")},
+      FROM labels JOIN documents USING (doc_id)), {CURVE.format(g="lang", t="doc")},
     rk AS (SELECT lang, sum(step * prec) AS ap FROM pr GROUP BY 1),
     th AS (SELECT lang, {_BRIER} AS brier FROM doc GROUP BY 1)
     SELECT lang, {r6("ap")} AS pr_auc, {r6("brier")} AS brier_score FROM rk JOIN th USING (lang)""",
@@ -270,16 +270,32 @@ def c1_conformal_width(spark, sf_dir):
     return out.select("variant", "alpha", *rounded("q_hat"))
 
 
+#: Half of the units each; a row's interval comes from the other half.
+_FOLDED = SCORED.replace("scored AS (", "whole AS (") + f""", scored AS (SELECT *,
+  CAST({uniform_sql(7, text_key_sql("variant"), "unit_id")} >= 0.5 AS INTEGER) AS fold FROM whole)"""
+
+
+def _folded(spark, sf_dir):
+    fold = (key_uniform(7, text_key(F.col("variant")), F.col("unit_id")) >= 0.5).cast("int")
+    return view.scored(spark, sf_dir).df.withColumn("fold", fold)
+
+
+def _other(table):
+    """What one half of the units gives, for the rows of the other."""
+    return table.withColumn("fold", F.lit(1) - F.col("fold"))
+
+
 @query(
     "c2_risk_interval",
-    f"""WITH {SCORED}, {_MISS}, q AS (SELECT q FROM {_quantile_sql("miss", _LEVEL, "one", "(SELECT 1 AS one, miss FROM miss)")})
+    f"""WITH {_FOLDED}, {_MISS.replace("SELECT variant", "SELECT fold")}, q AS {_quantile_sql("miss", _LEVEL, "fold", "miss")}
     SELECT variant, unit_id, cycle, {r6("greatest(0, least(1, risk - q))")} AS risk_lower,
-    {r6("greatest(0, least(1, risk + q))")} AS risk_upper FROM scored, q""",
+    {r6("greatest(0, least(1, risk + q))")} AS risk_upper FROM scored s JOIN q ON s.fold = 1 - q.fold""",
 )
 def c2_risk_interval(spark, sf_dir):
-    df = view.scored(spark, sf_dir).df
-    q_hat = uncertainty.conformal_width(df).first()["q_hat"]
-    out = uncertainty.add_risk_interval(df, q_hat)
+    """Each half of the units takes the width that the other half calibrates."""
+    df = _folded(spark, sf_dir)
+    widths = _other(uncertainty.conformal_width(df, ["fold"])).select("fold", "q_hat")
+    out = uncertainty.add_risk_interval(df.join(widths, "fold", "left"), F.col("q_hat"))
     return out.select(*KEYS, "cycle", *rounded("risk_lower", "risk_upper"))
 
 
@@ -312,15 +328,23 @@ def y7_residual_quantiles(spark, sf_dir):
     return out.select("bucket", "n", *rounded("shift_low", "shift_high"))
 
 
-_INTERVALS = f"""{_RES}, iv AS (SELECT variant, unit_id, cycle, rul,
-  greatest(0, predicted_rul + l.q) AS lo, greatest(0, predicted_rul + h.q) AS hi
-  FROM scored JOIN {_shift_sql(0.1)} l ON floor(predicted_rul / 25e0) = l.bucket
-  JOIN {_shift_sql(0.9)} h ON l.bucket = h.bucket)"""
+def _fold_shift(level: float, groups: str) -> str:
+    return _quantile_sql("res", f"{level}e0", groups, "res")
+
+
+_INTERVALS = f"""{_RES.replace("SELECT CAST", "SELECT fold, CAST")},
+  lo AS {_fold_shift(0.1, "fold, bucket")}, hi AS {_fold_shift(0.9, "fold, bucket")},
+  lo_all AS {_fold_shift(0.1, "fold")}, hi_all AS {_fold_shift(0.9, "fold")},
+  iv AS (SELECT variant, unit_id, cycle, rul, greatest(0, predicted_rul + coalesce(lo.q, lo_all.q)) AS lo,
+  greatest(0, predicted_rul + coalesce(hi.q, hi_all.q)) AS hi FROM scored s
+  LEFT JOIN lo ON s.fold = 1 - lo.fold AND floor(predicted_rul / 25e0) = lo.bucket
+  LEFT JOIN hi ON s.fold = 1 - hi.fold AND floor(predicted_rul / 25e0) = hi.bucket
+  LEFT JOIN lo_all ON s.fold = 1 - lo_all.fold LEFT JOIN hi_all ON s.fold = 1 - hi_all.fold)"""
 
 
 @query(
     "c3_rul_interval",
-    f"WITH {SCORED}, {_INTERVALS} SELECT variant, unit_id, cycle, {r6('lo')} AS rul_lower, {r6('hi')} AS rul_upper FROM iv",
+    f"WITH {_FOLDED}, {_INTERVALS} SELECT variant, unit_id, cycle, {r6('lo')} AS rul_lower, {r6('hi')} AS rul_upper FROM iv",
 )
 def c3_rul_interval(spark, sf_dir):
     out = _intervals(spark, sf_dir)
@@ -328,13 +352,16 @@ def c3_rul_interval(spark, sf_dir):
 
 
 def _intervals(spark, sf_dir):
-    df = view.scored(spark, sf_dir).df
-    return uncertainty.add_rul_interval(df, uncertainty.residual_quantiles(df, width=25.0), 25.0)
+    """Each half of the units takes the residual quantiles of the other half."""
+    df = _folded(spark, sf_dir)
+    shifts = _other(uncertainty.residual_quantiles(df, width=25.0, groups=["fold"]))
+    overall = _other(uncertainty.overall_quantiles(df, groups=["fold"]))
+    return uncertainty.add_rul_interval(df, shifts, 25.0, ["fold"], overall)
 
 
 @query(
     "m14_interval_coverage",
-    f"""WITH {SCORED}, {_INTERVALS} SELECT variant, {as_int("count(*)")} AS n,
+    f"""WITH {_FOLDED}, {_INTERVALS} SELECT variant, {as_int("count(*)")} AS n,
     {r6("avg(CAST(rul BETWEEN lo AND hi AS INTEGER))")} AS coverage, {r6("avg(hi - lo)")} AS mean_width FROM iv GROUP BY 1""",
 )
 def m14_interval_coverage(spark, sf_dir):

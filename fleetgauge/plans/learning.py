@@ -377,8 +377,8 @@ def _event_stream(spark, sf_dir):
 def _as_readings(events):
     return events.select(
         F.concat(F.lit("FD00"), (F.lit(1) + F.col("user_id") % 4).cast("string")).alias("variant"),
-        F.col("user_id").cast("int").alias("unit_id"),
-        (F.col("event_id") + 1).cast("int").alias("cycle"),
+        F.col("user_id").alias("unit_id"),
+        (F.col("event_id") + 1).alias("cycle"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("sensor_1"),
         (F.get_json_object("props", "$.k").cast("double") * 2.5 + 490.0).alias("sensor_2"),
     )
@@ -386,8 +386,8 @@ def _as_readings(events):
 
 @query(
     "st1_stream_scoring",
-    """WITH e AS (SELECT 'FD00' || CAST(1 + user_id % 4 AS VARCHAR) AS variant, CAST(user_id AS INTEGER) AS unit_id,
-      CAST(event_id + 1 AS INTEGER) AS cycle, event_type <> 'error' AS seen,
+    """WITH e AS (SELECT 'FD00' || CAST(1 + user_id % 4 AS VARCHAR) AS variant, CAST(user_id AS BIGINT) AS unit_id,
+      CAST(event_id + 1 AS BIGINT) AS cycle, event_type <> 'error' AS seen,
       CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) * 2.5 + 490 AS s2 FROM events),
     v AS (SELECT *, seen AND s2 BETWEEN 500 AND 700 AND unit_id >= 1 AS is_valid, (s2 - 490) / 250e0 AS risk FROM e)
     SELECT variant, unit_id, cycle, is_valid, CASE WHEN is_valid THEN round_even(risk, 4) END AS risk_score,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
+from fleetgauge.functions.scalars import clip
 from fleetgauge.operators import corrupt, drift, metrics, quality, runs, splits
 from fleetgauge.plans import bindings as view
+from fleetgauge.plans.decisions import CURVE, bin_sql
 from fleetgauge.plans.registry import (
     FLEET, FROZEN, GAPS, SCORED, WIDE, as_int, query, r6, text_key_sql, uniform_sql,
 )
@@ -258,25 +260,40 @@ def r3_inject_flatline(spark, sf_dir):
     return out.select(*KEYS, "cycle", "sensor_1")
 
 
+_NOISE = f"""sqrt(-2 * ln(greatest({_draw_sql("sensor_2", 1)}, 1 / 2147483647e0)))
+      * cos(2 * pi() * {_draw_sql("sensor_2", 2)})"""
+
+
 @query(
     "r4_stress_report",
-    f"""WITH {SCORED}, c AS (SELECT 'clean' AS corruption, sensor_2 AS x, label_within_x AS y FROM scored
-      UNION ALL SELECT 'missing', CASE WHEN {_draw_sql("sensor_2", 0)} >= 0.2 THEN sensor_2 ELSE 0 END, label_within_x FROM scored),
-    r AS (SELECT corruption, x / 100 AS risk, y FROM c)
-    SELECT corruption, {r6("avg((risk - y) * (risk - y))")} AS brier_score,
-    {r6("2e0 * sum(CAST(risk >= 0.5 AND y = 1 AS INTEGER)) / (sum(CAST(risk >= 0.5 AS INTEGER)) + sum(y))")} AS f1
-    FROM r GROUP BY 1""",
+    f"""WITH {SCORED}, lv AS (SELECT stddev_pop(sensor_2) / pow(10, 10 / 20e0) AS noise FROM scored),
+    i AS (SELECT *, row_number() OVER (ORDER BY variant, unit_id, cycle) - 1 AS r, count(*) OVER () AS n FROM scored),
+    le AS (SELECT *, greatest(1, CAST(floor(n * 0.2e0) AS BIGINT)) AS len FROM i),
+    st AS (SELECT *, {_START} % greatest(1, n - len + 1) AS st FROM le),
+    c AS (SELECT 'clean' AS corruption, sensor_2 AS x, label_within_x FROM scored
+      UNION ALL SELECT 'missing', CASE WHEN {_draw_sql("sensor_2", 0)} >= 0.2 THEN sensor_2 END, label_within_x FROM scored
+      UNION ALL SELECT 'noise', sensor_2 + noise * {_NOISE}, label_within_x FROM scored, lv
+      UNION ALL SELECT 'flatline', CASE WHEN r BETWEEN st AND least(st + len, n) - 1
+        THEN max(CASE WHEN r = st THEN sensor_2 END) OVER () ELSE sensor_2 END, label_within_x FROM st),
+    stressed AS (SELECT corruption, label_within_x, greatest(0e0, least(1e0, coalesce(x, 0) / 100e0)) AS risk FROM c),
+    {CURVE.format(g="corruption", t="stressed")},
+    rk AS (SELECT corruption, sum(step * prec) AS ap, coalesce(max(rec) FILTER (prec >= 0.8), 0) AS r80 FROM pr GROUP BY 1),
+    b AS (SELECT corruption, {bin_sql("risk")} AS bin, count(*) AS n, avg(label_within_x) AS acc, avg(risk) AS conf
+      FROM stressed GROUP BY 1, 2),
+    ec AS (SELECT corruption, sum(n * abs(acc - conf)) / sum(n) AS ece FROM b GROUP BY 1),
+    th AS (SELECT corruption, avg((risk - label_within_x) * (risk - label_within_x)) AS brier,
+      2e0 * sum(CAST(risk >= 0.5 AND label_within_x = 1 AS INTEGER))
+        / (sum(CAST(risk >= 0.5 AS INTEGER)) + sum(label_within_x)) AS f1 FROM stressed GROUP BY 1)
+    SELECT corruption, {r6("ap")} AS pr_auc, {r6("r80")} AS recall_at_p80, {r6("f1")} AS f1, {r6("brier")} AS brier_score,
+      {r6("ece")} AS ece FROM rk JOIN ec USING (corruption) JOIN th USING (corruption)""",
 )
 def r4_stress_report(spark, sf_dir):
-    """The same score on clean and corrupted readings, compared in one grouped job."""
-    df = view.labelled(view.fleet(spark, sf_dir)).df
-    lost = splits.zero_filled(corrupt.inject_missing(df, ["sensor_2"], 0.2), ["sensor_2"])
-    both = df.withColumn("corruption", F.lit("clean")).unionByName(
-        lost.withColumn("corruption", F.lit("missing"))
-    )
-    both = both.withColumn("risk", F.col("sensor_2") / 100.0)
-    hist = metrics.score_histogram(both, ["corruption"])
-    return metrics.threshold_metrics(hist, ["corruption"]).select("corruption", *rounded("brier_score", "f1"))
+    """Five metrics of one score on clean readings and under three corruptions, in one grouped job."""
+    fleet = view.labelled(view.fleet(spark, sf_dir))
+    out = corrupt.stressed(fleet.df, ["sensor_2"], hot=fleet.hot)
+    out = out.withColumn("risk", clip(F.col("sensor_2") / 100.0, 0.0, 1.0))
+    found = metrics.classification_metrics(out, ["corruption"])
+    return found.select("corruption", *rounded("pr_auc", "recall_at_p80", "f1", "brier_score", "ece"))
 
 
 # --- run table -------------------------------------------------------------------------------

@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None):
 
 FLEET = """fleet AS (
   SELECT 'FD00' || CAST(1 + user_id % 4 AS VARCHAR) AS variant,
-         CAST(user_id AS INTEGER) AS unit_id,
+         CAST(user_id AS BIGINT) AS unit_id,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS cycle,
          CAST(0 AS DOUBLE) AS op_setting_1,
          value AS sensor_1,
@@ -57,7 +57,7 @@ SCORED = LABELLED + """, scored AS (
   FROM labelled)"""
 
 WIDE = """wide AS (
-  SELECT r_name AS variant, CAST(l_suppkey AS INTEGER) AS unit_id,
+  SELECT r_name AS variant, CAST(l_suppkey AS BIGINT) AS unit_id,
          CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey,
               l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax,
               l_returnflag, l_linestatus) AS INTEGER) AS cycle,

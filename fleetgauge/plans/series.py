@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetgauge.functions.ordering import quantiles
 from fleetgauge.functions.scalars import clip
 from fleetgauge.operators import features as feat
-from fleetgauge.operators import labels, rules, sketches, splits, stats
+from fleetgauge.operators import custom, labels, rules, sketches, splits, stats
 from fleetgauge.operators.metrics import truth_errors
 from fleetgauge.plans import bindings as view
 from fleetgauge.plans.registry import (
@@ -41,7 +42,7 @@ def s1_text_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "s3_truth_vector",
     f"""WITH {FLEET}, ends AS (SELECT variant, unit_id, max(cycle) AS life FROM fleet GROUP BY 1, 2)
-    SELECT variant, CAST(row_number() OVER (PARTITION BY variant ORDER BY unit_id) AS INTEGER) AS unit_id,
+    SELECT variant, CAST(row_number() OVER (PARTITION BY variant ORDER BY unit_id) AS BIGINT) AS unit_id,
            CAST(life AS DOUBLE) AS true_rul FROM ends""",
 )
 def s3_truth_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,6 +483,33 @@ def w5_long_features(spark, sf_dir):
     return out.select(*KEYS, "cycle", "sensor", *rounded("mean_w10", "std_w10", "slope_w10"), "lag1")
 
 
+def _median(held):
+    return np.nanmedian(held, axis=1)
+
+
+def _spread(held):
+    return np.nanmax(held, axis=1) - np.nanmin(held, axis=1)
+
+
+_W20 = "PARTITION BY variant, unit_id ORDER BY cycle ROWS BETWEEN 19 PRECEDING AND CURRENT ROW"
+
+
+@query(
+    "w9_own_rolling_function",
+    f"""WITH {GAPS} SELECT variant, unit_id, cycle,
+    CASE WHEN count(sensor_1) OVER w >= 10 THEN {r6("quantile_cont(sensor_1, 0.5) OVER w")} END AS sensor_1_median_w20,
+    CASE WHEN count(sensor_1) OVER w >= 10 THEN {r6("max(sensor_1) OVER w - min(sensor_1) OVER w")} END AS sensor_1_range_w20
+    FROM gaps WINDOW w AS ({_W20})""",
+)
+def w9_own_rolling_function(spark, sf_dir):
+    """A user's median and range over 20 readings, with values missing."""
+    fleet = view.gaps(spark, sf_dir)
+    out = custom.add_rolling(
+        fleet.df, {"median": _median, "range": _spread}, 20, ["sensor_1"], hot=fleet.hot, dense=True
+    )
+    return out.select(*KEYS, "cycle", *rounded("sensor_1_median_w20", "sensor_1_range_w20"))
+
+
 @query(
     "w6_sequences",
     f"""WITH {LABELLED}, seq AS (SELECT variant, unit_id, cycle, label_within_x,

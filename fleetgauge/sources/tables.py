@@ -44,10 +44,10 @@ def read_text_readings(
     lines = spark.read.text(path).select(_variant_of_file().alias("variant"), parts.alias("_p"))
 
     def field(i: int, name: str) -> Column:
-        kind = "int" if name in ("unit_id", "cycle") else "double"
+        kind = {"unit_id": "bigint", "cycle": "int"}.get(name, "double")
         text = F.get("_p", F.lit(i))
         value = text.try_cast("double")
-        return (value.try_cast("int") if kind == "int" else value).alias(name)
+        return value.try_cast(kind).alias(name)
 
     fields = [field(i, n) for i, n in enumerate(names)]
     parsed = lines.where(F.get("_p", F.lit(0)) != "").select("variant", *fields)
@@ -88,7 +88,7 @@ def read_truth(spark: SparkSession, path: str | list[str]) -> DataFrame:
     offsets = counts.select("_file", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy("_file", "_start").orderBy("_id")
     numbered = lines.join(offsets, ["_file", "_start"]).withColumn(
-        "unit_id", (F.col("_off") + F.row_number().over(inside)).cast("int")
+        "unit_id", (F.col("_off") + F.row_number().over(inside)).cast("bigint")
     )
     return numbered.select("variant", "unit_id", "true_rul")
 

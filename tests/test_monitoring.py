@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetgauge.operators import corrupt, drift, quality
+from fleetgauge.operators import corrupt, drift, quality, rules
 from fleetgauge.streaming import jobs
 
 VALUES = np.random.default_rng(42).normal(500, 20, (6, 60))
@@ -168,7 +168,12 @@ def test_stream_scores_reject_bad_readings(spark, clean, tmp_path):
     source = str(tmp_path / "in")
     clean.select("variant", "unit_id", "cycle", F.col("sensor_1").alias("sensor_2")).write.parquet(source)
     stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema)
-    out = jobs.score_stream(stream, lambda d: d.withColumn("risk", F.lit(0.3)), q_hat=0.2)
+    def score(d):
+        return d.withColumn("risk", F.lit(0.3))
+
+    whole = jobs.score_stream(spark.read.parquet(source), score)  # readings without settings break the full rules
+    assert whole.where("is_valid").count() == 0
+    out = jobs.score_stream(stream, score, rules.rules_for(stream, rules.SERVING_RULES), q_hat=0.2)
     jobs.run_available(out, str(tmp_path / "out"), str(tmp_path / "log"))
     rows = spark.read.parquet(str(tmp_path / "out"))
     assert rows.count() == 250
@@ -176,3 +181,19 @@ def test_stream_scores_reject_bad_readings(spark, clean, tmp_path):
     assert bad.count() == clean.where("sensor_1 < 500").count() and bad.where("urgency IS NOT NULL").count() == 0
     good = rows.where("is_valid").first()
     assert good["urgency"] == "scheduled" and good["risk_upper"] == 0.5
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_stressed_readings_keep_every_row_four_times(clean, hot):
+    found = corrupt.stressed(clean, ["sensor_1", "absent"], rate=0.3, fraction=0.1, hot=hot, rows=40).cache()
+    n = clean.count()
+    assert {r[0]: r[1] for r in found.groupBy("corruption").count().collect()} == dict.fromkeys(
+        ["clean", "missing", "noise", "flatline"], n
+    )
+    keys = ["variant", "unit_id", "cycle"]
+    before = clean.select(*keys, F.coalesce("sensor_1", F.lit(0.0)).alias("was"))
+    same = found.join(before, keys).groupBy("corruption").agg(F.count_if(F.expr("sensor_1 = was")).alias("n"))
+    kept = {r[0]: r["n"] for r in same.collect()}
+    assert kept["clean"] == n and kept["noise"] == 0
+    assert 0.5 * n < kept["missing"] < 0.9 * n and 0.85 * n <= kept["flatline"] < n
+    assert found.where("sensor_1 IS NULL").isEmpty()

@@ -42,3 +42,21 @@ def test_query_with_oversized_units(spark, name, monkeypatch):
     monkeypatch.setattr(bindings, "oversized", lambda *a, **k: True)
     outcome = check.compare(entry.queries()[name](spark, SF), check.connect(SF), entry.oracle_sql()[name])
     assert outcome.startswith("ok"), outcome
+
+
+def test_ids_above_32_bits_and_one_exchange(spark, tmp_path):
+    """A view's units keep 64-bit ids; numbering and features share the exchange by user."""
+    from pyspark.sql import functions as F
+
+    from fleetgauge.operators import features as feat
+    from fleetgauge.plans import bindings as view
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    far = events.withColumn("user_id", F.col("user_id") + 3_000_000_000)
+    far.write.parquet(str(tmp_path / "events.parquet"))
+    fleet = view.fleet(spark, str(tmp_path))
+    assert fleet.df.agg(F.min("unit_id")).first()[0] >= 3_000_000_000
+    out = feat.add_features(fleet.df, ["sensor_2"], [10], [1], hot=fleet.hot, dense=True)
+    assert out.count() == events.count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
