@@ -155,7 +155,7 @@ class Merger(dict):
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks, self.old = ranks, {}
+        self.ranks, self.old, self.limit = ranks, {}, _CACHED
         self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         pairs = {}
         for whole, rank in ranks.items():
@@ -196,7 +196,7 @@ class Merger(dict):
 
     def learn(self, texts: list[str]) -> None:
         """Adds the ids of `texts`, which are not in the cache."""
-        if len(self) + len(texts) > _CACHED:
+        if len(self) + len(texts) > self.limit:
             self.old = dict(self)
             self.clear()
         short: list[str] = []
@@ -311,9 +311,11 @@ def _groups(texts: list[str], limit: int = 1 << 19) -> Iterator[list[str]]:
         yield held
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", cached: int = _CACHED) -> DataFrame:
     """`docs` with `ids` (array<int>) and `offsets` (array<int>: first byte of each token).
 
+    `cached`: pre-tokens that a worker remembers at a time; it changes memory and time, never ids.
+
     `path`: a rank file in tiktoken's format, present on every worker. A NULL text counts as
     empty; empty texts have no ids. Columns named ids or offsets are replaced. Rows are kept
     as they are, repeated ones too. Special tokens are ordinary text."""
@@ -323,6 +325,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = _merger(path)
+        merger.limit = cached
         width = np.zeros(max(merger.ranks.values(), default=0) + 1, np.int32)
         for raw, i in merger.ranks.items():
             width[i] = len(raw)
