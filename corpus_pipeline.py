@@ -38,7 +38,8 @@ def encoded(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = byte_bpe.rank_file()
     digest = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
     rows = docs.select("doc_id", "lang", "source", "text", digest.alias("digest"))
-    tokens = byte_bpe.decode(byte_bpe.encode(rows, path).drop("text", "offsets"), path)
+    ids = byte_bpe.encode(rows, path, cached=100_000)  # beside what earlier stages left in the workers
+    tokens = byte_bpe.decode(ids.drop("text", "offsets"), path)
     same = F.sha2("decoded", 256) == F.col("digest")
     return tokens.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("restored"))
 
