@@ -116,6 +116,12 @@ def test_importance_of_a_real_and_a_noise_feature(spark, rows):
     assert permutation.permutation_importance(rows.limit(0), ["a", "b"], [F.col("id")], permutation.risk_of(model)).count() == 0
 
 
+def test_forest_rows_remember_their_nodes(spark, rows):
+    """Without it, each pass over deep trees sends the trees to every task."""
+    model = models.train_forest(rows, ["a", "b"], trees=3, depth=4)
+    assert model.stages[-1].getOrDefault("cacheNodeIds")
+
+
 def test_search_tries_every_setting(spark, rows):
     rows = rows.withColumns({"variant": F.lit("FD001"), "unit_id": F.col("id") % 20, "cycle": F.col("id")})
     settings = [dict(rounds=2, depth=1, step=0.1, rows=0.9, columns="1.0", leaf=1, positive_weight=w) for w in (1.0, 2.0, 4.0)]
