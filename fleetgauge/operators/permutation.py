@@ -20,7 +20,7 @@ from fleetgauge.functions.scalars import key_hash
 from fleetgauge.operators.metrics import ranking_metrics, score_histogram
 from fleetgauge.operators.models import LABEL
 from fleetgauge.schema import SEED
-from fleetgauge.session import pinned
+from fleetgauge.session import evenly, pinned
 
 REPEATS = 5
 # Large primes; those that don't divide the number of rows are steps.
@@ -65,7 +65,8 @@ def permutation_importance(
     missing features are 0. An empty frame gives no rows."""
     values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
     rows = df.where(F.col(label).isNotNull()).select(values.alias("_x"), F.col(label).alias("_y"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
-    base = pinned(add_index(rows, [F.col(f"_k{i}") for i in range(len(keys))], seed).select("_index", "_x", "_y"))
+    base = add_index(rows, [F.col(f"_k{i}") for i in range(len(keys))], seed).select("_index", "_x", "_y")
+    base = pinned(evenly(base, rows.count()))  # each row is scored many times, in the task that reads it here
     n = base.count()
     names = F.array(*[F.lit(f) for f in features])
     whole = base.select(F.lit("").alias("feature"), F.lit(0).alias("repeat"), "_x", "_y")

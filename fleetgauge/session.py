@@ -52,3 +52,8 @@ def pinned(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "pinned")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def evenly(df: DataFrame, n: int, rows: int = 250_000) -> DataFrame:
+    """`df` of `n` rows dealt out evenly: one part a core at least, at most `rows` rows a part."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n // rows)))

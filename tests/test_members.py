@@ -116,6 +116,19 @@ def test_importance_of_a_real_and_a_noise_feature(spark, rows):
     assert permutation.permutation_importance(rows.limit(0), ["a", "b"], [F.col("id")], permutation.risk_of(model)).count() == 0
 
 
+def test_permuted_rows_are_scored_on_all_cores(spark, rows):
+    """Rows from one file: their many images are scored in as many tasks as there are cores, evenly."""
+    seen = []
+
+    def score(df):
+        seen.append(df)
+        return df.withColumn("risk", F.col("_x")[0])
+
+    permutation.permutation_importance(rows.coalesce(1), ["a", "b"], [F.col("id")], score).collect()
+    tasks = [r["count"] for r in seen[0].where("feature <> ''").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= spark.sparkContext.defaultParallelism and max(tasks) < 2 * sum(tasks) / len(tasks)
+
+
 def test_forest_rows_remember_their_nodes(spark, rows):
     """Without it, each pass over deep trees sends the trees to every task."""
     model = models.train_forest(rows, ["a", "b"], trees=3, depth=4)
