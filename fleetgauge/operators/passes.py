@@ -8,11 +8,13 @@ task depend on the numbers of members and features only.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from fleetgauge.functions.scalars import MIX_ADD, MIX_KEY, MIX_LAST, MIX_STEP, PRIME
@@ -61,29 +63,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, _ROWS)
 
 
-def _sum_rows(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(range(len(sums)), pa.int32()), pa.array(list(sums.reshape(len(sums), -1)))], names=["member", "sums"]
-    )
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for member, sums in zip(batch.column(0).to_pylist(), batch.column(1)):
-            held[member] = held.get(member, 0.0) + sums.values.to_numpy()
-    for member, sums in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([member], pa.int32()), pa.array([sums])], names=["member", "sums"])
-
+def _packed(rows: DataFrame, features: Sequence[str], names: Sequence[str], centre: np.ndarray, scale: np.ndarray) -> RDD:
+    """Blocks of rows as (design, keys, label)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches):
+            if batch.num_rows:
+                keys = [batch.column(n).to_numpy() for n in names]
+                held = _design(batch, features, centre, scale), keys, batch.column("_y").to_numpy()[:, None]
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(held, 5)], pa.binary())], names=["block"])
 
-def _summed(rows: DataFrame, run, passes: int, width: int) -> np.ndarray:
-    """Sums of all members over all rows: one row a member and task is moved, one a member kept."""
-    schema = "member int, sums array<double>"
-    found = rows.mapInArrow(run, schema).repartition("member").mapInArrow(_added, schema).collect()
-    out = np.zeros((passes, width * (width + 1)))
-    for member, sums in found:
-        out[member] += sums
-    return out.reshape(passes, width, width + 1)
+    return rows.mapInArrow(run, "block binary").rdd.map(lambda row: pickle.loads(row.block), True)
 
 
 def fit_members(
@@ -109,24 +98,29 @@ def fit_members(
     coefficients = np.zeros((width, passes))
 
     def step(current: np.ndarray) -> np.ndarray:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(held: Iterator[tuple]) -> Iterator[np.ndarray]:
             sums = np.zeros((passes, width, width + 1))
-            for batch in _blocks(batches):
-                x = _design(batch, features, centre, scale)
-                weights = pass_weights([batch.column(n).to_numpy() for n in names], passes, seed).astype(float)
-                y = batch.column("_y").to_numpy()[:, None]
+            for x, row_keys, y in held:
+                weights = pass_weights(row_keys, passes, seed).astype(float)
                 if kind == "linear":
                     curvature, pull = weights, weights * y
                 else:
                     p = 1.0 / (1.0 + np.exp(-np.clip(x @ current, -35, 35)))
                     curvature, pull = weights * p * (1.0 - p), weights * (y - p)
                 sums[:, :, width] += (x.T @ pull).T
-                for t in range(passes):
-                    sums[t, :, :width] += x.T @ (x * curvature[:, t : t + 1])
-            yield from _sum_rows(sums)
-
-        return _summed(rows, run, passes, width)
-
+                columns = np.ascontiguousarray(x.T)
+                for i in range(width):  # all members at once, each pair of features once
+                    sums[:, i, i:width] += ((columns[i:] * columns[i]) @ curvature).T
+            for i in range(width):
+                sums[:, i:width, i] = sums[:, i, i:width]
+            yield sums
+
+        empty = np.zeros((passes, width, width + 1))
+        return packed.mapPartitions(run).treeReduce(np.add) if packed.getNumPartitions() else empty
+
+    packed = _packed(rows, features, names, centre, scale)
+    if kind == "logistic":
+        packed = packed.persist(StorageLevel.MEMORY_AND_DISK)  # read, filled and scaled once, not in each step
     n = max(1, rows.count())
     penalty = np.diag([ridge * n] * len(features) + [0.0])
     for _ in range(1 if kind == "linear" else steps):
@@ -139,6 +133,7 @@ def fit_members(
         coefficients = coefficients + moved * min(1.0, 10.0 / largest if largest else 1.0)
         if largest < 1e-8:
             break
+    packed.unpersist()
     return Members(kind, list(features), centre, scale, coefficients)
 
 

@@ -169,3 +169,13 @@ def test_category_drift_by_hand(spark):
     assert (out["b"]["p_value"], out["b"]["jensen_shannon"]) == (1.0, 0.0)
     alone = drift.category_drift(ref, cur.limit(0), ["a"], method="jensen_shannon").first()
     assert alone["p_value"] is None and alone["drifted"] is False
+
+
+def test_newton_steps_read_the_rows_once(spark):
+    rows = spark.range(4000).select("id", F.sin("id").alias("a"), (F.sin(F.col("id") * 1.7) > 0.2).cast("int").alias("label_within_x"))
+    read = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda i: (read.add(1), i)[1], "long")
+    passes.fit_members(rows, ["a"], [seen("id")], passes=4, steps=4)
+    assert read.value == 4000
+    none = passes.fit_members(rows.where("id < 0"), ["a"], [F.col("id")], passes=4)
+    assert not none.coefficients.any()
