@@ -12,6 +12,7 @@ from fleetgauge.functions.ordering import GROUP_ROWS, numbered, oversized, runni
 from fleetgauge.functions.scalars import PRIME, key_uniform, text_key
 from fleetgauge.operators.splits import zero_filled
 from fleetgauge.schema import CYCLE, KEYS, SEED
+from fleetgauge.session import pinned
 
 # Deviation that counts as constant and the noise used then.
 CONSTANT_STD = 1e-10
@@ -121,7 +122,9 @@ def stressed(
 ) -> DataFrame:
     """`df` four times, told apart by `corruption`: clean, missing, noise and flatline; missing sensor
     values are 0 in each, as the models read them. Only that many copies are ever made, so that one
-    grouped job compares a model's metrics on all of them."""
+    grouped job compares a model's metrics on all of them. `df` and the copies are written once: later
+    plans, filters above all, would else repeat the draws; give only the columns that are needed."""
+    df = pinned(df)
     kinds = {
         "clean": df,
         "missing": inject_missing(df, sensors, rate, seed),
@@ -132,4 +135,4 @@ def stressed(
     tagged = [
         zero_filled(part, cols).withColumn("corruption", F.lit(kind)) for kind, part in kinds.items()
     ]
-    return reduce(DataFrame.unionByName, tagged)
+    return pinned(reduce(DataFrame.unionByName, tagged))

@@ -10,6 +10,7 @@ from fleetgauge.functions.ordering import histogram, running, weighted_quantiles
 from fleetgauge.functions.scalars import linspace
 from fleetgauge.operators.labels import capped
 from fleetgauge.schema import RISK_THRESHOLD, RUL_CAP
+from fleetgauge.session import pinned
 
 # Precision target of the recall metric, penalty for late predictions, bins.
 TARGET_PRECISION = 0.8
@@ -117,11 +118,11 @@ def classification_metrics(
     score: str = "risk",
     threshold: float = RISK_THRESHOLD,
 ) -> DataFrame:
-    """`pr_auc, recall_at_p80, f1, brier_score, ece` per group, from one score histogram."""
+    """`pr_auc, recall_at_p80, f1, brier_score, ece` per group, from one score histogram, written once."""
     if not groups:
         whole = df.withColumn("_all", F.lit("all"))
         return classification_metrics(whole, ["_all"], y, score, threshold).drop("_all")
-    hist = score_histogram(df, groups, y, score)
+    hist = pinned(score_histogram(df, groups, y, score))
     return (
         ranking_metrics(hist, groups)
         .join(threshold_metrics(hist, groups, threshold), list(groups))

@@ -290,7 +290,8 @@ _NOISE = f"""sqrt(-2 * ln(greatest({_draw_sql("sensor_2", 1)}, 1 / 2147483647e0)
 def r4_stress_report(spark, sf_dir):
     """Five metrics of one score on clean readings and under three corruptions, in one grouped job."""
     fleet = view.labelled(view.fleet(spark, sf_dir))
-    out = corrupt.stressed(fleet.df, ["sensor_2"], hot=fleet.hot)
+    readings = fleet.df.select(*KEYS, "cycle", "sensor_2", "label_within_x")
+    out = corrupt.stressed(readings, ["sensor_2"], hot=fleet.hot)
     out = out.withColumn("risk", clip(F.col("sensor_2") / 100.0, 0.0, 1.0))
     found = metrics.classification_metrics(out, ["corruption"])
     return found.select("corruption", *rounded("pr_auc", "recall_at_p80", "f1", "brier_score", "ece"))

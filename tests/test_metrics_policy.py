@@ -212,3 +212,16 @@ def test_unseen_bucket_takes_overall_quantiles(spark):
     assert plain[0].rul_lower is not None and plain[1].rul_lower is None
     full = uncertainty.add_rul_interval(df, shifts, overall=uncertainty.overall_quantiles(cal)).orderBy("predicted_rul").collect()
     assert full[0] == plain[0] and 490 < full[1].rul_lower <= full[1].rul_upper < 510
+
+
+def test_bundle_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = scored(spark, [0, 1] * 10, [i / 20 for i in range(20)])
+    metrics.classification_metrics(rows.mapInArrow(counted, rows.schema), ["model"]).collect()
+    assert seen.value == 20

@@ -197,3 +197,9 @@ def test_stressed_readings_keep_every_row_four_times(clean, hot):
     assert kept["clean"] == n and kept["noise"] == 0
     assert 0.5 * n < kept["missing"] < 0.9 * n and 0.85 * n <= kept["flatline"] < n
     assert found.where("sensor_1 IS NULL").isEmpty()
+
+
+def test_stressed_rows_are_drawn_once(clean):
+    found = corrupt.stressed(clean, SENSORS).where("sensor_1 > 0")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "Window" not in plan  # a filter on top repeats no draw
