@@ -12,6 +12,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetgauge.functions.ordering import GROUP_ROWS, blocks
+from fleetgauge.operators.rolling import add_assembled
 from fleetgauge.schema import CYCLE, KEYS, LAGS, SEQUENCE_WINDOW, WINDOWS, sensor_columns
 
 
@@ -206,11 +207,17 @@ def add_features(
 ) -> DataFrame:
     """Add `{s}_mean_w{w}`, `{s}_std_w{w}`, `{s}_slope_w{w}` and `{s}_lag{k}` columns.
 
-    All derived columns share one window over one exchange.
+    All derived columns share one window over one exchange. Several windows that fit into each other
+    are computed on batches of the ordered rows (`rolling`).
     """
     sensors = sensor_columns(df.columns) if sensors is None else list(sensors)
     framed, parts, finish = blocks(df, KEYS, CYCLE, _reach(windows, lags), rows, hot, dense)
-    out = finish(_apply(framed, [_derived(s, s, windows, lags, parts) for s in sensors]))
+    base = _base_window(windows)
+    if base is None or not sensors:
+        out = finish(_apply(framed, [_derived(s, s, windows, lags, parts) for s in sensors]))
+    else:
+        least = [minimum_count(w) for w in windows]
+        out = finish(add_assembled(framed, sensors, windows, lags, parts, base, least))
     names = [n for s in sensors for n in derived_names(s, windows, lags)]
     return out.select(*df.columns, *names)
 

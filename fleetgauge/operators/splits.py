@@ -14,6 +14,7 @@ from fleetgauge.session import pinned
 
 # Spread below this share of the mean counts as a constant column.
 CONSTANT_TOLERANCE = 1e-12
+_SCALED_AT_ONCE = 14
 
 
 class Scaler(NamedTuple):
@@ -52,8 +53,11 @@ def scaler_statistics(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def fit_scaler(train: DataFrame, features: Sequence[str]) -> Scaler:
-    """Fit the z-score; the result holds two numbers per feature."""
-    row = scaler_statistics(train, features).first()
+    """Fit the z-score; the result holds two numbers per feature. Few features a scan: an aggregate of
+    more than a hundred numbers isn't compiled."""
+    row = {}
+    for i in range(0, len(features), _SCALED_AT_ONCE):
+        row |= scaler_statistics(train, features[i : i + _SCALED_AT_ONCE]).first().asDict()
     mean = {c: float(row[f"{c}_mean"] or 0.0) for c in features}
     std = {}
     for c in features:

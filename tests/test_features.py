@@ -176,3 +176,46 @@ def test_regimes_are_ordered_by_centre(spark):
     df = spark.createDataFrame(rows, "op_setting_1 double, op_setting_2 double")
     out = stats.regimes(df, ["op_setting_1"], k=3).orderBy("op_setting_1").collect()
     assert [r["op_regime"] for r in out] == [0, 0, 1, 1, 2, 2]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_frames_go_on_from_batch_to_batch(spark, hot):
+    """Small batches, gaps, a constant sensor and one of another type: as the window functions give them."""
+    from fleetgauge.functions.ordering import blocks
+    from fleetgauge.schema import CYCLE, KEYS
+
+    df = spark.range(900).select(
+        F.lit("v").alias("variant"), (F.col("id") % 7).alias("unit_id"), F.col("id").cast("int").alias("cycle"),
+        F.when(F.col("id") * 31 % 10 > 1, F.sin("id") * 1e4).alias("sensor_1"), (F.col("id") * 17 % 5).cast("int").alias("sensor_2"),
+        F.lit(0.1).alias("sensor_3"),
+    )
+    rows = 40 if hot else 250_000
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "13")
+    try:
+        out = feat.add_features(df, hot=hot, rows=rows)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        found = {r["cycle"]: r for r in out.collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert "MapInArrow" in plan and "covar_pop" not in plan
+    sensors = ["sensor_1", "sensor_2", "sensor_3"]
+    framed, parts, finish = blocks(df, KEYS, CYCLE, 29, rows, hot)
+    stages = [feat._derived(s, s, [10, 20, 30], [1, 3, 5], parts) for s in sensors]
+    wanted = {r["cycle"]: r for r in finish(feat._apply(framed, stages)).select(*out.columns).collect()}
+    assert len(wanted) == 900 and found.keys() == wanted.keys()
+    for cycle, row in wanted.items():
+        same = [a == b or (a is not None and b is not None and a == pytest.approx(b, rel=1e-9, abs=1e-9)) for a, b in zip(found[cycle], row)]
+        assert all(same), cycle
+
+
+def test_the_scaler_aggregates_few_numbers_at_a_time(spark, monkeypatch):
+    from fleetgauge.operators import splits
+
+    seen, taken = [], splits.scaler_statistics
+    monkeypatch.setattr(splits, "scaler_statistics", lambda df, names: seen.append(len(names)) or taken(df, names))
+    df = spark.range(9).select(*[(F.col("id") * i).cast("double").alias(f"x{i}") for i in range(41)])
+    scaler = splits.fit_scaler(df, df.columns)
+    assert max(seen) * 5 < 100 and sum(seen) == 41
+    assert scaler.mean["x40"] == 160.0 and scaler.std["x0"] == 1.0
