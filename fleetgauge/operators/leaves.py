@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from fleetgauge.functions.ordering import quantiles
 from fleetgauge.operators.splits import zero_filled
 from fleetgauge.schema import QUANTILE_HIGH, QUANTILE_LOW, SEED
+from fleetgauge.session import pinned
 
 TREES = 50
 DEPTH = 8
@@ -59,8 +60,9 @@ def leaf_tables(train: DataFrame, leaves: str, target: str, grid: Sequence[float
     value = F.col(target).cast("double")
     edges = F.array(*[F.lit(float(g)) for g in grid]) if len(grid) else F.array().cast("array<double>")
     place = F.least(F.size(F.filter(edges, lambda g: g < value)), F.lit(max(len(at) - 1, 0)))
-    rows = train.where(value.isNotNull() & ~F.isnan(value)).select(place.alias("place"), F.posexplode(leaves).alias("tree", "leaf"))
-    counts = rows.groupBy("tree", F.col("leaf").cast("bigint").alias("leaf"), "place").agg(F.count(F.lit(1)).alias("n"))
+    placed = train.where(value.isNotNull() & ~F.isnan(value)).select(place.alias("place"), F.col(leaves).alias("leaves"))
+    rows = placed.select("place", F.posexplode("leaves").alias("tree", "leaf"))  # places are found before rows multiply
+    counts = pinned(rows.groupBy("tree", F.col("leaf").cast("bigint").alias("leaf"), "place").agg(F.count(F.lit(1)).alias("n")))
     sizes = counts.groupBy("tree").agg(F.countDistinct("leaf").alias("leaves")).collect()  # one row a tree
     if sum(r["leaves"] for r in sizes) * max(len(at), 1) > _MOST:
         raise ValueError("trees x leaves x grid exceeds the bound; use shallower trees or a coarser grid")

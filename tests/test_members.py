@@ -179,3 +179,18 @@ def test_newton_steps_read_the_rows_once(spark):
     assert read.value == 4000
     none = passes.fit_members(rows.where("id < 0"), ["a"], [F.col("id")], passes=4)
     assert not none.coefficients.any()
+
+
+def test_leaf_tables_read_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([([i % 3, i % 2], float(i % 4)) for i in range(24)], "leaves array<bigint>, rul double")
+    tables = leaves.leaf_tables(rows.mapInArrow(counted, rows.schema), "leaves", "rul", [0.0, 1.0, 2.0, 3.0])
+    assert seen.value == 24
+    assert [list(x) for x in tables.leaves] == [[0, 1, 2], [0, 1]]
+    assert tables.shares[1].tolist() == [[0.5, 0.5, 1.0, 1.0], [0.0, 0.5, 0.5, 1.0]]
