@@ -19,18 +19,30 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CODEC = "spark.sql.parquet.compression.codec"
 
 
-def pinned(df: DataFrame) -> DataFrame:
+def pinned(df: DataFrame, codec: str | None = None) -> DataFrame:
     """A table in the shared folder, as `session.pinned`; the shuffle files of its job go with it,
-    since nothing else reads them, so that the steps of an operator don't add up on disk."""
+    since nothing else reads them, so that the steps of an operator don't add up on disk. `codec`:
+    that of its files, else the session's."""
     conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, "false")
+    before, files = conf.get(_CLEANUP, "false"), conf.get(_CODEC)
     conf.set(_CLEANUP, "true")
+    conf.set(_CODEC, codec or files)
     try:
         return session.pinned(df)
     finally:
         conf.set(_CLEANUP, before)
+        conf.set(_CODEC, files)
+
+
+def removed(spark, df: DataFrame) -> None:
+    """Delete the files of a `pinned` table that nothing reads any more."""
+    context = spark.sparkContext
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        at = context._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

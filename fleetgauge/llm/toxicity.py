@@ -8,27 +8,44 @@ proves nothing by itself. A text is judged by its mean difference per word and b
 `_STRONG` per word; a logistic curve fitted on labelled texts that gave no counts turns these into
 a score.
 
-Words are 64-bit hashes. All labelled pairs, singletons too, are counted in tables that grow with
-the corpus and never reach the driver; the distinct pairs of the texts are joined with them.
+Words are 64-bit hashes, and so are the keys by which texts ask for pairs. All labelled pairs,
+singletons too, are counted in tables that grow with the corpus and never reach the driver. Texts
+are taken in chunks: a chunk asks once for each of its words and pairs, as sorted keys cut into
+buckets; the task that holds a bucket's part of the tables answers all chunks, and the answers meet
+the chunk's words again. So a pair costs a few bytes of shuffle, and no row of its own. Texts are
+measured in slices one after another, of which only one has its questions on disk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, pinned, remainder, table
+from .common import fresh, pinned, remainder, removed, table, tidied
 
 _START = 0  # stands before the first word of a text
 _DISCOUNT = 0.75
 _STRONG = 3.0
+#: Bytes of text in a chunk, and in a slice of the texts; there are at most `_SLICES` slices.
+_CHUNK = 8 << 20
+_SLICE = 32 << 20
+_SLICES = 8
+#: About so many pairs of the tables make a bucket; there are 2**_LEAST_BITS buckets at least.
+_BUCKET_ROWS = 500_000
+_LEAST_BITS = 6
+#: Rows of a chunk: its texts, their numbers of words, the words by their place among the distinct words, these
+#: themselves; then what it asks for, word by word and pair by pair. Tables have rows of the last two kinds.
+_OF, _SIZES, _PLACES, _KNOWN, _WORD, _PAIR = range(6)
+_ROWS = "chunk long, part int, bucket int, keys binary, numbers binary"
+_TABLE = -1  # the chunk of a table's rows
 _MARKS = bytes.maketrans(b".,;:!?\"'()[]{}|*#%&$-_/\\", b" " * 24)
 
 
@@ -63,12 +80,16 @@ def _before(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return before
 
 
-def _pairs(batches: Iterator[pa.RecordBatch], once: bool) -> Iterator[pa.RecordBatch]:
-    """Distinct (of, first, word) with their number `n` from (of, text) rows, batch by batch; `once`:
-    of rows with the same `of` only one."""
+def _pair_keys(first: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One mixed 64-bit number for each pair of words."""
+    key = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ word.view(np.uint64)
+    key = (key ^ key >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return key ^ key >> np.uint64(32)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct (of, first, word) with their number `n` from (of, text) rows, batch by batch."""
     for batch in batches:
-        if once:
-            batch = batch.take(pa.array(np.unique(batch.column(0).to_numpy(), return_index=True)[1]))
         words, sizes = _words(batch.column(1).to_pylist())
         of, before = np.repeat(batch.column(0).to_numpy(), sizes), _before(words, sizes)
         order = np.lexsort((words, before, of))
@@ -80,20 +101,216 @@ def _pairs(batches: Iterator[pa.RecordBatch], once: bool) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (of[at], before[at], words[at], n)], names=["of", "first", "word", "n"])
 
 
-def _paired(rows: DataFrame, once: bool = False) -> DataFrame:
-    return rows.mapInArrow(lambda batches: _pairs(batches, once), "of long, first long, word long, n long")
+def _paired(rows: DataFrame) -> DataFrame:
+    return rows.mapInArrow(_pairs, "of long, first long, word long, n long")
+
+
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers as bytes: all their first bytes, then all second ones, and so on, compressed."""
+    planes = x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    return len(x).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
+
+
+def _loosed(raw: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.Codec("zstd").decompress(raw[8:], n * width, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
+
+
+def _squeezed_keys(keys: np.ndarray) -> bytes:
+    return _squeezed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _loosed_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_loosed(raw, np.uint64), dtype=np.uint64)
+
+
+def _buckets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """Slices of sorted `keys` with the same upper bits."""
+    upper = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    start = np.flatnonzero(np.r_[True, upper[1:] != upper[:-1]][: len(keys)])
+    for a, b in zip(start, np.r_[start[1:], len(keys)]):
+        yield int(upper[a]), slice(int(a), int(b))
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["chunk", "part", "bucket", "keys", "numbers"])
+
+
+def _stored(batches: Iterator[pa.RecordBatch], part: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """A table's rows by bucket: one or two columns of keys, then numbers."""
+    named = 2 if part == _PAIR else 1
+    held: list[pa.RecordBatch] = []
+
+    def rows() -> pa.RecordBatch:
+        columns = [c.to_numpy() for c in pa.Table.from_batches(held).columns]
+        keys = _pair_keys(*columns[:2]) if named == 2 else columns[0].view(np.uint64)
+        order = np.argsort(keys)
+        keys, numbers = keys[order], np.array(columns[named:], float)[:, order]
+        held.clear()
+        return _batch([(_TABLE, part, b, _squeezed_keys(keys[of]), _squeezed(numbers[:, of].ravel())) for b, of in _buckets(keys, bits)])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= 1 << 19:
+            yield rows()
+    if held:
+        yield rows()
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[str | None]]]:
+    """(of, text) rows, of each `of` only one, in pieces of about `_CHUNK` bytes."""
+    batch = batch.take(pa.array(np.unique(batch.column(0).to_numpy(), return_index=True)[1]))
+    of, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+    piece = np.cumsum([len(t or "") for t in texts]) // _CHUNK
+    cuts = np.r_[0, np.flatnonzero(piece[1:] != piece[:-1]) + 1, len(texts)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield of[a:b], texts[a:b]
+
+
+def _asked(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of each chunk of the (of, text) rows: its texts in words, and what it asks for."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for of, texts in _chunks(batch):
+            words, sizes = _words(texts)
+            if not len(words):
+                continue
+            known, places = np.unique(words.view(np.uint64), return_inverse=True)
+            own = {
+                _OF: _squeezed(of[sizes > 0]), _SIZES: _squeezed(sizes[sizes > 0]),
+                _PLACES: _squeezed(places.astype(np.int32)), _KNOWN: _squeezed_keys(known),
+            }
+            rows = [(chunk, part, -1, held, None) for part, held in own.items()]
+            asks = {_WORD: np.union1d(known, np.uint64(_START)), _PAIR: np.unique(_pair_keys(_before(words, sizes), words))}
+            rows += [(chunk, part, b, _squeezed_keys(keys[at]), None) for part, keys in asks.items() for b, at in _buckets(keys, bits)]
+            yield _batch(rows)
+            chunk += 1
+
+
+def _whole(held: list[tuple[bytes, bytes]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their `width` numbers from the rows of a table's bucket."""
+    keys = [np.zeros(0, np.uint64), *(_loosed_keys(raw) for raw, _ in held)]
+    numbers = [np.zeros((width, 0)), *(_loosed(raw, float).reshape(width, -1) for _, raw in held)]
+    if len(held) == 1:
+        return keys[1], numbers[1]
+    keys, numbers = np.concatenate(keys), np.concatenate(numbers, axis=1)
+    order = np.argsort(keys)
+    return keys[order], numbers[:, order]
+
+
+def _merged(batches: Iterator[pa.RecordBatch], widths: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket and part, from table rows sorted by these."""
+    now, held = None, []
+
+    def row() -> pa.RecordBatch:
+        keys, numbers = _whole(held, widths[now[1]])
+        return _batch([(_TABLE, now[1], now[0], _squeezed_keys(keys), _squeezed(numbers.ravel()))])
+
+    for batch in batches:
+        for part, bucket, raw, numbers in zip(*(batch.column(c).to_pylist() for c in ("part", "bucket", "keys", "numbers"))):
+            if now != (bucket, part) and held:
+                yield row()
+                held = []
+            now = (bucket, part)
+            held.append((raw, numbers))
+    if held:
+        yield row()
+
+
+def _answered(batches: Iterator[pa.RecordBatch], missing: dict[int, list[float]]) -> Iterator[pa.RecordBatch]:
+    """Numbers of the keys that chunks ask for, in their order; `missing`: those of a key that no table
+    has. Rows are sorted by bucket and part, the table's before the others."""
+    now, held = None, []
+    for batch in batches:
+        rows = []
+        for chunk, part, bucket, raw, numbers in zip(*(c.to_pylist() for c in batch.columns)):
+            if now != (bucket, part):
+                now, held, keys = (bucket, part), [], None
+            if chunk == _TABLE:
+                held.append((raw, numbers))
+                continue
+            if keys is None:
+                keys, found = _whole(held, len(missing[part]))
+            asked = _loosed_keys(raw)
+            at = np.searchsorted(keys, asked)
+            hit = np.flatnonzero(np.r_[keys, np.uint64(0)][at] == asked)
+            hit = hit[at[hit] < len(keys)]
+            out = np.repeat(np.array(missing[part])[:, None], len(asked), axis=1)
+            out[:, hit] = found[:, at[hit]]
+            rows.append((chunk, part, bucket, None, _squeezed(out.ravel())))
+        yield _batch(rows)
+
+
+def _differences(first: np.ndarray, word: np.ndarray, words: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """`Tables.differences` of pairs: places of their first words and of their words in the numbers
+    `words`, and numbers of their own."""
+    alone = np.log(words[5]) - np.log(words[4])
+    logs = []
+    for k in (0, 1):
+        count, kinds, single = words[k], words[2 + k], words[4 + k]
+        some = np.maximum(count, 1)
+        back = np.where(count > 0, np.minimum(1, _DISCOUNT * kinds / some), 1)
+        logs.append(np.log(np.maximum(pair[k] - _DISCOUNT, 0) / some[first] + back[first] * single[word]))
+    both, alone = logs[1] - logs[0], alone[word]
+    return np.where(both * alone > 0, np.sign(both) * np.minimum(np.abs(both), np.abs(alone)), 0)
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key, in the order of keys, and the number of each key among them."""
+    order = np.argsort(keys)
+    new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(of, whole, strong) from the rows of chunks and their answers, sorted by chunk, part and bucket."""
+    now, held = None, {}
+
+    def measured() -> pa.RecordBatch:
+        of, sizes, places = (_loosed(held[p][0], kind) for p, kind in ((_OF, np.int64), (_SIZES, np.int64), (_PLACES, np.int32)))
+        known = _loosed_keys(held[_KNOWN][0])
+        asked = np.union1d(known, np.uint64(_START))
+        words, pairs = (np.concatenate([_loosed(raw, float).reshape(n, -1) for raw in held[p]], axis=1) for p, n in ((_WORD, 6), (_PAIR, 2)))
+        at = places.astype(np.int64) + (len(asked) - len(known))
+        before = _before(at, sizes)  # `_START` is the first of the asked words
+        one, pair = _grouped(_pair_keys(asked[before], asked[at]))
+        diff = _differences(before[one], at[one], words, pairs)[pair]
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        whole = np.bincount(text, diff) / sizes
+        excess = np.bincount(text, np.maximum(diff - _STRONG, 0))
+        strong = np.log(excess / (sizes + 10) + 0.001)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (of, whole, strong)], names=["of", "whole", "strong"])
+
+    for batch in batches:
+        for chunk, part, raw, numbers in zip(*(batch.column(c).to_pylist() for c in ("chunk", "part", "keys", "numbers"))):
+            if chunk != now and held:
+                yield measured()
+                held = {}
+            now = chunk
+            held.setdefault(part, []).append(raw if numbers is None else numbers)
+    if held:
+        yield measured()
 
 
 @dataclass
 class Tables:
     """Counts as tables: `pairs` (first, word, n0, n1), `firsts` (first, c0, c1, k0, k1: words and kinds of
     words after it), `words` (word, s0, s1: P of its class without a word before), and `unknown`, the
-    same two of a word that is in no labelled text. Without rows of a class its model is uniform."""
+    same two of a word that is in no labelled text. Without rows of a class its model is uniform.
+    `stored` has the first three as rows of buckets, of which there are 2**`bits`."""
 
     pairs: DataFrame
     firsts: DataFrame
     words: DataFrame
     unknown: tuple[float, float]
+    stored: DataFrame
+    bits: int
 
     def differences(self, asked: DataFrame) -> DataFrame:
         """`asked` (first, word) with `diff`: log P_toxic - log P_ordinary of the word after the first."""
@@ -137,12 +354,18 @@ class Tables:
         return np.array([*rows, self.unknown]).T
 
 
+def _dealt(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows dealt out by a key, in a fixed number of parts as few bytes mean much work, and sorted."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, key).sortWithinPartitions(key, *order)
+
+
 def count_tables(labelled: DataFrame) -> Tables:
     """Tables from `labelled` (label 0/1, text): every pair and word of them, summed in Spark; the
     driver gets five totals."""
     found = _paired(labelled.select(F.col("label").cast("long"), "text"))
     n0, n1 = F.sum(F.when(F.col("of") == 0, F.col("n")).otherwise(0)), F.sum(F.when(F.col("of") == 1, F.col("n")).otherwise(0))
-    pairs = pinned(found.groupBy("first", "word").agg(n0.alias("n0"), n1.alias("n1")))
+    pairs = pinned(found.groupBy("first", "word").agg(n0.alias("n0"), n1.alias("n1")), "zstd")
     sums = [F.sum(f"n{k}").cast("double").alias(f"c{k}") for k in (0, 1)]
     kinds = [F.sum((F.col(f"n{k}") > 0).cast("int")).cast("double").alias(f"k{k}") for k in (0, 1)]
     firsts = pinned(pairs.groupBy("first").agg(*sums, *kinds))
@@ -160,21 +383,38 @@ def count_tables(labelled: DataFrame) -> Tables:
     words = after.select("word", *[alone(k, F.col(f"k{k}"), shared).alias(f"s{k}") for k in (0, 1)])
     floor = 1 / (every + size)
     unknown = tuple(float(_DISCOUNT * types[k] * floor / n[k] if n[k] else floor) for k in (0, 1))
-    return Tables(pairs, firsts, pinned(words), unknown)
+    words = pinned(words)
+    removed(after.sparkSession, after)
+    bits = max(_LEAST_BITS, int(np.ceil(np.log2(max(every, 1) / _BUCKET_ROWS))))
+    both = firsts.withColumnRenamed("first", "word").join(words, "word", "full")
+    blank = {f"{c}{k}": 0.0 for c in "ck" for k in (0, 1)} | {f"s{k}": unknown[k] for k in (0, 1)}
+    both = both.select("word", *[F.coalesce(c, F.lit(x)).alias(c) for c, x in blank.items()])
+    stored = [d.mapInArrow(tidied(partial(_stored, part=part, bits=bits)), _ROWS) for part, d in ((_WORD, both), (_PAIR, pairs))]
+    stored = _dealt(stored[0].union(stored[1]), "bucket", "part").mapInArrow(tidied(partial(_merged, widths={_WORD: 6, _PAIR: 2})), _ROWS)
+    return Tables(pairs, firsts, words, unknown, pinned(stored), bits)
+
+
+def _slice_measures(texts: DataFrame, tables: Tables) -> DataFrame:
+    spark = texts.sparkSession
+    rows = pinned(texts.mapInArrow(tidied(partial(_asked, bits=tables.bits)), _ROWS))
+    asks = tables.stored.union(rows.where(F.col("part") >= _WORD))
+    missing = {_WORD: [0.0] * 4 + list(tables.unknown), _PAIR: [0.0, 0.0]}
+    answers = _dealt(asks, "bucket", "part", "chunk").mapInArrow(tidied(partial(_answered, missing=missing)), _ROWS)
+    both = answers.union(rows.where(F.col("part") < _WORD))
+    out = pinned(_dealt(both, "chunk", "part", "bucket").mapInArrow(tidied(_summed), "of long, whole double, strong double"))
+    removed(spark, rows)
+    return out
 
 
 def measures(texts: DataFrame, tables: Tables) -> DataFrame:
     """(of, text), `of` naming a text, to (of, whole, strong): mean difference per word, and the
     logarithm of the mean excess over `_STRONG`, smoothed by ten words without any. Texts without
     words have no row."""
-    pairs = pinned(_paired(texts, once=True).groupBy("of", "first", "word").agg(F.max("n").alias("n")))
-    diffs = pinned(tables.differences(pairs.select("first", "word").distinct()))
-    rows = pairs.join(diffs, ["first", "word"])
-    sums = rows.groupBy("of").agg(
-        F.sum("n").alias("size"), F.sum(F.col("n") * F.col("diff")).alias("sum"),
-        F.sum(F.col("n") * F.greatest(F.col("diff") - _STRONG, F.lit(0.0))).alias("excess"),
-    )
-    return sums.select("of", (F.col("sum") / F.col("size")).alias("whole"), F.log(F.col("excess") / (F.col("size") + 10) + 0.001).alias("strong"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = min(_SLICES, 1 + size // _SLICE)
+    part = F.pmod(F.col("of"), F.lit(n))
+    found = reduce(DataFrame.union, [_slice_measures(texts.where(part == k), tables) for k in range(n)])
+    return found.groupBy("of").agg(F.max("whole").alias("whole"), F.max("strong").alias("strong"))
 
 
 def _measured(docs: DataFrame, tables: Tables, text: str, names: list[str]) -> DataFrame:
@@ -225,9 +465,12 @@ def trained(spark, sf_dir: str) -> Model:
     the eighth."""
     labels = table(spark, sf_dir, "labels").where("toxic in (0, 1)")
     labels = labels.where(remainder(F.col("doc_id"), 3) != 1).select("doc_id", F.col("toxic").alias("label"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
     kept_back = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string")) / 3), F.lit(8)) == 7
-    return fit(rows.where(~kept_back), rows.where(kept_back))
+    rows = pinned(docs.select("label", "text", kept_back.alias("kept_back")), "zstd")
+    model = fit(rows.where(~F.col("kept_back")).drop("kept_back"), rows.where("kept_back").drop("kept_back"))
+    removed(spark, rows)
+    return model
 
 
 def query(spark, sf_dir: str) -> DataFrame:

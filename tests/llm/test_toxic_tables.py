@@ -1,10 +1,12 @@
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from fleetgauge import session
 from fleetgauge.llm import toxicity
 
 
@@ -72,3 +74,35 @@ def test_measures_equal_kneser_ney_by_hand(spark):
     got = {r.text: (r.whole, r.strong) for r in toxicity._measured(docs, tables, "text", ["whole", "strong"]).collect()}
     for text in texts:
         assert np.allclose(got[text], _by_hand(labelled, text), atol=1e-9), text
+
+
+def _corpus(spark, texts, words):
+    """Texts of words that follow each other in no order; nearly every pair is a new one."""
+    word = F.transform(F.sequence(F.lit(1), F.lit(words)), lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64(F.col("id"), k), F.lit(20_000)).cast("string")))
+    return spark.range(texts).select(F.xxhash64("id").alias("of"), F.array_join(word, " ").alias("text"))
+
+
+def _on_disk(spark):
+    folder = Path(session.shared_folder(spark).removeprefix("file:"))
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+
+
+def test_pairs_of_texts_are_no_rows_on_disk(spark):
+    labelled = spark.createDataFrame([(0, "w1 w2"), (1, "w2 w1")], "label int, text string")
+    tables = toxicity.count_tables(labelled)
+    before = _on_disk(spark)
+    found = toxicity.measures(_corpus(spark, 400, 500), tables)
+    assert found.count() == 400
+    assert _on_disk(spark) - before < 400 * 500
+
+
+def test_measures_do_not_depend_on_slices_chunks_or_buckets(spark, monkeypatch):
+    docs = _corpus(spark, 300, 40)
+    labelled = docs.where("of % 3 = 0").select((F.pmod("of", F.lit(2))).alias("label"), "text")
+    wanted = {r.of: (r.whole, r.strong) for r in toxicity.measures(docs, toxicity.count_tables(labelled)).collect()}
+    for name, value in (("_SLICE", 1 << 14), ("_SLICES", 3), ("_CHUNK", 1 << 12), ("_LEAST_BITS", 2), ("_BUCKET_ROWS", 1000)):
+        monkeypatch.setattr(toxicity, name, value)
+    twice = docs.union(docs)
+    found = {r.of: (r.whole, r.strong) for r in toxicity.measures(twice, toxicity.count_tables(labelled)).collect()}
+    assert len(found) == 300 and found.keys() == wanted.keys()
+    assert all(np.allclose(found[k], wanted[k]) for k in found)
