@@ -19,7 +19,7 @@ from fleetgauge.plans.registry import (
 )
 from fleetgauge.operators.rules import SERVING_RANGES, SERVING_RULES, rules_for
 from fleetgauge.schema import KEYS, SENSORS, feature_columns
-from fleetgauge.session import pinned, scratch_path
+from fleetgauge.session import evenly, pinned, scratch_path
 from fleetgauge.streaming import jobs
 
 
@@ -434,7 +434,7 @@ def st1_model_stream(spark, sf_dir):
     """A fitted classifier inside a stream that delivers its input twice: one output a reading, checked on
     all sensors, with the risk that the model gives in batch (NULL where the reading is invalid)."""
     events = view.table(spark, sf_dir, "events")
-    readings = _all_sensors(events)
+    readings = _all_sensors(evenly(events, events.count()))  # large files may be read in few parts
     model = models.train_logistic(readings, SENSORS, iterations=20)
     source = scratch_path(spark, "stream-replayed")
     for _ in range(2):

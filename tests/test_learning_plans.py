@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from fleetgauge.operators import models, survival
 from fleetgauge.plans import catalog
@@ -31,3 +32,16 @@ def test_queries_fit_with_the_operators_defaults(spark, monkeypatch, name):
         assert {len(r.sequence) for r in data.select("sequence").collect()} <= {30}
     elif name != "y9_cox_model":
         assert {f"sensor_{k}_mean_w30" for k in (1, 2, 3)} <= set(given[0])
+
+
+def test_streamed_model_is_fitted_on_rows_of_all_cores(spark, monkeypatch):
+    def fit(data, *given, **named):
+        raise Called(data)
+
+    monkeypatch.setattr(models, "train_logistic", fit)
+    with pytest.raises(Called) as found:
+        catalog.QUERIES["st1_model_stream"](spark, SF)
+    (data,) = found.value.args
+    assert data.count() == spark.read.parquet(f"{SF}/events.parquet").count()
+    sizes = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) <= 2 * min(sizes)
