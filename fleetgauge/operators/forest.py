@@ -38,6 +38,12 @@ _NONE = 1e-12  # share of a node's weight that is rounding
 _NODES = "piece int, tree int, path array<int>, feature binary, cut binary, child binary, value binary, n_nodes int, gains array<double>"
 
 
+_NEAR = 1 << 14  # rows whose bins stay close to the core
+_HALF = 26  # bits of a count of draws; sums of both counts are exact as doubles
+_PACKED = np.array([(b & 127) * (1 + ((b >> 7) << _HALF)) for b in range(256)])  # draws, and those of class 1 above
+_COUNTS = _PACKED.astype(float)
+
+
 class Block(NamedTuple):
     """Binned rows (row, feature) with labels 0 or 1; `key` seeds the draws of its rows."""
 
@@ -203,29 +209,47 @@ def _pruned(levels: list[Nodes], gain: np.ndarray, yes: np.ndarray, features: in
     return Nodes(nodes.feature[alive], nodes.cut[alive], place[child[alive]], nodes.value[alive]), gains
 
 
+def _columns(flat: np.ndarray, base: np.ndarray, node: np.ndarray, tried: np.ndarray) -> np.ndarray:
+    """(tried, row): the bins of each row in the features that its node tries; a part of the rows at a time, as all
+    features of a row lie together."""
+    out, wanted = np.empty((tried.shape[1], len(base)), np.uint8), [f.astype(np.int64) for f in tried.T]
+    for a in range(0, len(base), _NEAR):
+        b = slice(a, a + _NEAR)
+        for j, f in enumerate(wanted):
+            out[j, b] = flat.take(base[b] + f.take(node[b]))
+    return out
+
+
 def _best_splits(flat, base, low, node, n0, n1, tried, leaf, weights):
     """Per node the best purity of two sides, its feature and bin, and the counts below."""
     k = len(n0)
     best, by, cut = np.full(k, -np.inf), np.zeros(k, np.int64), np.zeros(k, np.int64)
     left0, left1 = np.zeros(k, np.int64), np.zeros(k, np.int64)
-    kind = np.uint32 if k < 1 << 19 else np.uint64
-    high = (node.astype(kind) << kind(13)) | low  # node, 5 bits of bin, label, 7 bits of count
-    for f in tried.T:
-        key = flat.take(base + f.take(node)).astype(kind)
-        key <<= kind(8)
-        key |= high
-        key.sort()
-        cell = key >> kind(8)
-        ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]), len(cell) - 1)
-        counts = (key & kind(127)).astype(np.int64)
-        counts *= 1 + ((key & kind(128)).astype(np.int64) << 25)  # positives above 32 bits
-        upto = np.cumsum(counts)[ends]
-        cell = cell[ends].astype(np.int64)
+    dense = 32 * k <= len(low)  # more rows than bins of nodes: they are counted in place, else sorted
+    if dense:
+        code, weight = node * BINS, _COUNTS.take(low)
+    else:
+        kind = np.uint32 if k < 1 << 19 else np.uint64
+        high = (node.astype(kind) << kind(13)) | low  # node, 5 bits of bin, label, 7 bits of count
+    for f, bins in zip(tried.T, _columns(flat, base, node, tried)):
+        if dense:
+            total = np.bincount(code + bins, weight, BINS * k)
+            cell = np.flatnonzero(total)
+            upto = np.cumsum(total.take(cell).astype(np.int64))
+        else:
+            key = bins.astype(kind)
+            key <<= kind(8)
+            key |= high
+            key.sort()
+            cell = key >> kind(8)
+            ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]), len(cell) - 1)
+            upto = np.cumsum(_PACKED.take((key & kind(255)).astype(np.uint8))).take(ends)
+            cell = cell.take(ends).astype(np.int64)
         at = cell >> 5
         starts = np.append(0, np.flatnonzero(at[1:] != at[:-1]) + 1)
         left = upto - np.append(0, upto[starts[1:] - 1])[at]
-        l1 = left >> 32
-        l0 = (left & 0xFFFFFFFF) - l1
+        l1 = left >> _HALF
+        l0 = (left & ((1 << _HALF) - 1)) - l1
         r0, r1 = n0[at] - l0, n1[at] - l1
         with np.errstate(divide="ignore", invalid="ignore"):
             score = _purity(l0, l1, weights) + _purity(r0, r1, weights)
@@ -238,19 +262,27 @@ def _best_splits(flat, base, low, node, n0, n1, tried, leaf, weights):
     return best, by, cut, left0, left1
 
 
-def walked(flat: np.ndarray, base: np.ndarray, nodes: Nodes) -> np.ndarray:
+def steps_of(nodes: Nodes) -> np.ndarray:
+    """Child, feature and bin of a node as one number, so that a step reads it at once."""
+    return (nodes.child.astype(np.int64) << 24) | (nodes.feature.astype(np.int64) << 8) | nodes.cut
+
+
+def walked(flat: np.ndarray, base: np.ndarray, steps: np.ndarray, value: np.ndarray) -> np.ndarray:
     """The value of every row's leaf."""
-    out, live, node = np.empty(len(base), np.float32), np.arange(len(base)), np.zeros(len(base), np.int32)
+    out, live, node = np.empty(len(base), np.float32), np.arange(len(base)), np.zeros(len(base), np.int64)
     while True:
         for _ in range(4):
-            above = flat.take(base + nodes.feature.take(node)) > nodes.cut.take(node)
-            node = nodes.child.take(node) + above
-        done = nodes.child.take(node) == node
+            step = steps.take(node)
+            above = flat.take(base + ((step >> 8) & 0xFFFF)) > (step & 255)
+            step >>= 24
+            step += above
+            node = step
+        done = (steps.take(node) >> 24) == node
         if done.all():
-            out[live] = nodes.value.take(node)
+            out[live] = value.take(node)
             return out
         if 4 * np.count_nonzero(done) > len(done):
-            out[live[done]] = nodes.value.take(node[done])
+            out[live[done]] = value.take(node[done])
             live, base, node = live[~done], base[~done], node[~done]
 
 
@@ -483,15 +515,15 @@ class ForestModel(Model, MLWritable, MLReadable):
             for row in rows:
                 if row.block is None:
                     path = np.array(row.path, np.int64).reshape(-1, 3)
-                    held.append(([(int(f), int(c), bool(a)) for f, c, a in path], Nodes(
-                        np.frombuffer(row.x, np.int16), np.frombuffer(row.cut, np.uint8),
-                        np.frombuffer(row.child, np.int32), np.frombuffer(row.value, np.float32))))
+                    tree = Nodes(np.frombuffer(row.x, np.int16), np.frombuffer(row.cut, np.uint8),
+                                 np.frombuffer(row.child, np.int32), np.frombuffer(row.value, np.float32))
+                    held.append(([(int(f), int(c), bool(a)) for f, c, a in path], steps_of(tree), tree.value))
                     continue
                 x = np.frombuffer(row.x, np.uint8).reshape(-1, features)
                 flat, total, every = x.reshape(-1), np.zeros(len(x)), np.arange(len(x))
-                for path, tree in held:
+                for path, steps, value in held:
                     mine = _below(x, every, path)
-                    total[mine] += walked(flat, mine * features, tree)
+                    total[mine] += walked(flat, mine * features, steps, value)
                 yield row.block, row.grp, total.tobytes()
 
         dealt = trees.union(asked).repartitionById(stripes * groups, F.col("cell"))

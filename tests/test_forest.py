@@ -42,7 +42,7 @@ def test_tree_equals_spark_ml_without_draws(vectors, values, depth, leaf, weight
     binned = forest._bins(x, edges)
     low = ((y << 7) | 1).astype(np.uint8)
     tree, gains = forest.grow(binned, low, 0, depth, leaf, weights, 4, np.random.default_rng(0))
-    ours = forest.walked(binned.reshape(-1), np.arange(len(y)) * 4, tree)
+    ours = forest.walked(binned.reshape(-1), np.arange(len(y)) * 4, forest.steps_of(tree), tree.value)
     model = DecisionTreeClassifier(featuresCol="_features", labelCol="label_within_x", weightCol="w", maxDepth=depth, minInstancesPerNode=leaf).fit(
         vectors.withColumn("w", F.when(F.col("label_within_x") == 1, weights[1]).otherwise(weights[0])))
     theirs = _risks(model, vectors)
